@@ -30,8 +30,8 @@ def all_strings(df: DataFrame) -> DataFrame:
 
 def zoned_timestamps(df: DataFrame, zone: str = "Asia/Seoul") -> DataFrame:
     """All timestamp columns moved from UTC to a zone."""
-    stamps = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)]
-    return df.withColumns({name: C.utc_to_zone(F.col(f"`{name}`"), zone) for name in stamps})
+    stamps = [f.name for f in df.schema if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
+    return df.withColumns({name: C.utc_to_zone(F.col(f"`{name}`").cast("timestamp"), zone) for name in stamps})
 
 
 def literal_nulls(df: DataFrame) -> DataFrame:

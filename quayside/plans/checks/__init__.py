@@ -1,0 +1,13 @@
+"""Checked queries over the given tables; importing this package registers all of them."""
+
+from quayside.plans.checks import (  # noqa: F401
+    ciphers,
+    discovery,
+    exchange,
+    matching,
+    messages,
+    naming,
+    numbering,
+    summaries,
+    typing,
+)
