@@ -24,6 +24,11 @@ def _key_and_iv(key: str) -> tuple[Column, Column]:
     return F.lit(raw), F.lit(raw[:16])
 
 
+def base64_text(data: Column) -> Column:
+    """Base64 in one line; Spark breaks long output into lines of 76 characters."""
+    return F.translate(F.base64(data), "\r\n", "")
+
+
 def _cipher_bytes(value: Column, key: str) -> Column:
     key_col, iv = _key_and_iv(key)
     sealed = F.aes_encrypt(value.cast("binary"), key_col, F.lit("CBC"), F.lit("PKCS"), iv)
@@ -44,7 +49,7 @@ def encrypt(value: Column, kind: str, key: str, home_prefix: str = "", empty_to_
     ``empty_to_null=False`` encrypts an empty string to one padding block.
     """
     value = value.cast("string")
-    sealed = F.base64(_cipher_bytes(value, key))
+    sealed = base64_text(_cipher_bytes(value, key))
     if kind == "imsi":
         home = F.startswith(value, F.lit(home_prefix)) if home_prefix else F.lit(False)
         mark = F.concat(F.when(home, "T").otherwise("O"), F.substring(value, 6, 1))

@@ -67,6 +67,11 @@ def _fail(message: str, detail: Column) -> Column:
     return F.raise_error(F.concat(F.lit(message + ": "), detail)).cast("string")
 
 
+def _formatted(ts: Column, form: Column) -> Column:
+    """``date_format`` with a format that may differ per row."""
+    return F.call_function("date_format", ts, form)
+
+
 def _choose(key: Column, options: dict, otherwise: Column) -> Column:
     """``options[key]``, by a constant map."""
     pairs = [F.lit(item) for pair in options.items() for item in pair]
@@ -106,7 +111,7 @@ def shift(ts: Column, number: Column, unit: Column | str) -> Column:
 
 def format_token(token: Column | str, ts: Column) -> Column:
     token = as_col(token)
-    return F.date_format(ts, _choose(token, TOKEN_FORMATS, _fail("unknown time pattern", token)))
+    return _formatted(ts, _choose(token, TOKEN_FORMATS, _fail("unknown time pattern", token)))
 
 
 def strip_offset(pattern: Column | str) -> Column:
@@ -207,7 +212,7 @@ def move_clock(pattern: Column | str, start: Column | str, operator: Column | st
         .otherwise(F.raise_error(F.concat(F.lit("unknown operator: "), operator)).cast("int"))
     )
     form = _choose(F.right(pattern, F.lit(1)), UNIT_FORMATS, _fail("unknown time unit", pattern))
-    return F.date_format(shift(parse_clock(start), signed, unit), form)
+    return _formatted(shift(parse_clock(start), signed, unit), form)
 
 
 def resolve_parameter(param: Column | str, start: Column | str) -> Column:
@@ -225,7 +230,7 @@ def resolve_parameter(param: Column | str, start: Column | str) -> Column:
 
 def cycle_time(cycle: Column | str, ts: Column) -> Column:
     cycle = as_col(cycle)
-    return F.date_format(ts, _choose(cycle, CYCLE_FORMATS, _fail("unknown cycle", cycle)))
+    return _formatted(ts, _choose(cycle, CYCLE_FORMATS, _fail("unknown cycle", cycle)))
 
 
 def cycle_of_length(target_time: Column, cycle: Column | str) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions import text as X
+from quayside.functions.crypto import base64_text
 from quayside.operators import frames, governance
 from quayside.plans.registry import check, table
 
@@ -145,7 +146,7 @@ def encrypted_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns whose samples look like cipher text."""
     people = table(spark, sf_dir, "customer").select(
         "c_custkey",
-        F.base64(F.col("c_name").cast("binary")).alias("c_name"),
+        base64_text(F.col("c_name").cast("binary")).alias("c_name"),
         F.concat(F.lower("c_mktsegment"), F.lit("-")).alias("c_mktsegment"),
     )
     return governance.encrypted_columns(governance.sample_values(people, ["c_name", "c_mktsegment"], ["c_custkey"]))
@@ -175,7 +176,7 @@ def flatten_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def base64_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether whole texts have the shape of cipher text."""
-    coded, lang = F.base64(F.col("text").cast("binary")), F.col("lang")
+    coded, lang = base64_text(F.col("text").cast("binary")), F.col("lang")
     value = (
         F.when(lang == "en", coded)
         .when(lang == "fr", F.concat(F.lit("T1"), coded))

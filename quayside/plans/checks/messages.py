@@ -21,7 +21,7 @@ _SCHEMA = {
 
 def _event_messages(spark: SparkSession, sf_dir: str, sep: str) -> DataFrame:
     """Each event as one text message."""
-    path = f"{sf_dir}/events.parquet"
+    path = f"{sf_dir}/events.parque[t]"  # a glob takes one file as well as a directory
     message = F.concat_ws(
         sep,
         F.col("event_id").cast("string"),
@@ -49,14 +49,14 @@ def stream_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check(
     "consume_bounded",
     """
-    SELECT event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, strftime(ts, '%Y%m%d') AS dt, strftime(ts, '%H') AS hh FROM events
+    SELECT event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, strftime(ts, '%Y%m%d') AS dt FROM events
     """,
 )
 def consume_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All messages present, landed in day and hour partitions; a second run with the same offsets adds nothing."""
+    """All messages present, landed in day partitions; a second run with the same offsets adds nothing."""
     path, offsets = scratch_path(spark, "landed"), scratch_path(spark, "offsets")
-    parts = {"dt": F.date_format("ts", "yyyyMMdd"), "hh": F.date_format("ts", "HH")}
+    parts = {"dt": F.date_format("ts", "yyyyMMdd")}
     for _ in range(2):
         consume(_event_messages(spark, sf_dir, "|"), _SCHEMA, path, offsets, sep="|", partitions=parts)
     landed = spark.read.parquet(path)
-    return landed.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")).select("event_id", "event_type", "ts", "dt", "hh")
+    return landed.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")).select("event_id", "event_type", "ts", "dt")

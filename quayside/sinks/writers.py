@@ -159,14 +159,13 @@ def write_sized(df: DataFrame, path: str, total_bytes: int, target_bytes: int =
     return parts
 
 
-def write_partitions(df: DataFrame, path: str, keys: Sequence[str], spec: WriteSpec = WriteSpec(), files_per_key: int = 8) -> str:
+def write_partitions(df: DataFrame, path: str, keys: Sequence[str], spec: WriteSpec = WriteSpec()) -> str:
     """Publish to ``/k=v/`` directories, replacing only the partitions at hand.
 
-    Rows are spread by key and a small random-free salt, so a hot day is written by
-    several tasks and no task opens every directory.
+    Rows are brought together by key, so that no task opens every directory;
+    rebalancing splits a hot key over several tasks and joins small ones.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_key))
-    spread = df.repartition(*[F.col(k) for k in keys], salt)
+    spread = df.hint("rebalance", *[F.col(k) for k in keys])
     _writer(spread, WriteSpec(spec.format, spec.compression, spec.sep, spec.header)).option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(*keys).save(path)
