@@ -38,7 +38,7 @@ def _cipher_bytes(value: Column, key: str) -> Column:
 def _plain_text(data: Column, key: str) -> Column:
     key_col, iv = _key_and_iv(key)
     opened = F.try_aes_decrypt(F.concat(iv, data), key_col, F.lit("CBC"), F.lit("PKCS"))
-    return F.when(F.is_valid_utf8(opened.cast("string")), opened.cast("string"))
+    return F.try_validate_utf8(opened.cast("string"))
 
 
 def encrypt(value: Column, kind: str, key: str, home_prefix: str = "", empty_to_null: bool = True) -> Column:
@@ -127,8 +127,8 @@ def apply_rules_to_lines(
 ) -> Column:
     """The same over raw text lines: fields by position, trailing blanks of a target field cut.
 
-    Lines without the separator give null, to be filtered. An empty field is
-    encrypted like any other, and an empty cipher text opens to an empty string.
+    Callers drop lines without the separator first (:func:`has_separator`). An empty
+    field is encrypted like any other, and an empty cipher text opens to an empty string.
     """
     wanted: dict[int, list[str]] = {}
     for rule in rules:
@@ -143,7 +143,12 @@ def apply_rules_to_lines(
             result = F.when(index == pos, _turn(trimmed, kinds, keys, mode, home_prefix, False)).otherwise(result)
         return result
 
-    return F.when(F.size(fields) >= 2, F.array_join(F.transform(fields, replaced), sep))
+    return F.array_join(F.transform(fields, replaced), sep)
+
+
+def has_separator(line: Column, sep: str) -> Column:
+    """Whether a line has two fields at least."""
+    return line.contains(sep)
 
 
 def sep_regex(sep: str) -> str:

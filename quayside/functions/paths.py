@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quayside.config import CODEC_EXTENSIONS
-from quayside.functions.timepat import as_col
+from quayside.functions.timepat import as_col, bind
 
 # Date runs cut from file names.
 _DATE_RUN = r"(?:_|-)?\d{6,}(?:\d{2})?(?:[-_]?\d{4})?(?:_|-)?"
@@ -33,8 +33,13 @@ def base_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 
 
+def full_extension(path: Column) -> Column:
+    """From the first dot of a path on, or an empty string."""
+    return F.regexp_extract(path, r"\..*$", 0)
+
+
 def parent(path: Column) -> Column:
-    return F.regexp_replace(path, r"/[^/]*$", "")
+    return F.left(path, F.length(path) - F.length(base_name(path)) - 1)
 
 
 def partition_value(path: Column, key: str, value: str = "[^/]+") -> Column:
@@ -178,24 +183,29 @@ def target_path(template: Column | str, partitions: Column) -> Column:
     """
     text = F.replace(as_col(template), F.lit("hdfs://"), F.lit(""))
     names = ("dt", "hh", "hm", "ym", "nw", "sys")
-    lookup = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*[partitions[n] for n in names]))
+    lookup = F.map_from_arrays(
+        F.array(*[F.lit(n) for n in (*names, "event_time")]),
+        F.array(*[partitions[n] for n in names], F.concat(partitions["dt"], partitions["hh"])),
+    )
 
-    def filled(segment: Column) -> Column:
-        key = F.regexp_extract(segment, r"^(.*)=\$\{.*?\}", 1)
+    def value_of(key: Column, values: Column) -> Column:
         plain = key
         for prefix in ("etl_", "cnsl_", "occr_"):
             plain = F.replace(plain, F.lit(prefix), F.lit(""))
         plain = F.replace(plain, F.lit("hr"), F.lit("hh"))
-        value = F.when(key == "event_time", F.concat(partitions["dt"], partitions["hh"])).otherwise(
-            F.try_element_at(lookup, plain)
-        )
         missing = F.raise_error(F.concat(F.lit("no partition value for "), key)).cast("string")
+        return F.coalesce(F.try_element_at(values, F.when(key == "event_time", key).otherwise(plain)), missing)
+
+    def filled(segment: Column, values: Column) -> Column:
+        key = F.regexp_extract(segment, r"^(.*)=\$\{.*?\}", 1)
         return F.when(
-            segment.rlike(r"=\$\{.*?\}"), F.concat(key, F.lit("="), F.coalesce(value, missing))
+            segment.contains("=${"), bind(key, lambda k: F.concat(k, F.lit("="), value_of(k, values)))
         ).otherwise(segment)
 
-    joined = F.array_join(F.transform(F.split(text, "/"), filled), "/")
-    return F.when(joined.contains("s3a://"), joined).otherwise(F.concat(F.lit("hdfs://"), joined))
+    joined = bind(
+        lookup, lambda values: F.array_join(F.transform(F.split(text, "/"), lambda part: filled(part, values)), "/")
+    )
+    return F.concat(F.when(text.contains("s3a://"), "").otherwise("hdfs://"), joined)
 
 
 def schedule_of(path: Column, given: Column | None = None) -> Column:

@@ -7,12 +7,14 @@ An unknown pattern or unit fails the job with a clear message.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 CLOCK = "yyyyMMddHHmm"
 TOKEN = r"\$\{.*?\}"
-_OFFSET = r"([+-])(\d+)([ydHMm])"
+_OFFSET = r"([+-]\d+)([ydHMm])"
 
 # Token to date format.
 TOKEN_FORMATS = {
@@ -67,9 +69,21 @@ def _fail(message: str, detail: Column) -> Column:
     return F.raise_error(F.concat(F.lit(message + ": "), detail)).cast("string")
 
 
-def _formatted(ts: Column, form: Column) -> Column:
-    """``date_format`` with a format that may differ per row."""
-    return F.call_function("date_format", ts, form)
+def bind(value: Column, build: Callable[[Column], Column]) -> Column:
+    """``build(value)`` with the value worked out once, however often ``build`` uses it."""
+    return F.get(F.transform(F.array(value), build), F.lit(0))
+
+
+def _formatted(ts: Column, key: Column, formats: dict[str, str], otherwise: Column) -> Column:
+    """``ts`` in the format that ``key`` stands for; each branch has a constant format."""
+
+    def branches(pair: Column) -> Column:
+        chosen = otherwise
+        for name, form in reversed(formats.items()):
+            chosen = F.when(pair["k"] == name, F.date_format(pair["t"], form)).otherwise(chosen)
+        return chosen
+
+    return bind(F.struct(key.alias("k"), ts.alias("t")), branches)
 
 
 def _choose(key: Column, options: dict, otherwise: Column) -> Column:
@@ -97,38 +111,38 @@ def find_patterns(text: Column | str) -> Column:
     return F.regexp_extract_all(as_col(text), F.lit(TOKEN), F.lit(0))
 
 
-def shift(ts: Column, number: Column, unit: Column | str) -> Column:
-    """Move a timestamp by ``number`` units of y, M, d, H or m; month ends are clipped."""
-    unit = as_col(unit)
-    amount = number.cast("int")
+# Offset unit to the field of an interval it counts.
+_MONTHS = {"y": 12, "M": 1}
+_DAYS = {"d": 1}
+_MINUTES = {"H": 60, "m": 1}
+
+
+def shift(ts: Column, number: Column, unit: Column) -> Column:
+    """Move a timestamp by ``number`` units of y, M, d, H or m; month ends are clipped.
+
+    Another unit, or no number, moves nothing.
+    """
 
-    def of(name: str) -> Column:
-        return F.when(unit == name, amount).otherwise(0)
+    def of(factors: dict[str, int]) -> Column:
+        return F.coalesce(number * _choose(unit, factors, F.lit(0)), F.lit(0))
 
-    moved = ts + F.make_interval(of("y"), of("M"), F.lit(0), of("d"), of("H"), of("m"), F.lit(0))
-    return F.when(unit.isin(*UNIT_FORMATS), moved).otherwise(_fail("unknown time unit", unit).cast("timestamp"))
+    return ts + F.make_interval(F.lit(0), of(_MONTHS), F.lit(0), of(_DAYS), F.lit(0), of(_MINUTES), F.lit(0))
 
 
 def format_token(token: Column | str, ts: Column) -> Column:
     token = as_col(token)
-    return _formatted(ts, _choose(token, TOKEN_FORMATS, _fail("unknown time pattern", token)))
+    return _formatted(ts, token, TOKEN_FORMATS, _fail("unknown time pattern", token))
 
 
 def strip_offset(pattern: Column | str) -> Column:
     return F.regexp_replace(as_col(pattern), _OFFSET, "")
 
 
-def _offset_parts(pattern: Column) -> tuple[Column, Column, Column]:
-    sign = F.regexp_extract(pattern, _OFFSET, 1)
-    number = F.regexp_extract(pattern, _OFFSET, 2).try_cast("int")
-    return sign, F.when(sign == "-", -number).otherwise(number), F.regexp_extract(pattern, _OFFSET, 3)
-
-
 def shifted_by_pattern(pattern: Column | str, ts: Column) -> Column:
-    """``ts`` moved by the offset a pattern carries, if any."""
+    """``ts`` moved by the first offset a pattern carries, if any."""
     pattern = as_col(pattern)
-    sign, number, unit = _offset_parts(pattern)
-    return F.when(sign == "", ts).otherwise(shift(ts, number, F.when(sign == "", "d").otherwise(unit)))
+    number = F.regexp_extract(pattern, _OFFSET, 1).try_cast("int")
+    return shift(ts, number, F.regexp_extract(pattern, _OFFSET, 2))
 
 
 def resolve_pattern(pattern: Column | str, start: Column | str) -> Column:
@@ -143,24 +157,29 @@ def expand_path(path: Column | str, start: Column | str) -> Column:
     Without any pattern ``target_time`` is the start time.
     """
     path, start = as_col(path), as_col(start)
-    tokens = find_patterns(path)
-    parts = F.transform(tokens, lambda token: resolve_pattern(token, start))
-    filled = F.aggregate(tokens, path, lambda text, token: F.replace(text, token, resolve_pattern(token, start)))
-    return F.struct(
-        filled.alias("path"),
-        F.when(F.size(tokens) > 0, F.array_join(parts, "")).otherwise(start).alias("target_time"),
+    resolved = F.transform(
+        find_patterns(path), lambda token: F.struct(token.alias("token"), resolve_pattern(token, start).alias("text"))
     )
 
+    def filled(parts: Column) -> Column:
+        return F.struct(
+            F.aggregate(parts, path, lambda text, part: F.replace(text, part["token"], part["text"])).alias("path"),
+            F.when(F.size(parts) > 0, F.array_join(parts["text"], "")).otherwise(start).alias("target_time"),
+        )
+
+    return bind(resolved, filled)
+
 
 def _digits_token(token: Column) -> Column:
     return token.rlike(r"^\\d\{\d+\}$")
 
 
-def _resolve_in_name(token: Column, start: Column) -> Column:
+def _resolve_in_name(token: Column, start: Column, clock: Column) -> Column:
     """One name pattern: a ``\\d{n}`` pattern takes the leading digits of the time."""
     lengths = {"\\d{12}": 12, "\\d{10}": 10, "\\d{8}": 8, "\\d{6}": 6}
     length = _choose(token, lengths, F.raise_error(F.concat(F.lit("unknown digit pattern: "), token)).cast("int"))
-    return F.when(_digits_token(token), F.left(start, length)).otherwise(resolve_pattern(token, start))
+    resolved = format_token(strip_offset(token), shifted_by_pattern(token, clock))
+    return F.when(_digits_token(token), F.left(start, length)).otherwise(resolved)
 
 
 def resolve_name(
@@ -177,24 +196,24 @@ def resolve_name(
     """
     name, start = as_col(name), as_col(start)
     tokens = find_patterns(name) if tokens is None else tokens
-    clock = parse_clock(start)
 
-    def by_start(text: Column, token: Column) -> Column:
-        return F.replace(text, token, _resolve_in_name(token, start))
-
-    last = F.try_element_at(tokens, F.lit(-1))
-    moved = F.when(_digits_token(last), clock).otherwise(shifted_by_pattern(last, clock))
-    by_offset = F.struct(
-        F.aggregate(tokens, name, by_start).alias("name"),
-        F.coalesce(F.date_format(moved, CLOCK), start).alias("target_time"),
-    )
+    def by_start(found: Column) -> Column:
+        last = F.try_element_at(found["tokens"], F.lit(-1))
+        moved = F.when(_digits_token(last), found["clock"]).otherwise(shifted_by_pattern(last, found["clock"]))
+        return F.struct(
+            F.aggregate(
+                found["tokens"], name, lambda text, token: F.replace(text, token, _resolve_in_name(token, start, found["clock"]))
+            ).alias("name"),
+            F.coalesce(F.date_format(moved, CLOCK), start).alias("target_time"),
+        )
+
+    by_offset = bind(F.struct(tokens.alias("tokens"), parse_clock(start).alias("clock")), by_start)
     if target is None:
         return by_offset
     target = as_col(target)
-    fixed = parse_clock(target)
 
     def by_target(text: Column, token: Column) -> Column:
-        return F.replace(text, token, format_token(strip_offset(token), fixed))
+        return F.replace(text, token, format_token(strip_offset(token), parse_clock(target)))
 
     return F.when(
         target.isNotNull(), F.struct(F.aggregate(tokens, name, by_target).alias("name"), target.alias("target_time"))
@@ -211,8 +230,8 @@ def move_clock(pattern: Column | str, start: Column | str, operator: Column | st
         .when(operator == "-", -number)
         .otherwise(F.raise_error(F.concat(F.lit("unknown operator: "), operator)).cast("int"))
     )
-    form = _choose(F.right(pattern, F.lit(1)), UNIT_FORMATS, _fail("unknown time unit", pattern))
-    return _formatted(shift(parse_clock(start), signed, unit), form)
+    last = F.right(pattern, F.lit(1))
+    return _formatted(shift(parse_clock(start), signed, unit), last, UNIT_FORMATS, _fail("unknown time unit", pattern))
 
 
 def resolve_parameter(param: Column | str, start: Column | str) -> Column:
@@ -230,7 +249,7 @@ def resolve_parameter(param: Column | str, start: Column | str) -> Column:
 
 def cycle_time(cycle: Column | str, ts: Column) -> Column:
     cycle = as_col(cycle)
-    return _formatted(ts, _choose(cycle, CYCLE_FORMATS, _fail("unknown cycle", cycle)))
+    return _formatted(ts, cycle, CYCLE_FORMATS, _fail("unknown cycle", cycle))
 
 
 def cycle_of_length(target_time: Column, cycle: Column | str) -> Column:

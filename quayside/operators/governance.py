@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from quayside.functions import paths as P
 from quayside.functions import text as X
+from quayside.functions.timepat import bind
 from quayside.operators.frames import concat_all
 from quayside.operators.ordering import top_by_key
 
@@ -99,19 +100,22 @@ def encrypted_columns(samples: DataFrame) -> DataFrame:
     return samples.groupBy("column_name").agg(F.bool_or(F.coalesce(shaped, F.lit(False))).alias("encrypted"))
 
 
-def completeness(path: Column, fmt: Column, sep: Column, encoding: Column) -> Column:
+def completeness(path: Column, fmt: Column, sep: Column) -> Column:
     """What is missing in the metadata of a file, by extension; null when nothing is."""
-    ext = F.when(F.instr(path, ".") > 0, F.substring(path, F.instr(path, "."), F.length(path))).otherwise("")
     no_format, no_sep = fmt.isNull(), sep.isNull()
-    return (
-        F.when((ext == ".dat") & no_sep, "delimiter")
-        .when((ext == ".snappy") & no_format & no_sep, "format, delimiter")
-        .when((ext == ".gz") & no_format, "format")
-        .when((ext == "") & no_format, "format")
-        .when((ext == ".dat.lz4") & no_sep, "delimiter")
-        .when((ext == ".lz4") & no_format & no_sep, "format, delimiter")
-        .when((ext == ".dat.gz") & no_format & no_sep, "format, delimiter")
-    )
+
+    def missing(ext: Column) -> Column:
+        return (
+            F.when((ext == ".dat") & no_sep, "delimiter")
+            .when((ext == ".snappy") & no_format & no_sep, "format, delimiter")
+            .when((ext == ".gz") & no_format, "format")
+            .when((ext == "") & no_format, "format")
+            .when((ext == ".dat.lz4") & no_sep, "delimiter")
+            .when((ext == ".lz4") & no_format & no_sep, "format, delimiter")
+            .when((ext == ".dat.gz") & no_format & no_sep, "format, delimiter")
+        )
+
+    return bind(P.full_extension(path), missing)
 
 
 def needs_conversion(target_format: Column, external: Column, raw: Column) -> Column:

@@ -8,45 +8,78 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions import paths as P
+from quayside.functions.timepat import bind
 from quayside.operators.ordering import with_next
 
 BROADCAST_BYTES = 8 * 1024 * 1024
 BROADCAST_ROWS = 100_000
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Mark a lookup side for broadcast once it is counted and measured to be small.
-
-    The check reads ``max_rows + 1`` rows at most. A larger side stays unmarked;
-    the join is then a sort-merge join whose hot keys adaptive execution splits.
-    """
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a lookup side may be broadcast: counted and measured, reading ``max_rows + 1`` rows at most."""
     probe = df.limit(max_rows + 1).select(F.octet_length(F.to_json(F.struct("*"))).alias("n"))
     rows, size = probe.agg(F.count("n"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
+    return rows <= max_rows and size <= max_bytes
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """Mark a lookup side for broadcast once it is measured to be small.
+
+    A larger side stays unmarked; the join is then a sort-merge join whose hot keys
+    adaptive execution splits.
+    """
+    return F.broadcast(df) if is_small(df) else df
+
+
+def _segments(directory: Column) -> Column:
+    return F.length(directory) - F.length(F.replace(directory, F.lit("/"), F.lit("")))
+
+
+def directory_runs(directory: Column, depths: Sequence[int]) -> Column:
+    """Every run of n consecutive segments, for each n of ``depths``: ``/a/b`` with 1 and 2 gives /a, /b, /a/b."""
+
+    def all_runs(folder: Column) -> Column:
+        def runs(depth: int) -> Column:
+            starts = F.sequence(F.lit(1), folder["n"] - depth + 1)
+
+            def run(start: Column) -> Column:
+                upto = F.call_function("substring_index", folder["text"], F.lit("/"), start + depth)
+                return F.concat(F.lit("/"), F.substring_index(upto, "/", -depth))
+
+            return F.when(folder["n"] >= depth, F.transform(starts, run)).otherwise(F.array().cast("array<string>"))
 
+        return F.array_distinct(F.flatten(F.array(*[runs(depth) for depth in depths])))
 
-def directory_runs(path: Column) -> Column:
-    """Every run of whole segments of a path's directory part: ``/a/b/c.dat`` gives /a, /a/b, /b."""
-    segments = F.filter(F.split(P.parent(path), "/"), lambda s: s != "")
+    return bind(F.struct(directory.alias("text"), _segments(directory).alias("n")), all_runs)
 
-    def runs_from(start: Column) -> Column:
-        lengths = F.sequence(F.lit(1), F.size(segments) - start + 1)
-        return F.transform(lengths, lambda n: F.concat(F.lit("/"), F.array_join(F.slice(segments, start, n), "/")))
 
-    starts = F.sequence(F.lit(1), F.size(segments))
-    return F.when(F.size(segments) > 0, F.array_distinct(F.flatten(F.transform(starts, runs_from))))
+def _depths(rules: DataFrame, directory: str) -> list[int]:
+    """Segment counts that occur among rule directories; paths are a few segments deep."""
+    found = rules.select(_segments(F.col(directory)).alias("n")).distinct().orderBy("n").limit(MAX_LENGTHS + 1).collect()
+    if len(found) > MAX_LENGTHS:
+        raise ValueError("rule directories have too many different depths")
+    return [row[0] for row in found]
 
 
 def join_contained(paths: DataFrame, path: str, rules: DataFrame, directory: str) -> DataFrame:
     """Paths with every rule whose directory, followed by ``/``, occurs in the path.
 
-    Rule directories start with ``/``, so a hit covers whole segments. The path's
-    segment runs are therefore matched by equality: a path of k segments gives
-    k(k+1)/2 keys and no rule list is searched row by row.
+    Rule directories start with ``/``, so a hit covers whole segments, and the path's
+    segment runs are matched by equality; no rule list is searched row by row. Few
+    rules are broadcast, so paths are not moved. With many rules the distinct
+    directories are matched first, and files get the hits of their directory.
     """
-    keyed = paths.withColumn("_dir", F.explode(directory_runs(F.col(path))))
-    keyed_rules = rules.where(F.startswith(F.col(directory), F.lit("/"))).withColumn("_dir", F.col(directory))
-    return keyed.join(keyed_rules, "_dir").drop("_dir")
+    rooted = rules.where(F.startswith(F.col(directory), F.lit("/"))).withColumn("_dir", F.col(directory))
+    depths = _depths(rooted, directory)
+    if not depths:
+        depths = [1]
+    located = paths.withColumn("_folder", P.parent(F.col(path)))
+    if is_small(rooted):
+        keyed = located.withColumn("_dir", F.explode(directory_runs(F.col("_folder"), depths)))
+        return keyed.join(F.broadcast(rooted), "_dir").drop("_dir", "_folder")
+    folders = located.select("_folder").distinct()
+    hits = folders.withColumn("_dir", F.explode(directory_runs(F.col("_folder"), depths))).join(rooted, "_dir")
+    return located.join(hits, "_folder").drop("_dir", "_folder")
 
 
 def first_with_prefix(bases: DataFrame, base: str, paths: DataFrame, path: str) -> DataFrame:

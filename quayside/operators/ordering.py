@@ -114,10 +114,14 @@ def with_next(
     """The next non-null ``value`` in order, over part borders."""
     ordered = in_order(df.withColumn("_value", value), order_by)
     firsts = _across_parts(ordered, F.min_by("_value", F.when(F.col("_value").isNotNull(), F.col(POSITION))).alias("_head"))
-    later = Window.orderBy(PART).rowsBetween(1, Window.unboundedFollowing)
-    heads = firsts.select(PART, F.first("_head", ignorenulls=True).over(later).alias("_beyond"))
-    ahead = Window.partitionBy(PART).orderBy(POSITION).rowsBetween(1, Window.unboundedFollowing)
-    local = ordered.withColumn("_ahead", F.first("_value", ignorenulls=True).over(ahead))
+    # Backwards frames grow row by row; a frame to the following rows would be rebuilt for each row.
+    seen = Window.unboundedPreceding, -1
+    heads = firsts.select(
+        PART,
+        F.last("_head", ignorenulls=True).over(Window.orderBy(F.desc(PART)).rowsBetween(*seen)).alias("_beyond"),
+    )
+    ahead = Window.partitionBy(PART).orderBy(F.desc(POSITION)).rowsBetween(*seen)
+    local = ordered.withColumn("_ahead", F.last("_value", ignorenulls=True).over(ahead))
     return _with_part_values(local, heads).withColumn(name, F.coalesce("_ahead", "_beyond")).drop(
         "_ahead", "_beyond", "_value", PART, POSITION
     )

@@ -104,9 +104,9 @@ def crypto_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders.select(F.concat(F.lit("no separator "), F.col("o_orderkey").cast("string")).alias("value"))
     )
     rules = [CryptoRule("svrcd", (2,)), CryptoRule("mdn", (3,))]
-    sealed = lines.select(
+    sealed = lines.where(crypto.has_separator(F.col("value"), "\x1e")).select(
         crypto.apply_rules_to_lines(F.col("value"), "\x1e", rules, CHECK_KEYS, "encryption").alias("value")
-    ).where(F.col("value").isNotNull())
+    )
     opened = sealed.select(
         crypto.apply_rules_to_lines(F.col("value"), "\x1e", rules, CHECK_KEYS, "decryption").alias("value")
     )

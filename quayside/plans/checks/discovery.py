@@ -218,7 +218,7 @@ def completeness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     fmt, sep = F.when(status == "F", "csv"), F.when(status == "O", "|")
     return table(spark, sf_dir, "orders").select(
         "o_orderkey",
-        governance.completeness(path, fmt, sep, F.lit(None).cast("string")).alias("missing"),
+        governance.completeness(path, fmt, sep).alias("missing"),
         governance.needs_conversion(fmt, sep.isNotNull(), F.lit(False)).alias("converts"),
         format_of(path, fmt, sep).alias("reader"),
     )

@@ -106,7 +106,7 @@ def meta_theta(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = landed.where("event_type <> 'error'").select("event_type").distinct()
     rules = kinds.select(F.concat(F.lit("/db=d_ev/tb="), "event_type").alias("dir"), F.col("event_type").alias("rule"))
     fixed = spark.createDataFrame([("/db=d_ev", "all"), ("/tb=view/dt=20240105", "day"), ("/tb=vie", "none")], "dir string, rule string")
-    hits = matching.join_contained(landed, "path", matching.small_side(rules.unionByName(fixed)), "dir")
+    hits = matching.join_contained(landed, "path", rules.unionByName(fixed), "dir")
     return hits.select("event_id", "rule")
 
 

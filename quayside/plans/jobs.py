@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quayside.config import CipherKeys, CryptoRule, CryptoRules, ReadSpec, WriteSpec
 from quayside.functions import paths as P
 from quayside.functions import text as X
-from quayside.functions.crypto import apply_rules, apply_rules_to_lines
+from quayside.functions.crypto import apply_rules, apply_rules_to_lines, has_separator
 from quayside.operators import frames, governance, matching
 from quayside.operators.ordering import page_rows
 from quayside.sinks import writers
@@ -110,7 +110,7 @@ def land_text_files(
             done = apply_rules_to_lines(done, sep, wanted, keys, mode, home_prefix)
     if raw_path is not None:
         lines.write.mode("overwrite").text(raw_path)
-    processed = lines.select(done.alias("value")).where(F.col("value").isNotNull())
+    processed = lines.where(has_separator(F.col("value"), sep)).select(done.alias("value"))
     names = [name for name, _ in files.fields_of(schema)]
     text = frames.drop_columns(files.split_lines(processed, sep, names), delete_columns)
     kept = {"fields": [f for i, f in enumerate(schema["fields"], start=1) if i not in set(delete_columns)]}
@@ -142,5 +142,5 @@ def plan_delivery(landed: DataFrame, path: str, rules: DataFrame) -> DataFrame:
     ``rules`` has collect_dir and target_dir columns; directories without a
     matching rule give no row.
     """
-    matched = matching.join_contained(landed, path, matching.small_side(rules), "collect_dir")
+    matched = matching.join_contained(landed, path, rules, "collect_dir")
     return matched.withColumn("dest_path", P.target_path(F.col("target_dir"), P.partitions_of(F.col(path))))

@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 from quayside.config import ReadSpec, unescape_separator
 from quayside.functions import casting as C
 from quayside.functions import paths as P
-from quayside.functions.crypto import sep_regex
+from quayside.functions.crypto import has_separator, sep_regex
+from quayside.functions.timepat import bind
 from quayside.schema import fields_of, struct_of, text_struct
 
 COLUMNAR = ("parquet", "orc", "avro")
@@ -96,7 +97,7 @@ def rejected_values(text: DataFrame, schema, bigint_mode: str = "trunc") -> Data
 def split_lines(lines: DataFrame, sep: str, names: Sequence[str], column: str = "value") -> DataFrame:
     """Raw text lines to columns; lines without the separator are dropped."""
     fields = F.split(F.col(column), sep_regex(sep), -1)
-    kept = lines.where(F.size(fields) >= 2)
+    kept = lines.where(has_separator(F.col(column), sep))
     return kept.select(*[F.get(fields, F.lit(i)).alias(name) for i, name in enumerate(names)])
 
 
@@ -181,17 +182,20 @@ def read_schema_file(spark: SparkSession, path: str) -> dict:
 
 def format_of(path: Column, declared: Column, sep: Column) -> Column:
     """Reader for a file: by extension, then by declared format; null when nothing fits."""
-    extension = F.when(F.instr(path, ".") > 0, F.substring(path, F.instr(path, "."), F.length(path))).otherwise("")
-    declared = F.when(extension.contains("dat") | extension.contains("DAT"), "csv").otherwise(declared)
-    known_text = F.lit(False)
-    for mark in ("DAT", "dat", "csv", "txt"):
-        known_text = known_text | extension.contains(mark)
-    return (
-        F.when(extension.contains("parquet") | (declared == "parquet"), "parquet")
-        .when(extension.contains("orc") | (declared == "orc"), "orc")
-        .when((known_text | declared.isin("csv", "dat")) & (F.coalesce(sep, F.lit("")) != ""), "csv")
-        .when(extension.contains("avro") | (declared == "avro"), "avro")
-    )
+
+    def reader(ext: Column) -> Column:
+        kind = F.when(ext.contains("dat") | ext.contains("DAT"), "csv").otherwise(declared)
+        known_text = F.lit(False)
+        for mark in ("DAT", "dat", "csv", "txt"):
+            known_text = known_text | ext.contains(mark)
+        return (
+            F.when(ext.contains("parquet") | (kind == "parquet"), "parquet")
+            .when(ext.contains("orc") | (kind == "orc"), "orc")
+            .when((known_text | kind.isin("csv", "dat")) & (F.coalesce(sep, F.lit("")) != ""), "csv")
+            .when(ext.contains("avro") | (kind == "avro"), "avro")
+        )
+
+    return bind(P.full_extension(path), reader)
 
 
 def with_path_partitions(df: DataFrame, keys: Sequence[str] = ("dt", "hh", "hm"), path: Column | None = None) -> DataFrame:
