@@ -110,9 +110,10 @@ def replacement_rate(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def best_charset(spark: SparkSession, path: str, candidates: Sequence[str]) -> DataFrame:
-    """Per file the candidate charset that damages the fewest lines; an empty file counts as the first.
+    """Per file the candidate charset that damages the fewest lines; the first one wins a tie.
 
-    Lines are read as bytes once per candidate; counting is a partial aggregate per file.
+    Files are read once per candidate; counting is a partial aggregate per file. Empty
+    files have no lines to judge and give no row: any charset reads them.
     """
     tried = None
     for order, charset in enumerate(candidates):
@@ -126,17 +127,15 @@ def best_charset(spark: SparkSession, path: str, candidates: Sequence[str]) -> D
             .select("file", F.struct("damaged", F.lit(order).alias("order"), F.lit(charset).alias("charset")).alias("try"))
         )
         tried = counted if tried is None else tried.unionByName(counted)
-    best = tried.groupBy("file").agg(F.min("try").alias("best")).select("file", "best.charset", "best.damaged")
-    names = list_files(spark, path).select(F.col("path").alias("file"))
-    return names.join(best, "file", "left").select(
-        "file",
-        F.coalesce("charset", F.lit(candidates[0])).alias("charset"),
-        F.coalesce("damaged", F.lit(0)).alias("damaged"),
-    )
+    best = tried.groupBy("file").agg(F.min("try").alias("best"))
+    return best.select("file", "best.charset", "best.damaged")
 
 
 def list_files(spark: SparkSession, path: str | Sequence[str], suffix: str | None = None) -> DataFrame:
-    """Listing of a directory tree: path, length, modification time; content is not read."""
+    """Listing of a directory tree: path, length, modification time; content is not read.
+
+    As in every Spark scan, hidden files (``_SUCCESS``) and empty ones are not listed.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if suffix:
         reader = reader.option("pathGlobFilter", f"*{suffix}")
