@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions import paths as P
 from quayside.functions.timepat import bind
-from quayside.operators.ordering import with_next
+from quayside.operators.ordering import join_same, with_next
 
 BROADCAST_BYTES = 8 * 1024 * 1024
 BROADCAST_ROWS = 100_000
@@ -166,4 +166,4 @@ def match_files(listed: DataFrame, group: Sequence[str], name: str, pattern: str
     literal = (F.col("_hits") == 1) & (F.col(name) == F.col(pattern))
     fits = F.regexp_like(F.col(name), glob_regex(F.col(file_pattern)))
     holds = F.lower(F.col(name)).contains(F.lower(F.col(file_pattern)))
-    return staged.join(counts, [*group]).where(literal | fits | holds).drop("_hits")
+    return join_same(staged, counts, group).where(literal | fits | holds).drop("_hits")

@@ -139,12 +139,18 @@ def number_within(
     # One row per group and part; a join on both keys keeps a hot group spread.
     runs = ordered.groupBy(*group, PART).agg(F.min("_rn").alias("_from"))
     starts = runs.groupBy(*group).agg(F.min("_from").alias("_start"))
-    spread = runs.join(starts, [*group]).select(*group, PART, "_start")
-    keys = [*group, PART]
-    joined = ordered.join(spread, keys)
+    spread = join_same(runs, starts, group).select(*group, PART, "_start")
+    joined = join_same(ordered, spread, [*group, PART])
     return joined.withColumn(name, F.col("_rn") - F.col("_start") + 1).drop("_rn", "_start", PART, POSITION)
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on equal keys where null equals null, so that no row of a null group is lost."""
+    renamed = right.withColumnsRenamed({key: f"_same_{key}" for key in keys})
+    condition = [F.col(key).eqNullSafe(F.col(f"_same_{key}")) for key in keys]
+    return left.join(renamed, condition).drop(*[f"_same_{key}" for key in keys])
+
+
 def top_by_key(df: DataFrame, value: str, order_by: Sequence[str | Column], count: int, skip: int = 0) -> DataFrame:
     """``count`` non-null values of one column after the first ``skip``, in order.
 

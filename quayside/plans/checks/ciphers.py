@@ -99,7 +99,7 @@ def crypto_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fields of raw lines encrypted and decrypted by position; lines without a separator drop out."""
     note = F.when(F.col("o_orderstatus") == "P", "").otherwise(F.concat("o_orderpriority", F.lit("  ")))
     line = F.concat_ws("\x1e", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), note)
-    orders = table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders", wide=True)
     lines = orders.select(line.alias("value")).unionByName(
         orders.select(F.concat(F.lit("no separator "), F.col("o_orderkey").cast("string")).alias("value"))
     )

@@ -196,11 +196,11 @@ def db_rows_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("text_merge", "SELECT c_name AS value FROM customer UNION ALL SELECT s_name FROM supplier")
 def text_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two text outputs merged into fewer files."""
+    """Two text outputs merged into files of a wanted size."""
     left, right, merged = (scratch_path(spark, f"text-{i}") for i in range(3))
     table(spark, sf_dir, "customer").select("c_name").write.text(left)
     table(spark, sf_dir, "supplier").select("s_name").write.text(right)
-    writers.merge_text(spark, [left, right], merged, 2)
+    writers.merge_text(spark, [left, right], merged)
     return spark.read.text(merged)
 
 

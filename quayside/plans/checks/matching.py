@@ -21,7 +21,7 @@ def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").cast("string"),
         F.lit(".dat"),
     )
-    return table(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "ts", path.alias("path"))
+    return table(spark, sf_dir, "events", wide=True).select("event_id", "event_type", "user_id", "ts", path.alias("path"))
 
 
 _LANDED_SQL = """

@@ -36,7 +36,7 @@ _CYCLES = {"signup": "MI", "purchase": "HH", "error": "DD", "view": "MM", "click
 )
 def partition_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target time and partition values by collection cycle."""
-    cycled = table(spark, sf_dir, "events").select(
+    cycled = table(spark, sf_dir, "events", wide=True).select(
         "event_id", "ts", _by_kind("event_type", _CYCLES).alias("cycle")
     )
     timed = cycled.withColumn("target", TP.cycle_time(F.col("cycle"), F.col("ts")))
@@ -79,7 +79,7 @@ _PATTERNS = {
 )
 def time_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Patterns with offsets resolved per row: alone, within a name, and as a query parameter."""
-    orders = table(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders", wide=True).select(
         "o_orderkey",
         F.concat(F.date_format("o_orderdate", "yyyyMMdd"), F.lit("0045")).alias("start"),
         _by_kind("o_orderpriority", _PATTERNS).alias("pattern"),
@@ -111,7 +111,7 @@ def source_pattern_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A source path pattern expanded; its resolved parts make the target time."""
     start = F.date_format("ts", "yyyyMMddHHmm")
     pattern = F.concat(F.lit("/db=d_x/tb="), "event_type", F.lit("/dt=${yyyyMMdd-5H}/hh=${HH-5H}"))
-    done = table(spark, sf_dir, "events").withColumn("x", TP.expand_path(pattern, start))
+    done = table(spark, sf_dir, "events", wide=True).withColumn("x", TP.expand_path(pattern, start))
     return done.select(
         "event_id",
         "x.path",
@@ -155,7 +155,7 @@ def name_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = F.when(kind == "error", "plain.dat").otherwise(F.concat(kind, F.lit("-"), day, F.lit(".dat")))
     parts = P.partitions_of(F.concat(F.lit("/tb=x/dt="), day, F.lit("/hh="), hour, F.lit("/f")))
     directory = F.concat(F.lit("/data/EMS"), hour, F.lit("/in"))
-    return table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events", wide=True).select(
         "event_id",
         TP.name_by_source_date(F.concat(day, minute), template).alias("delivered"),
         P.clean_file_name(zipped).alias("clean"),
@@ -192,7 +192,7 @@ def target_path_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = P.landed_path(
         F.lit("d"), kind, ("dt", F.date_format("ts", "yyyyMMdd")), ("hh", F.date_format("ts", "HH"))
     )
-    return table(spark, sf_dir, "events").select("event_id", P.target_path(template, P.partitions_of(path)).alias("dest_path"))
+    return table(spark, sf_dir, "events", wide=True).select("event_id", P.target_path(template, P.partitions_of(path)).alias("dest_path"))
 
 
 @check(
@@ -227,7 +227,7 @@ def partition_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = P.landed_path(F.lit("d"), kind, ("dt", day), ("hh", hour))
     marked = F.concat(F.lit("/x/period="), F.when(kind == "view", "1h").when(kind == "click", "1d").otherwise("none"), F.lit("/y"))
     digits = F.when(kind == "view", F.lit("202401")).when(kind == "click", day).otherwise(F.concat(day, hour))
-    return table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events", wide=True).select(
         "event_id",
         shown(P.partition_specs(custom, defaults)).alias("specs"),
         shown(P.notification_partitions(noti, TP.pad_start_time(F.concat(day, hour)), TP.resolve_pattern)).alias("noti"),

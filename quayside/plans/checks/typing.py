@@ -28,7 +28,7 @@ def event_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as text columns with blanks, malformed numbers and odd booleans among them."""
     kind, value = F.col("event_type"), F.col("value")
     number = F.col("user_id").cast("string")
-    return table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events", wide=True).select(
         F.col("event_id").cast("string").alias("c_key"),
         F.when(kind == "error", "abc").when(kind == "view", "1.9").when(kind == "click", " ").otherwise(number).alias("c_int"),
         F.when(kind == "error", F.concat(F.lit("-"), number, F.lit(".5")))

@@ -19,7 +19,7 @@ from quayside.sources import archives, files
 
 def convert(spark: SparkSession, source: str, path: str, read: ReadSpec, write: WriteSpec) -> str:
     """Files of one format and codec to another."""
-    return writers.write_files(files.read_files(spark, source, read), path, write)
+    return writers.write_files(files.spread(files.read_files(spark, source, read)), path, write)
 
 
 def protect(
@@ -36,8 +36,10 @@ def protect(
     """Encrypt or decrypt columns and change the format in one pass; partitions come from the path."""
     frame = files.read_files(spark, source, read)
     data_columns = frame.columns
-    done = apply_rules(frame.select("*", "_metadata"), rules, keys, mode, home_prefix)
-    result = files.with_path_partitions(done).select(*data_columns, *_present_keys(source, data_columns))
+    located = files.with_path_partitions(frame.select("*", "_metadata")).select(
+        *data_columns, *_present_keys(source, data_columns)
+    )
+    result = apply_rules(files.spread(located), rules, keys, mode, home_prefix)
     if write.merge and write.file_name is None:
         write = WriteSpec(write.format, write.compression, write.sep, write.header, True, merged_name(path, write))
     return writers.write_files(result, path, write)
@@ -61,7 +63,7 @@ def land_delimited(
     spark: SparkSession, source: str | Sequence[str], path: str, read: ReadSpec, write: WriteSpec = WriteSpec(), bigint_mode: str = "trunc"
 ) -> str:
     """Delimited text to typed parquet; an empty input still gives a file with the schema."""
-    text = files.read_text_columns(spark, source, read)
+    text = files.spread(files.read_text_columns(spark, source, read))
     return writers.write_files(files.typed_columns(text, read.schema, bigint_mode), path, write)
 
 
@@ -104,6 +106,7 @@ def land_text_files(
         lines = archives.read_archive_lines(spark, source).select(F.col("line").alias("value"))
     else:
         lines = spark.read.text(source)
+    lines = files.spread(lines)
     done = F.col("value")
     for mode, wanted in (("encryption", rules.encryption), ("decryption", rules.decryption)):
         if wanted:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quayside.config import CipherKeys
 from quayside.session import configure
+from quayside.sources.files import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,5 +41,7 @@ def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, wide: bool = False) -> DataFrame:
+    """A given table; ``wide`` spreads a scan of few tasks over all cores, for costly expressions."""
+    frame = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(frame) if wide else frame

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.config import CODEC_EXTENSIONS, WriteSpec
-from quayside.session import scratch_path
 from quayside.sources.files import MissingConnector
 
 MERGE_BYTES = 4 * 1024**3
+TEXT_MERGE_BYTES = 1024**3
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -64,13 +65,16 @@ def _write_merged(df: DataFrame, path: str, spec: WriteSpec, limit: int = MERGE_
     parts stay as they are.
     """
     spark = df.sparkSession
-    staged = scratch_path(spark, "merge")
+    parent = path.rstrip("/").rpartition("/")[0]
+    staged = f"{parent}/_parts-{uuid.uuid4().hex}"  # beside the target; readers skip the underscore
     parallel = WriteSpec(spec.format, spec.compression, spec.sep, spec.header)
     _writer(df, parallel).save(staged)
     if sum(size for _, size in data_files(spark, staged)) > limit:
         move_directory(spark, staged, path)
         return path
     merge_files(spark, staged, path, spec, df)
+    fs, target, _ = _hadoop(spark, staged)
+    fs.delete(target, True)
     if spec.file_name:
         rename_single_part(spark, path, spec.file_name)
     return path
@@ -172,10 +176,12 @@ def write_partitions(df: DataFrame, path: str, keys: Sequence[str], spec: WriteS
     return path
 
 
-def merge_text(spark: SparkSession, paths: Sequence[str], path: str, files: int) -> str:
-    """All lines of several text outputs in ``files`` files."""
-    spark.read.text(list(paths)).coalesce(files).write.mode("overwrite").text(path)
-    return path
+def merge_text(spark: SparkSession, paths: Sequence[str], path: str, target_bytes: int = TEXT_MERGE_BYTES) -> int:
+    """All lines of several text outputs, in as few files of about ``target_bytes`` as hold them."""
+    total = sum(size for source in paths for _, size in data_files(spark, source))
+    parts = max(1, math.ceil(total / target_bytes))
+    spark.read.text(list(paths)).coalesce(parts).write.mode("overwrite").text(path)
+    return parts
 
 
 def write_report(df: DataFrame, path: str) -> str:

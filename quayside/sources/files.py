@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from quayside.config import ReadSpec, unescape_separator
 from quayside.functions import casting as C
 from quayside.functions import paths as P
-from quayside.functions.crypto import has_separator, sep_regex
+from quayside.functions.crypto import sep_regex
 from quayside.functions.timepat import bind
 from quayside.schema import fields_of, struct_of, text_struct
 
@@ -94,11 +94,23 @@ def rejected_values(text: DataFrame, schema, bigint_mode: str = "trunc") -> Data
     return text.agg(*counts)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when a scan has fewer tasks than that; larger scans stay as they are.
+
+    One gzip file or one parquet row group is read by one task, which would then do
+    all the work behind the scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def split_lines(lines: DataFrame, sep: str, names: Sequence[str], column: str = "value") -> DataFrame:
-    """Raw text lines to columns; lines without the separator are dropped."""
+    """Raw text lines to columns; missing fields are null. Bare lines are dropped by the caller.
+
+    A filter here would make Spark compute ``column`` twice, below and above it.
+    """
     fields = F.split(F.col(column), sep_regex(sep), -1)
-    kept = lines.where(has_separator(F.col(column), sep))
-    return kept.select(*[F.get(fields, F.lit(i)).alias(name) for i, name in enumerate(names)])
+    return lines.select(*[F.get(fields, F.lit(i)).alias(name) for i, name in enumerate(names)])
 
 
 def replacement_rate(df: DataFrame, columns: Sequence[str]) -> DataFrame:

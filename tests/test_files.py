@@ -141,6 +141,15 @@ def test_merged_csv(spark, people, tmp_path):
     assert sorted(lines) == sorted(f"{i}|name {i}|{i * 1.5}" for i in range(50))
 
 
+def test_text_is_merged_by_size(spark, people, tmp_path):
+    source = str(tmp_path / "in")
+    people.select("name").repartition(6).write.text(source)
+    assert writers.merge_text(spark, [source], str(tmp_path / "one")) == 1
+    assert len(writers.data_files(spark, str(tmp_path / "one"))) == 1
+    assert writers.merge_text(spark, [source], str(tmp_path / "more"), target_bytes=150) > 1
+    assert spark.read.text(str(tmp_path / "more")).count() == 50
+
+
 def test_sized_parts(spark, people, tmp_path):
     path = str(tmp_path / "x")
     assert writers.write_sized(people, path, total_bytes=2500, target_bytes=1000) == 3

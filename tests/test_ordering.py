@@ -66,6 +66,12 @@ def test_numbers_within_hot_groups(hot):
     assert {r["id"]: r["seq"] for r in got} == want
 
 
+def test_rows_without_a_group_are_kept(many_parts):
+    frame = many_parts.range(100).select("id", F.when(F.col("id") % 3 > 0, F.lit("g")).alias("grp"))
+    got = ordering.number_within(frame, ["grp"], ["id"])
+    assert got.count() == 100 and got.where("grp is null").agg(F.max("seq")).first()[0] == 34
+
+
 def test_next_value_over_part_borders(hot):
     rows = hot_rows()
     want = {}
