@@ -3,13 +3,16 @@
 AES in CBC mode with PKCS padding; the IV is the first 16 bytes of the key, so
 equal values give equal cipher text and stay joinable. That is by design and
 weaker than a random IV: it shows which rows share a value.
+
+Keys enter a plan as scalar subqueries over a one-row table. As literals they
+would be readable in the event log, which plan redaction does not cover.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.config import CipherKeys, CryptoRule
@@ -17,11 +20,17 @@ from quayside.config import CipherKeys, CryptoRule
 IMSI_LENGTH = 15
 
 
-def _key_and_iv(key: str) -> tuple[Column, Column]:
+def secret(spark: SparkSession, key: str) -> Column:
+    """A key as a column that no plan text shows."""
     raw = key.encode()
     if len(raw) not in (16, 24, 32):
         raise ValueError("an AES key has 16, 24 or 32 bytes")
-    return F.lit(raw), F.lit(raw[:16])
+    return spark.createDataFrame([(raw,)], "secret binary").scalar()
+
+
+def secrets_for(spark: SparkSession, keys: CipherKeys, rules: Iterable[CryptoRule]) -> dict[str, Column]:
+    """Key columns of the cipher types a rule set uses."""
+    return {kind: secret(spark, keys[kind]) for kind in {rule.type for rule in rules}}
 
 
 def base64_text(data: Column) -> Column:
@@ -29,19 +38,19 @@ def base64_text(data: Column) -> Column:
     return F.translate(F.base64(data), "\r\n", "")
 
 
-def _cipher_bytes(value: Column, key: str) -> Column:
-    key_col, iv = _key_and_iv(key)
-    sealed = F.aes_encrypt(value.cast("binary"), key_col, F.lit("CBC"), F.lit("PKCS"), iv)
+def _cipher_bytes(value: Column, key: Column) -> Column:
+    iv = F.substring(key, 1, 16)
+    sealed = F.aes_encrypt(value.cast("binary"), key, F.lit("CBC"), F.lit("PKCS"), iv)
     return F.substring(sealed, 17, 2**31 - 17)  # Spark puts the IV in front
 
 
-def _plain_text(data: Column, key: str) -> Column:
-    key_col, iv = _key_and_iv(key)
-    opened = F.try_aes_decrypt(F.concat(iv, data), key_col, F.lit("CBC"), F.lit("PKCS"))
+def _plain_text(data: Column, key: Column) -> Column:
+    iv = F.substring(key, 1, 16)
+    opened = F.try_aes_decrypt(F.concat(iv, data), key, F.lit("CBC"), F.lit("PKCS"))
     return F.try_validate_utf8(opened.cast("string"))
 
 
-def encrypt(value: Column, kind: str, key: str, home_prefix: str = "", empty_to_null: bool = True) -> Column:
+def encrypt(value: Column, kind: str, key: Column, home_prefix: str = "", empty_to_null: bool = True) -> Column:
     """Base64 cipher text of ``value``.
 
     ``imsi`` values shorter than 15 characters give ``""``; longer ones carry a
@@ -57,7 +66,7 @@ def encrypt(value: Column, kind: str, key: str, home_prefix: str = "", empty_to_
     return F.when(value != "", sealed) if empty_to_null else sealed
 
 
-def decrypt(value: Column, kind: str, key: str, empty_to_null: bool = True) -> Column:
+def decrypt(value: Column, kind: str, key: Column, empty_to_null: bool = True) -> Column:
     """Plain text of base64 cipher text; anything malformed gives null."""
     value = value.cast("string")
     body = F.substring(value, 3, 2**31 - 3) if kind == "imsi" else value
@@ -65,11 +74,11 @@ def decrypt(value: Column, kind: str, key: str, empty_to_null: bool = True) -> C
     return F.when(value == "", F.lit(None if empty_to_null else "")).otherwise(opened)
 
 
-def encrypt_hex(value: Column, key: str) -> Column:
+def encrypt_hex(value: Column, key: Column) -> Column:
     return F.lower(F.hex(_cipher_bytes(value.cast("string"), key)))
 
 
-def decrypt_hex(value: Column, key: str) -> Column:
+def decrypt_hex(value: Column, key: Column) -> Column:
     """Plain text of hex cipher text (AES-256 with a 32-byte key); malformed gives null."""
     return _plain_text(F.try_to_binary(value, F.lit("hex")), key)
 
@@ -85,7 +94,9 @@ def _by_column(names: Sequence[str], rules: Iterable[CryptoRule]) -> dict[str, l
     return found
 
 
-def _turn(value: Column, kinds: Sequence[str], keys: CipherKeys, mode: str, home_prefix: str, empty_to_null: bool) -> Column:
+def _turn(
+    value: Column, kinds: Sequence[str], keys: Mapping[str, Column], mode: str, home_prefix: str, empty_to_null: bool
+) -> Column:
     for kind in kinds:
         if mode == "encryption":
             value = encrypt(value, kind, keys[kind], home_prefix, empty_to_null)
@@ -100,55 +111,58 @@ def apply_rules(
     df: DataFrame, rules: Iterable[CryptoRule], keys: CipherKeys, mode: str, home_prefix: str = ""
 ) -> DataFrame:
     """Encrypt or decrypt the columns named by position, all in one projection."""
+    rules = list(rules)
     targets = _by_column(df.columns, rules)
+    secrets = secrets_for(df.sparkSession, keys, rules)
     return df.withColumns(
-        {name: _turn(F.col(f"`{name}`"), kinds, keys, mode, home_prefix, True) for name, kinds in targets.items()}
+        {name: _turn(F.col(f"`{name}`"), kinds, secrets, mode, home_prefix, True) for name, kinds in targets.items()}
     )
 
 
 def crypto_failures(before: DataFrame, rules: Iterable[CryptoRule], keys: CipherKeys, mode: str) -> DataFrame:
     """Number of non-empty values per column that a rule set turns into null."""
     rules = list(rules)
+    secrets = secrets_for(before.sparkSession, keys, rules)
     counts = []
     for name, kinds in _by_column(before.columns, rules).items():
         value = F.col(f"`{name}`")
-        failed = (value.cast("string") != "") & _turn(value, kinds, keys, mode, "", True).isNull()
+        failed = (value.cast("string") != "") & _turn(value, kinds, secrets, mode, "", True).isNull()
         counts.append(F.count_if(failed).alias(name))
     return before.agg(*counts)
 
 
 def apply_rules_to_lines(
-    line: Column,
+    lines: DataFrame,
     sep: str,
     rules: Iterable[CryptoRule],
     keys: CipherKeys,
     mode: str,
     home_prefix: str = "",
-) -> Column:
+    column: str = "value",
+) -> DataFrame:
     """The same over raw text lines: fields by position, trailing blanks of a target field cut.
 
-    Callers drop lines without the separator first (:func:`has_separator`). An empty
-    field is encrypted like any other, and an empty cipher text opens to an empty string.
+    Lines without the separator are dropped. An empty field is encrypted like any
+    other, and an empty cipher text opens to an empty string. A line too short for a
+    position keeps its fields.
     """
+    rules = list(rules)
+    secrets = secrets_for(lines.sparkSession, keys, rules)
     wanted: dict[int, list[str]] = {}
     for rule in rules:
         for pos in rule.col_pos:
-            wanted.setdefault(pos - 1, []).append(rule.type)
-    fields = F.split(line, sep_regex(sep), -1)
-
-    def replaced(value: Column, index: Column) -> Column:
-        result = value
-        for pos, kinds in wanted.items():
-            trimmed = F.regexp_replace(value, r"\s+$", "")
-            result = F.when(index == pos, _turn(trimmed, kinds, keys, mode, home_prefix, False)).otherwise(result)
-        return result
-
-    return F.array_join(F.transform(fields, replaced), sep)
-
-
-def has_separator(line: Column, sep: str) -> Column:
-    """Whether a line has two fields at least."""
-    return line.contains(sep)
+            wanted.setdefault(pos, []).append(rule.type)
+    fields = F.split(F.col(column), sep_regex(sep), -1)
+    pieces, after = [], 1
+    for pos, kinds in sorted(wanted.items()):
+        field = F.regexp_replace(F.get(fields, F.lit(pos - 1)), r"\s+$", "")
+        turned = F.array(F.coalesce(_turn(field, kinds, secrets, mode, home_prefix, False), F.lit("")))
+        pieces += [F.slice(fields, after, pos - after)] if pos > after else []
+        pieces.append(F.when(F.size(fields) >= pos, turned).otherwise(F.array().cast("array<string>")))
+        after = pos + 1
+    pieces.append(F.slice(fields, after, 2**31 - 1))
+    kept = lines.where(F.col(column).contains(sep))
+    return kept.withColumn(column, F.array_join(F.concat(*pieces), sep))
 
 
 def sep_regex(sep: str) -> str:

@@ -7,7 +7,9 @@ An unknown pattern or unit fails the job with a clear message.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from itertools import zip_longest
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -145,9 +147,39 @@ def shifted_by_pattern(pattern: Column | str, ts: Column) -> Column:
     return shift(ts, number, F.regexp_extract(pattern, _OFFSET, 2))
 
 
+def _constant(pattern: str, clock: Column) -> Column:
+    """A pattern known when the plan is made: plain date arithmetic and one constant format."""
+    base = re.sub(_OFFSET, "", pattern)
+    if base not in TOKEN_FORMATS:
+        raise ValueError(f"unknown time pattern: {pattern}")
+    return F.date_format(_moved_by_constant(pattern, clock), TOKEN_FORMATS[base])
+
+
+def _moved_by_constant(pattern: str, clock: Column) -> Column:
+    offset = re.search(_OFFSET, pattern)
+    if offset is None:
+        return clock
+    number, unit = int(offset[1]), offset[2]
+    zero = F.lit(0)
+    months, days, minutes = (F.lit(number * factors.get(unit, 0)) for factors in (_MONTHS, _DAYS, _MINUTES))
+    return clock + F.make_interval(zero, months, zero, days, zero, minutes, zero)
+
+
+def _constant_pieces(text: str, resolve: Callable[[str], Column]) -> tuple[Column, list[str]]:
+    """A text with its patterns resolved, and the patterns."""
+    tokens = re.findall(TOKEN, text)
+    pieces: list[Column] = []
+    for plain, token in zip_longest(re.split(TOKEN, text), tokens):
+        pieces.append(F.lit(plain))
+        if token is not None:
+            pieces.append(resolve(token))
+    return F.concat(*pieces), tokens
+
+
 def resolve_pattern(pattern: Column | str, start: Column | str) -> Column:
     """One pattern with an optional offset, formatted: ``${yyyyMMddHH-30m}``."""
-    pattern = as_col(pattern)
+    if isinstance(pattern, str):
+        return _constant(pattern, parse_clock(start))
     return format_token(strip_offset(pattern), shifted_by_pattern(pattern, parse_clock(start)))
 
 
@@ -156,7 +188,12 @@ def expand_path(path: Column | str, start: Column | str) -> Column:
 
     Without any pattern ``target_time`` is the start time.
     """
-    path, start = as_col(path), as_col(start)
+    start = as_col(start)
+    if isinstance(path, str):
+        clock = parse_clock(start)
+        done, found = _constant_pieces(path, lambda token: _constant(token, clock))
+        parts = F.concat(*[_constant(token, clock) for token in found]) if found else start
+        return F.struct(done.alias("path"), parts.alias("target_time"))
     resolved = F.transform(
         find_patterns(path), lambda token: F.struct(token.alias("token"), resolve_pattern(token, start).alias("text"))
     )
@@ -194,7 +231,13 @@ def resolve_name(
     the start time moved by the offset of the last pattern. ``tokens`` is the list of
     patterns to replace; by default the ``${...}`` ones found in the name.
     """
-    name, start = as_col(name), as_col(start)
+    start = as_col(start)
+    if isinstance(name, str) and tokens is None and target is None:
+        clock = parse_clock(start)
+        done, found = _constant_pieces(name, lambda token: _constant(token, clock))
+        moved = F.date_format(_moved_by_constant(found[-1], clock), CLOCK) if found else start
+        return F.struct(done.alias("name"), moved.alias("target_time"))
+    name = as_col(name)
     tokens = find_patterns(name) if tokens is None else tokens
 
     def by_start(found: Column) -> Column:

@@ -142,22 +142,22 @@ COPY_SUCCESS, COPY_UNEQUAL = 4, 5
 
 def reconcile(source: DataFrame, target: DataFrame, skip_verify: bool = False) -> DataFrame:
     """Counts of both sides and the copy status; ``skip_verify`` accepts any copy."""
-    left = fingerprint(source).select(F.col("rows").alias("source_rows"), F.col("checksum").alias("_s"))
-    right = fingerprint(target).select(F.col("rows").alias("target_rows"), F.col("checksum").alias("_t"))
-    both = left.crossJoin(right)  # one row each
-    same = (F.col("source_rows") == F.col("target_rows")) & (F.col("_s") == F.col("_t"))
-    return both.select(
-        "source_rows", "target_rows", F.when(same | F.lit(skip_verify), COPY_SUCCESS).otherwise(COPY_UNEQUAL).alias("status")
+    sides = fingerprint(source).withColumn("target", fingerprint(target).select(F.struct("rows", "checksum")).scalar())
+    same = (F.col("rows") == F.col("target.rows")) & (F.col("checksum") == F.col("target.checksum"))
+    return sides.select(
+        F.col("rows").alias("source_rows"),
+        F.col("target.rows").alias("target_rows"),
+        F.when(same | F.lit(skip_verify), COPY_SUCCESS).otherwise(COPY_UNEQUAL).alias("status"),
     )
 
 
 def file_count_match(source: DataFrame, target: DataFrame, path: str = "path") -> DataFrame:
     """File counts of two listings without ``_SUCCESS`` markers."""
 
-    def counted(listing: DataFrame, name: str) -> DataFrame:
-        return listing.agg(F.count_if(~F.col(path).contains("_SUCCESS")).alias(name))
+    def counted(listing: DataFrame) -> DataFrame:
+        return listing.agg(F.count_if(~F.col(path).contains("_SUCCESS")).alias("source_files"))
 
-    both = counted(source, "source_files").crossJoin(counted(target, "target_files"))  # one row each
+    both = counted(source).withColumn("target_files", counted(target).scalar())
     return both.withColumn("matches", F.col("source_files") == F.col("target_files"))
 
 

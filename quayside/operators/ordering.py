@@ -72,8 +72,8 @@ def split_evenly(df: DataFrame, order_by: Sequence[str | Column], parts: int, na
     """Consecutive parts 1..n whose sizes differ by one at most; no row is lost."""
     ordered = in_order(df, order_by)
     sizes = _across_parts(ordered, F.count(F.lit(1)).alias("_size"))
-    total = sizes.agg(F.coalesce(F.sum("_size"), F.lit(0)).alias("_total"))
-    numbered = number_ordered(ordered, "_rn").crossJoin(F.broadcast(total))  # one row
+    total = sizes.agg(F.coalesce(F.sum("_size"), F.lit(0))).scalar()
+    numbered = number_ordered(ordered, "_rn").withColumn("_total", total)
     base = F.floor(F.col("_total") / parts).cast("bigint")
     extra = F.col("_total") % parts  # the first parts get one row more
     zero_based = F.col("_rn") - 1

@@ -75,7 +75,7 @@ def crypto_imsi_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     width = F.when(F.col("c_mktsegment") == "BUILDING", 9).otherwise(10)
     home = F.when(F.col("c_nationkey") < 12, CHECK_HOME).otherwise("99902")
     subscriber = F.concat(home, F.lpad(F.col("c_custkey").cast("string"), width, F.lit("7")))
-    key = CHECK_KEYS["imsi"]
+    key = crypto.secret(spark, CHECK_KEYS["imsi"])
     sealed = table(spark, sf_dir, "customer").select(
         "c_custkey", crypto.encrypt(subscriber, "imsi", key, CHECK_HOME).alias("sealed")
     )
@@ -104,12 +104,9 @@ def crypto_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders.select(F.concat(F.lit("no separator "), F.col("o_orderkey").cast("string")).alias("value"))
     )
     rules = [CryptoRule("svrcd", (2,)), CryptoRule("mdn", (3,))]
-    sealed = lines.where(crypto.has_separator(F.col("value"), "\x1e")).select(
-        crypto.apply_rules_to_lines(F.col("value"), "\x1e", rules, CHECK_KEYS, "encryption").alias("value")
-    )
-    opened = sealed.select(
-        crypto.apply_rules_to_lines(F.col("value"), "\x1e", rules, CHECK_KEYS, "decryption").alias("value")
-    )
+    stored = scratch_path(spark, "sealed-lines")
+    crypto.apply_rules_to_lines(lines, "\x1e", rules, CHECK_KEYS, "encryption").write.text(stored)
+    opened = crypto.apply_rules_to_lines(spark.read.text(stored), "\x1e", rules, CHECK_KEYS, "decryption")
     return split_lines(opened, "\x1e", ["o_orderkey", "o_custkey", "o_orderpriority"])
 
 
@@ -119,11 +116,10 @@ def crypto_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def hex_decrypt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AES-256 hex cipher text opened; damaged text gives null."""
-    sealed = table(spark, sf_dir, "part").select(
-        "p_partkey", "p_size", crypto.encrypt_hex(F.col("p_name"), _HEX_KEY).alias("sealed")
-    )
+    key = crypto.secret(spark, _HEX_KEY)
+    sealed = table(spark, sf_dir, "part").select("p_partkey", "p_size", crypto.encrypt_hex(F.col("p_name"), key).alias("sealed"))
     damaged = F.when(F.col("p_size") < 5, F.concat(F.lit("zz"), "sealed")).otherwise(F.col("sealed"))
-    return sealed.select("p_partkey", crypto.decrypt_hex(damaged, _HEX_KEY).alias("p_name"))
+    return sealed.select("p_partkey", crypto.decrypt_hex(damaged, key).alias("p_name"))
 
 
 @check(
@@ -132,7 +128,7 @@ def hex_decrypt(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def crypto_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values that are not cipher text are counted, not logged."""
-    sealed = crypto.encrypt(F.col("c_name"), "mdn", CHECK_KEYS["mdn"])
+    sealed = crypto.encrypt(F.col("c_name"), "mdn", crypto.secret(spark, CHECK_KEYS["mdn"]))
     mixed = table(spark, sf_dir, "customer").withColumn(
         "c_name", F.when(F.col("c_nationkey") >= 12, F.col("c_name")).otherwise(sealed)
     )

@@ -210,8 +210,8 @@ def merge_small_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     small, merged = scratch_path(spark, "small"), scratch_path(spark, "merged")
     table(spark, sf_dir, "supplier").repartition(8).write.parquet(small)
     writers.merge_small_files(spark, small, merged)
-    listed = files.list_files(spark, merged, ".parquet").agg(F.count(F.lit(1)).alias("files"))
-    return spark.read.parquet(merged).crossJoin(F.broadcast(listed))  # one row
+    listed = files.list_files(spark, merged, ".parquet").agg(F.count(F.lit(1)))
+    return spark.read.parquet(merged).withColumn("files", listed.scalar())
 
 
 _FILE_SCHEMA = {

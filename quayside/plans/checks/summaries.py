@@ -34,12 +34,18 @@ def event_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def inventory_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sizes, directories and formats of a listing without its markers; every piece is one row."""
+    """Sizes, directories and formats of a listing without its markers."""
     listing = frames.data_paths(event_listing(spark, sf_dir))
     sizes = frames.size_summary(listing).drop("avg_bytes")
     folders = frames.distinct_parents(listing).agg(F.count(F.lit(1)).alias("directories"))
     formats = listing.agg(F.count_if(governance.landed_version(F.col("path")) == "2").alias("new_format"))
-    return sizes.crossJoin(folders).crossJoin(formats).crossJoin(governance.holds_parquet(listing))
+    return sizes.withColumns(
+        {
+            "directories": folders.scalar(),
+            "new_format": formats.scalar(),
+            "holds_parquet": governance.holds_parquet(listing).scalar(),
+        }
+    )
 
 
 @check(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quayside.config import CipherKeys, CryptoRule, CryptoRules, ReadSpec, WriteSpec
 from quayside.functions import paths as P
 from quayside.functions import text as X
-from quayside.functions.crypto import apply_rules, apply_rules_to_lines, has_separator
+from quayside.functions.crypto import apply_rules, apply_rules_to_lines
 from quayside.operators import frames, governance, matching
 from quayside.operators.ordering import page_rows
 from quayside.sinks import writers
@@ -106,14 +106,12 @@ def land_text_files(
         lines = archives.read_archive_lines(spark, source).select(F.col("line").alias("value"))
     else:
         lines = spark.read.text(source)
-    lines = files.spread(lines)
-    done = F.col("value")
-    for mode, wanted in (("encryption", rules.encryption), ("decryption", rules.decryption)):
-        if wanted:
-            done = apply_rules_to_lines(done, sep, wanted, keys, mode, home_prefix)
     if raw_path is not None:
         lines.write.mode("overwrite").text(raw_path)
-    processed = lines.where(has_separator(F.col("value"), sep)).select(done.alias("value"))
+    processed = files.spread(lines).where(F.col("value").contains(sep))
+    for mode, wanted in (("encryption", rules.encryption), ("decryption", rules.decryption)):
+        if wanted:
+            processed = apply_rules_to_lines(processed, sep, wanted, keys, mode, home_prefix)
     names = [name for name, _ in files.fields_of(schema)]
     text = frames.drop_columns(files.split_lines(processed, sep, names), delete_columns)
     kept = {"fields": [f for i, f in enumerate(schema["fields"], start=1) if i not in set(delete_columns)]}

@@ -60,33 +60,39 @@ def test_types():
         struct_of({})
 
 
-def test_known_cipher_texts(spark):
-    enc = lambda c: crypto.encrypt(c, "mdn", KEY)
+@pytest.fixture()
+def key(spark):
+    return crypto.secret(spark, KEY)
+
+
+def test_known_cipher_texts(spark, key):
+    enc = lambda c: crypto.encrypt(c, "mdn", key)
     assert results(spark, ["hello", "", None], enc) == ["MOfLtxzZ0YgS4+5cPylFYw==", None, None]
-    whole = lambda c: crypto.encrypt(c, "mdn", KEY, empty_to_null=False)
+    whole = lambda c: crypto.encrypt(c, "mdn", key, empty_to_null=False)
     assert results(spark, [""], whole) == ["7Uf+4FRcP6fdBw1EuG6Y2Q=="]
 
 
-def test_round_trips(spark):
+def test_round_trips(spark, key):
     texts = ["a", "x" * 15, "y" * 16, "z" * 17, "한글 텍스트 😀", "long " * 500]
-    both = lambda c: crypto.decrypt(crypto.encrypt(c, "enb", KEY), "enb", KEY)
+    both = lambda c: crypto.decrypt(crypto.encrypt(c, "enb", key), "enb", key)
     assert results(spark, texts, both) == texts
-    assert not any("\n" in t for t in results(spark, texts, lambda c: crypto.encrypt(c, "enb", KEY)))
-    hexed = lambda c: crypto.decrypt_hex(crypto.encrypt_hex(c, KEY * 2), KEY * 2)
+    assert not any("\n" in t for t in results(spark, texts, lambda c: crypto.encrypt(c, "enb", key)))
+    long = crypto.secret(spark, KEY * 2)
+    hexed = lambda c: crypto.decrypt_hex(crypto.encrypt_hex(c, long), long)
     assert results(spark, texts, hexed) == texts
 
 
-def test_subscriber_marks(spark):
-    enc = lambda c: crypto.encrypt(c, "imsi", KEY, "99901")
+def test_subscriber_marks(spark, key):
+    enc = lambda c: crypto.encrypt(c, "imsi", key, "99901")
     got = results(spark, ["999017000000001", "888017000000001", "12345678901234"], enc)
     assert got[0].startswith("T7") and got[1].startswith("O7") and got[2] == ""
-    assert results(spark, got, lambda c: crypto.decrypt(c, "imsi", KEY)) == ["999017000000001", "888017000000001", None]
-    assert results(spark, [""], lambda c: crypto.decrypt(c, "imsi", KEY, empty_to_null=False)) == [""]
+    assert results(spark, got, lambda c: crypto.decrypt(c, "imsi", key)) == ["999017000000001", "888017000000001", None]
+    assert results(spark, [""], lambda c: crypto.decrypt(c, "imsi", key, empty_to_null=False)) == [""]
 
 
-def test_damaged_cipher_text_is_null(spark):
+def test_damaged_cipher_text_is_null(spark, key):
     broken = ["not base64!", "AAAA", "MOfLtxzZ0YgS4+5cPylAYw==", "한글"]
-    assert results(spark, broken, lambda c: crypto.decrypt(c, "mdn", KEY)) == [None] * 4
+    assert results(spark, broken, lambda c: crypto.decrypt(c, "mdn", key)) == [None] * 4
 
 
 def test_rules(spark):
@@ -112,10 +118,21 @@ def test_rules(spark):
 def test_keys_stay_out_of_plans(spark):
     frame = spark.createDataFrame([("a",)], "x string")
     sealed = crypto.apply_rules(frame, [CryptoRule("mdn", (1,))], KEYS, "encryption")
-    shown = sealed._jdf.queryExecution().toString()
+    sealed.collect()
+    shown = sealed._jdf.queryExecution().executedPlan().treeString()
     assert KEY not in shown and KEY.encode().hex().upper() not in shown.upper()
 
 
+def test_lines(spark):
+    lines = spark.createDataFrame([("a|b  |c|",), ("a|b",), ("none",), ("|",)], "value string")
+    rules = [CryptoRule("enb", (4,)), CryptoRule("mdn", (2,))]
+    sealed = crypto.apply_rules_to_lines(lines, "|", rules, KEYS, "encryption")
+    first = sealed.first()[0].split("|")
+    assert first[0] == "a" and first[2] == "c" and len(first[1]) == len(first[3]) == 24
+    opened = crypto.apply_rules_to_lines(sealed, "|", rules, KEYS, "decryption")
+    assert sorted(r[0] for r in opened.collect()) == ["a|b", "a|b|c|", "|"]
+
+
 def test_separators():
     assert unescape_separator("\\036") == "\x1e" and unescape_separator("\\u001e") == "\x1e"
     assert unescape_separator("␞") == "␞" and unescape_separator(None) is None

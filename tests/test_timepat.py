@@ -47,6 +47,17 @@ def test_offsets_in_patterns(spark):
         assert row["got"] == row["want"], row
 
 
+def test_constant_patterns_agree_with_columns(values):
+    for pattern in ("${yyyyMMdd+1d}", "${yyyyMMddHH-30m}", "${yyyyMM-2M}", "${yyyy+1y}", "${HHmm-90m}", "${yyyyMM}01"):
+        assert values(TP.resolve_pattern(pattern, BASE)) == values(TP.resolve_pattern(F.lit(pattern), BASE))
+    for name in ("a_${yyyyMMdd-1H}_${HH-1H}.txt", "plain", "${yyyyMM}"):
+        assert values(TP.resolve_name(name, BASE)) == values(TP.resolve_name(F.lit(name), BASE))
+        assert values(TP.expand_path(name, BASE)) == values(TP.expand_path(F.lit(name), BASE))
+    for wrong in ("", "+1y", "${nothing}", "${yyyyMMdd+1Q}"):
+        with pytest.raises(ValueError):
+            TP.resolve_pattern(wrong, BASE)
+
+
 @pytest.mark.parametrize("pattern", ["", "+1y", "${unknown}"])
 def test_unknown_pattern_fails(values, pattern):
     with pytest.raises(Exception):
