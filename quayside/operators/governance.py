@@ -270,3 +270,20 @@ def audit_messages(audit: DataFrame, key: str, partitions: int, alphabet: str =
         X.routing_partition(F.col(key), partitions, alphabet).alias("partition"),
         F.to_json(F.struct("*")).alias("value"),
     )
+
+
+def append_audit(audit: DataFrame, path: str) -> None:
+    """Add audit rows to the audit table."""
+    audit.write.mode("append").parquet(path)
+
+
+def send_audit(messages: DataFrame, servers: str, topic: str) -> None:
+    """Messages of :func:`audit_messages` to a topic; needs the Spark Kafka package."""
+    from quayside.sources.files import MissingConnector
+
+    try:
+        messages.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+    except Exception as error:
+        if "Failed to find" in str(error) or "DATA_SOURCE_NOT_FOUND" in str(error):
+            raise MissingConnector("Kafka needs the spark-sql-kafka package") from error
+        raise

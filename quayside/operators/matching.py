@@ -13,6 +13,7 @@ from quayside.operators.ordering import join_same, with_next
 
 BROADCAST_BYTES = 8 * 1024 * 1024
 BROADCAST_ROWS = 100_000
+MAX_LENGTHS = 512
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -107,9 +108,10 @@ def retry_lookup(files: DataFrame, retries: DataFrame, seq: str, name: str, retr
 
     Two equality joins instead of one with an OR, which could not be hashed.
     """
+    mark = F.broadcast if is_small(retries) else (lambda side: side)
     blank = F.coalesce(F.trim(retry_name), F.lit("")) == ""
-    for_all = files.join(retries.where(blank), seq)
-    by_name = files.join(retries.where(~blank).withColumn(name, F.col(retry_name)), [seq, name])
+    for_all = files.join(mark(retries.where(blank)), seq)
+    by_name = files.join(mark(retries.where(~blank).withColumn(name, F.col(retry_name))), [seq, name])
     return for_all.unionByName(by_name.select(for_all.columns))
 
 
@@ -123,18 +125,17 @@ def missing_partitions(source: DataFrame, target: DataFrame, day: str = "dt") ->
 def archives_holding(members: DataFrame, wanted: DataFrame, archive: str, member: str, name: str) -> DataFrame:
     """Archives with a member whose path contains a wanted name.
 
-    Names are matched as substrings, so each member gives its substrings of the
-    lengths that occur among the wanted names and is joined by equality.
+    Names are matched as substrings: each member gives its substrings of the lengths
+    that occur among the wanted names, and these are joined by equality. With few wanted
+    names the substrings are tested as they arise and never moved.
     """
-    lengths = [r[0] for r in wanted.select(F.length(name).alias("n")).distinct().orderBy("n").limit(MAX_LENGTHS + 1).collect()]
+    names = wanted.select(name).distinct()
+    lengths = [r[0] for r in names.select(F.length(name).alias("n")).distinct().orderBy("n").limit(MAX_LENGTHS + 1).collect()]
     if len(lengths) > MAX_LENGTHS:
         raise ValueError("wanted names have too many different lengths")
     keys = F.flatten(F.array(*[_substrings(F.col(member), n) for n in lengths])) if lengths else F.array()
     pieces = members.select(archive, F.explode(F.array_distinct(keys)).alias(name))
-    return pieces.join(wanted.select(name).distinct(), name, "left_semi").select(archive).distinct()
-
-
-MAX_LENGTHS = 512
+    return pieces.join(small_side(names), name, "left_semi").select(archive).distinct()
 
 
 def _substrings(text: Column, length: int) -> Column:

@@ -13,13 +13,16 @@ from quayside.functions import text as X
 from quayside.functions.crypto import apply_rules, apply_rules_to_lines
 from quayside.operators import frames, governance, matching
 from quayside.operators.ordering import page_rows
+from quayside.plans.report import Report, report, watched
 from quayside.sinks import writers
 from quayside.sources import archives, files
 
 
-def convert(spark: SparkSession, source: str, path: str, read: ReadSpec, write: WriteSpec) -> str:
+def convert(spark: SparkSession, source: str, path: str, read: ReadSpec, write: WriteSpec) -> Report:
     """Files of one format and codec to another."""
-    return writers.write_files(files.spread(files.read_files(spark, source, read)), path, write)
+    frame, seen = watched(files.spread(files.read_files(spark, source, read)), {})
+    writers.write_files(frame, path, write)
+    return report(path, seen)
 
 
 def protect(
@@ -32,17 +35,25 @@ def protect(
     keys: CipherKeys,
     mode: str = "encryption",
     home_prefix: str = "",
-) -> str:
-    """Encrypt or decrypt columns and change the format in one pass; partitions come from the path."""
+) -> Report:
+    """Encrypt or decrypt columns and change the format in one pass; partitions come from the path.
+
+    A value that cannot be turned becomes null and is counted, never logged.
+    """
     frame = files.read_files(spark, source, read)
     data_columns = frame.columns
     located = files.with_path_partitions(frame.select("*", "_metadata")).select(
         *data_columns, *_present_keys(source, data_columns)
     )
-    result = apply_rules(files.spread(located), rules, keys, mode, home_prefix)
+    targets = sorted({data_columns[pos - 1] for rule in rules for pos in rule.col_pos})
+    kept = files.spread(located).withColumns({f"_before_{name}": F.col(name).cast("string") for name in targets})
+    turned = apply_rules(kept, rules, keys, mode, home_prefix)
+    lost = {name: (F.col(f"_before_{name}") != "") & F.col(name).isNull() for name in targets}
+    result, seen = watched(turned, lost)
     if write.merge and write.file_name is None:
         write = WriteSpec(write.format, write.compression, write.sep, write.header, True, merged_name(path, write))
-    return writers.write_files(result, path, write)
+    writers.write_files(result.select(*located.columns), path, write)
+    return report(path, seen)
 
 
 def _present_keys(source: str, have: Sequence[str]) -> list[str]:
@@ -60,11 +71,28 @@ def merged_name(path: str, write: WriteSpec) -> str:
 
 
 def land_delimited(
-    spark: SparkSession, source: str | Sequence[str], path: str, read: ReadSpec, write: WriteSpec = WriteSpec(), bigint_mode: str = "trunc"
-) -> str:
-    """Delimited text to typed parquet; an empty input still gives a file with the schema."""
+    spark: SparkSession,
+    source: str | Sequence[str],
+    path: str,
+    read: ReadSpec,
+    write: WriteSpec = WriteSpec(),
+    bigint_mode: str = "trunc",
+) -> Report:
+    """Delimited text to typed parquet; an empty input still gives a file with the schema.
+
+    Values that their type does not accept become null and are counted per column.
+    """
     text = files.spread(files.read_text_columns(spark, source, read))
-    return writers.write_files(files.typed_columns(text, read.schema, bigint_mode), path, write)
+    return _write_typed(text, path, read.schema, write, bigint_mode)
+
+
+def _write_typed(text: DataFrame, path: str, schema, write: WriteSpec, bigint_mode: str = "trunc") -> Report:
+    both = files.typed_beside_text(text, schema, bigint_mode)
+    names = [name for name, _ in files.fields_of(schema)]
+    lost = {name: F.col(f"_text_{i}").isNotNull() & F.col(name).isNull() for i, name in enumerate(names)}
+    result, seen = watched(both, lost)
+    writers.write_files(result.select(*names), path, write)
+    return report(path, seen)
 
 
 def export_csv(
@@ -97,7 +125,7 @@ def land_text_files(
     delete_columns: Sequence[int] = (),
     from_archives: bool = False,
     raw_path: str | None = None,
-) -> str:
+) -> Report:
     """Raw text lines to typed parquet: ciphers by position, columns removed, all in one plan.
 
     ``schema`` names the columns before any is removed.
@@ -115,7 +143,7 @@ def land_text_files(
     names = [name for name, _ in files.fields_of(schema)]
     text = frames.drop_columns(files.split_lines(processed, sep, names), delete_columns)
     kept = {"fields": [f for i, f in enumerate(schema["fields"], start=1) if i not in set(delete_columns)]}
-    return writers.write_files(files.typed_columns(text, kept), path)
+    return _write_typed(text, path, kept, WriteSpec())
 
 
 def rows_to_lines(rows: DataFrame, order_by: Sequence[str], page_size: int, sep: str = "\x1e") -> DataFrame:

@@ -23,6 +23,7 @@ RUNTIME_SETTINGS = {
 }
 
 _local_folders: dict[str, str] = {}
+_scratch: dict[str, list[str]] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -65,7 +66,19 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/quayside/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/quayside/{label}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables of this application; for the end of a job."""
+    paths = _scratch.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in paths:
+        target = hadoop.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    return len(paths)
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

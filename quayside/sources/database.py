@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quayside.sources.files import MissingConnector
+
 
 def fill_query(query: str, params: Sequence[str]) -> str:
     """Each ``#`` of a query replaced by the next parameter."""
@@ -25,10 +27,19 @@ def page_ranges(row_count: int, page_rows: int) -> list[tuple[int, int]]:
     return [(start, min(start + page_rows, row_count)) for start in range(0, row_count, page_rows)]
 
 
+def _read(load: Callable[[], DataFrame]) -> DataFrame:
+    try:
+        return load()
+    except Exception as error:
+        if "No suitable driver" in str(error) or "ClassNotFoundException" in str(error):
+            raise MissingConnector("the JDBC driver of this database is not on the class path") from error
+        raise
+
+
 def count_rows(spark: SparkSession, options: Mapping[str, str], query: str) -> int:
     """Number of rows the database would return."""
     probe = f"(SELECT count(*) AS n FROM ({query}) q) c"
-    return int(spark.read.format("jdbc").options(**options).option("dbtable", probe).load().first()[0])
+    return int(_read(lambda: spark.read.format("jdbc").options(**options).option("dbtable", probe).load()).first()[0])
 
 
 def extract(
@@ -39,10 +50,10 @@ def extract(
     ``options`` are JDBC options (url, user, driver...). The driver jar must be on the class path.
     """
     if page_rows <= 0:
-        return spark.read.format("jdbc").options(**options).option("dbtable", f"({query}) q").load()
+        return _read(lambda: spark.read.format("jdbc").options(**options).option("dbtable", f"({query}) q").load())
     numbered = f"(SELECT q.*, ROW_NUMBER() OVER (ORDER BY {order_by}) AS rn FROM ({query}) q) p"
     pages = page_ranges(count_rows(spark, options, query), page_rows)
     predicates = [f"rn > {after} AND rn <= {upto}" for after, upto in pages] or ["1 = 0"]
     url = options["url"]
     rest = {k: v for k, v in options.items() if k != "url"}
-    return spark.read.jdbc(url, numbered, predicates=predicates, properties=rest).drop("rn")
+    return _read(lambda: spark.read.jdbc(url, numbered, predicates=predicates, properties=rest)).drop("rn")

@@ -73,25 +73,34 @@ def typed_columns(text: DataFrame, schema, bigint_mode: str = "trunc") -> DataFr
 
     Columns are matched by position; the last one loses a trailing tab first.
     """
+    names = [name for name, _ in fields_of(schema)]
+    return typed_beside_text(text, schema, bigint_mode).select(*names)
+
+
+def typed_beside_text(text: DataFrame, schema, bigint_mode: str = "trunc") -> DataFrame:
+    """The typed columns and, as ``_text_0`` and so on, the cleaned text they come from."""
     fields = fields_of(schema)
     if len(text.columns) < len(fields):
         raise ValueError(f"{len(text.columns)} columns cannot fill {len(fields)} declared ones")
-    built = []
-    for position, (name, kind) in enumerate(fields):
-        value = F.col(f"`{text.columns[position]}`")
+    cleaned = []
+    for position, name in enumerate(text.columns[: len(fields)]):
+        value = F.col(f"`{name}`")
         if position == len(fields) - 1:
             value = C.strip_trailing_tab(value)
-        built.append(C.typed(C.blank_to_null(value), kind, bigint_mode).alias(name))
-    return text.select(*built)
+        cleaned.append(C.blank_to_null(value).alias(f"_text_{position}"))
+    return text.select(*cleaned).select(
+        "*", *[C.typed(F.col(f"_text_{i}"), kind, bigint_mode).alias(name) for i, (name, kind) in enumerate(fields)]
+    )
 
 
 def rejected_values(text: DataFrame, schema, bigint_mode: str = "trunc") -> DataFrame:
     """Number of non-blank values per column that its type does not accept, in one pass."""
-    counts = []
-    for position, (name, kind) in enumerate(fields_of(schema)):
-        value = C.blank_to_null(F.col(f"`{text.columns[position]}`"))
-        counts.append(F.count_if(value.isNotNull() & C.typed(value, kind, bigint_mode).isNull()).alias(name))
-    return text.agg(*counts)
+    both = typed_beside_text(text, schema, bigint_mode)
+    counts = [
+        F.count_if(F.col(f"_text_{i}").isNotNull() & F.col(name).isNull()).alias(name)
+        for i, (name, _) in enumerate(fields_of(schema))
+    ]
+    return both.agg(*counts)
 
 
 def spread(df: DataFrame) -> DataFrame:

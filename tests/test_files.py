@@ -60,20 +60,22 @@ def test_dirty_text_lands_typed(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
     (source / "a.dat").write_text("x\x1e1\x1e2.9\x1eabc\t\n \x1eabc\x1e-1.5\x1e\nonly\ntoo\x1e1\x1e2\x1e3\x1e4\n")
-    target = jobs.land_delimited(spark, str(source), str(tmp_path / "out"), ReadSpec("csv", "\\036", schema=SCHEMA))
-    got = spark.read.parquet(target)
+    done = jobs.land_delimited(spark, str(source), str(tmp_path / "out"), ReadSpec("csv", "\\036", schema=SCHEMA))
+    assert (done.rows, done.failures, done.failed["c_int"]) == (4, 1, 1)
+    got = spark.read.parquet(done.path)
     assert {tuple(r) for r in got.collect()} == {
         ("x", 1, 2, "abc"), (None, None, -1, None), ("only", None, None, None), ("too", 1, 2, "3"),
     }
     floor = jobs.land_delimited(spark, str(source), str(tmp_path / "floor"), ReadSpec("csv", "\x1e", schema=SCHEMA), bigint_mode="floor")
-    assert -2 in [r["c_big"] for r in spark.read.parquet(floor).collect()]
+    assert -2 in [r["c_big"] for r in spark.read.parquet(floor.path).collect()]
 
 
 def test_empty_input_keeps_the_schema(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
     (source / "a.dat").write_text("")
-    target = jobs.land_delimited(spark, str(source), str(tmp_path / "out"), ReadSpec("csv", schema=SCHEMA))
+    target = str(tmp_path / "out")
+    assert jobs.land_delimited(spark, str(source), target, ReadSpec("csv", schema=SCHEMA)).rows == 0
     got = spark.read.parquet(target)
     assert got.count() == 0 and [f.simpleString() for f in got.schema][1] == "c_int:int"
     assert len(writers.data_files(spark, target)) >= 1
@@ -222,8 +224,10 @@ def test_archive_lines(spark, tmp_path, kind):
                 info.size = len(text)
                 bundle.addfile(info, io.BytesIO(text.encode()))
     (tmp_path / "ignored.txt").write_text("x")
-    got = archives.read_archive_lines(spark, str(tmp_path)).select("member", "line_no", "line")
-    assert rows(got) == sorted((m, n + 1, line) for m, t in lines.items() for n, line in enumerate(t.splitlines()))
+    want = sorted((m, n + 1, line) for m, t in lines.items() for n, line in enumerate(t.splitlines()))
+    for whole_bytes in (archives.WHOLE_BYTES, 0):  # from memory, and where they are stored
+        got = archives.read_archive_lines(spark, str(tmp_path), whole_bytes=whole_bytes)
+        assert rows(got.select("member", "line_no", "line")) == want
     assert {r["member"] for r in archives.list_members(spark, str(tmp_path)).collect()} == set(lines)
 
 
@@ -236,15 +240,21 @@ def test_text_landing_job(spark, tmp_path):
         CryptoRules(encryption=(CryptoRule("mdn", (2,)),), decryption=(CryptoRule("mdn", (2,)),)), KEYS,
         delete_columns=[3, 1], raw_path=str(tmp_path / "raw"),
     )
-    got = spark.read.parquet(out)
+    got = spark.read.parquet(out.path)
     assert got.columns == ["c_int", "c_last"] and got.count() == 2
+    assert out.rows == 2 and out.failed["c_int"] == 2  # "secret" and "other" are no numbers
     assert spark.read.text(str(tmp_path / "raw")).count() == 3
 
 
 def test_protect_job_adds_path_partitions(spark, people, tmp_path):
     source, target = str(tmp_path / "db=a/tb=t/dt=20240101/hh=03"), str(tmp_path / "out")
     people.select("id", "name").write.parquet(source)
-    jobs.protect(spark, source, target, ReadSpec("parquet"), WriteSpec("orc"), [CryptoRule("mdn", (2,))], KEYS)
+    done = jobs.protect(spark, source, target, ReadSpec("parquet"), WriteSpec("orc"), [CryptoRule("mdn", (2,))], KEYS)
+    assert (done.rows, done.failures) == (50, 0)
+    again = jobs.protect(
+        spark, source, target + "2", ReadSpec("parquet"), WriteSpec("orc"), [CryptoRule("mdn", (2,))], KEYS, "decryption"
+    )
+    assert again.failed == {"name": 50}  # plain names are no cipher text
     sealed = spark.read.orc(target)
     assert sealed.columns == ["id", "name", "dt", "hh"]
     assert {(r["dt"], r["hh"]) for r in sealed.collect()} == {("20240101", "03")}
@@ -267,6 +277,25 @@ def test_database_helpers():
         database.fill_query("a > #", [])
 
 
+def test_audit_table_and_topic(spark, tmp_path):
+    audit = governance.provide_audit(spark.createDataFrame([("A1", "/db=a/tb=t/f")], "id string, filepath string"))
+    for _ in range(2):
+        governance.append_audit(audit, str(tmp_path / "audit"))
+    assert spark.read.parquet(str(tmp_path / "audit")).count() == 2
+    with pytest.raises(files.MissingConnector):
+        governance.send_audit(governance.audit_messages(audit, "id", 2), "localhost:1", "t")
+
+
+def test_scratch_is_released(spark):
+    from quayside.session import release_scratch, settle
+
+    settle(spark.range(5).toDF("id"), "gone")
+    path = f"{spark.conf.get('spark.checkpoint.dir')}/quayside"
+    assert any(n.startswith("gone") for n in os.listdir(path))
+    assert release_scratch(spark) >= 1
+    assert not any(n.startswith("gone") for n in os.listdir(path))
+
+
 def test_missing_connectors(spark, people, tmp_path):
     with pytest.raises(files.MissingConnector):
         files.read_files(spark, str(tmp_path), ReadSpec("avro"))
@@ -274,6 +303,8 @@ def test_missing_connectors(spark, people, tmp_path):
         writers.write_files(people, str(tmp_path / "x"), WriteSpec("avro"))
     with pytest.raises(files.MissingConnector):
         kafka_messages(spark, "localhost:1", "t")
+    with pytest.raises(files.MissingConnector):
+        database.extract(spark, {"url": "jdbc:nosuch:x"}, "SELECT 1", "1", page_rows=10)
 
 
 def test_bounded_stream_resumes(spark, tmp_path):
