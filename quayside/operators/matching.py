@@ -153,18 +153,24 @@ def glob_regex(glob: Column) -> Column:
     )
 
 
-def match_files(listed: DataFrame, group: Sequence[str], name: str, pattern: str, file_pattern: str) -> DataFrame:
+def match_files(
+    listed: DataFrame, group: Sequence[str], name: str, pattern: str, file_pattern: str, use_regex: bool = False
+) -> DataFrame:
     """Files of a listing chosen in two stages, per group (interface or directory).
 
     ``listed`` holds one row per file with its group's patterns. A file must match
     ``pattern`` from its start. When it is the group's only such file and is named exactly
     like the pattern, it is taken. Otherwise the name must fit the glob
-    ``file_pattern`` or contain it, in any case. The group's count is a partial
+    ``file_pattern`` or contain it, in any case; with ``use_regex`` it must match it
+    from its start instead. The group's count is a partial
     aggregate joined back, so a large group is not gathered in one task.
     """
     staged = listed.where(F.regexp_like(F.col(name), F.concat(F.lit("^(?:"), F.col(pattern), F.lit(")"))))
     counts = staged.groupBy(*group).agg(F.count(F.lit(1)).alias("_hits"))
     literal = (F.col("_hits") == 1) & (F.col(name) == F.col(pattern))
-    fits = F.regexp_like(F.col(name), glob_regex(F.col(file_pattern)))
-    holds = F.lower(F.col(name)).contains(F.lower(F.col(file_pattern)))
-    return join_same(staged, counts, group).where(literal | fits | holds).drop("_hits")
+    if use_regex:
+        chosen = F.regexp_like(F.col(name), F.concat(F.lit("^(?:"), F.col(file_pattern), F.lit(")")))
+    else:
+        holds = F.lower(F.col(name)).contains(F.lower(F.col(file_pattern)))
+        chosen = holds | F.regexp_like(F.col(name), glob_regex(F.col(file_pattern)))
+    return join_same(staged, counts, group).where(literal | chosen).drop("_hits")

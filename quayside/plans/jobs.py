@@ -20,7 +20,10 @@ from quayside.sources import archives, files
 
 def convert(spark: SparkSession, source: str, path: str, read: ReadSpec, write: WriteSpec) -> Report:
     """Files of one format and codec to another."""
-    frame, seen = watched(files.spread(files.read_files(spark, source, read)), {})
+    frame = files.read_files(spark, source, read)
+    if read.format not in files.COLUMNAR:
+        frame = files.spread(frame)  # parsing is the costly part; columnar rows are not worth moving
+    frame, seen = watched(frame, {})
     writers.write_files(frame, path, write)
     return report(path, seen)
 
@@ -125,27 +128,43 @@ def land_text_files(
     delete_columns: Sequence[int] = (),
     from_archives: bool = False,
     raw_path: str | None = None,
+    encoding: str = "UTF-8",
+    header: bool = False,
 ) -> Report:
     """Raw text lines to typed parquet: ciphers by position, columns removed, all in one plan.
 
-    ``schema`` names the columns before any is removed.
+    ``schema`` names the columns before any is removed. With ``raw_path`` the readable
+    lines are kept there as UTF-8: the incoming ones, or, for sources that arrive
+    encrypted, the decrypted ones while the main path keeps them as they came.
     """
     if from_archives:
-        lines = archives.read_archive_lines(spark, source).select(F.col("line").alias("value"))
+        lines = archives.read_archive_lines(spark, source, encoding).select(F.col("line").alias("value"))
     else:
-        lines = spark.read.text(source)
-    if raw_path is not None:
-        lines.write.mode("overwrite").text(raw_path)
-    processed = files.spread(lines).where(F.col("value").contains(sep))
+        lines = files.read_lines(spark, source, encoding, header)
+    incoming = files.spread(lines).where(F.col("value").contains(sep))
+    turned = incoming
     for mode, wanted in (("encryption", rules.encryption), ("decryption", rules.decryption)):
         if wanted:
-            processed = apply_rules_to_lines(processed, sep, wanted, keys, mode, home_prefix)
+            turned = apply_rules_to_lines(turned, sep, wanted, keys, mode, home_prefix)
+    processed = turned
+    if raw_path is not None:
+        readable, processed = (turned, incoming) if rules.already_encrypted else (lines, turned)
+        readable.write.mode("overwrite").text(raw_path)
     names = [name for name, _ in files.fields_of(schema)]
     text = frames.drop_columns(files.split_lines(processed, sep, names), delete_columns)
     kept = {"fields": [f for i, f in enumerate(schema["fields"], start=1) if i not in set(delete_columns)]}
     return _write_typed(text, path, kept, WriteSpec())
 
 
+def redelimit(
+    spark: SparkSession, source: str, path: str, old: str, new: str, encoding: str = "UTF-8", target_encoding: str = "UTF-8"
+) -> str:
+    """Text files with another separator and charset; values stay as they are."""
+    lines = files.read_lines(spark, source, encoding)
+    changed = lines.select(X.replace_separator(F.col("value"), old, new).alias("value"))
+    return writers.write_lines(changed, path, new, encoding=target_encoding)
+
+
 def rows_to_lines(rows: DataFrame, order_by: Sequence[str], page_size: int, sep: str = "\x1e") -> DataFrame:
     """Extracted rows as text lines with their page."""
     columns = rows.columns

@@ -67,28 +67,30 @@ def _write_merged(df: DataFrame, path: str, spec: WriteSpec, limit: int = MERGE_
     spark = df.sparkSession
     parent = path.rstrip("/").rpartition("/")[0]
     staged = f"{parent}/_parts-{uuid.uuid4().hex}"  # beside the target; readers skip the underscore
-    parallel = WriteSpec(spec.format, spec.compression, spec.sep, spec.header)
-    _writer(df, parallel).save(staged)
-    if sum(size for _, size in data_files(spark, staged)) > limit:
+    as_text = spec.spark_format == "csv" and not spec.header
+    # Text with a header is staged as parquet, or every part would bring its own header line.
+    rows_format = "parquet" if spec.header else spec.format
+    staging = WriteSpec(spec.format, spec.compression, spec.sep) if as_text else WriteSpec(rows_format)
+    _writer(df, staging).save(staged)
+    small = sum(size for _, size in data_files(spark, staged)) <= limit
+    if small and as_text:
+        merge_text_parts(spark, staged, path, spec)
+    elif small or rows_format != spec.format:
+        rows = spark.read.format(staging.spark_format).schema(df.schema).load(staged)
+        _writer(rows.coalesce(1) if small else rows, spec).save(path)
+    else:
         move_directory(spark, staged, path)
         return path
-    merge_files(spark, staged, path, spec, df)
     fs, target, _ = _hadoop(spark, staged)
     fs.delete(target, True)
-    if spec.file_name:
+    if spec.file_name and small:
         rename_single_part(spark, path, spec.file_name)
     return path
 
 
-def merge_files(spark: SparkSession, source: str, path: str, spec: WriteSpec, like: DataFrame | None = None) -> None:
-    """The files of one directory as a single file in another; text lines are copied as they are."""
-    if spec.spark_format == "csv":
-        spark.read.text(source).coalesce(1).write.mode("overwrite").option("compression", spec.codec).text(path)
-        return
-    reader = spark.read.format(spec.spark_format)
-    if like is not None:
-        reader = reader.schema(like.schema)
-    _writer(reader.load(source).coalesce(1), spec).save(path)
+def merge_text_parts(spark: SparkSession, source: str, path: str, spec: WriteSpec) -> None:
+    """The lines of a small text output in one file, as they are."""
+    spark.read.text(source).coalesce(1).write.mode("overwrite").option("compression", spec.codec).text(path)
 
 
 def merge_small_files(spark: SparkSession, source: str, path: str, limit: int = MERGE_BYTES, force: bool = False) -> bool:

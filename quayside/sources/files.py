@@ -68,6 +68,18 @@ def read_text_columns(spark: SparkSession, path: str | Sequence[str], spec: Read
     return reader.csv(path if isinstance(path, str) else list(path))
 
 
+def read_lines(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8", header: bool = False) -> DataFrame:
+    """Raw text lines as ``value``, decoded; with ``header`` the first line of every file is dropped.
+
+    The text reader knows neither charsets nor headers; one unquoted CSV column does.
+    """
+    paths = path if isinstance(path, str) else list(path)
+    if not header and encoding.upper() in ("UTF-8", "UTF8"):
+        return spark.read.text(paths)
+    reader = spark.read.schema("value string").option("encoding", encoding).option("header", header)
+    return reader.option("sep", "\x00").option("quote", "").option("escape", "").csv(paths)
+
+
 def typed_columns(text: DataFrame, schema, bigint_mode: str = "trunc") -> DataFrame:
     """Text columns to their declared types: blanks and malformed values become null.
 

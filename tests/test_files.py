@@ -152,6 +152,48 @@ def test_text_is_merged_by_size(spark, people, tmp_path):
     assert spark.read.text(str(tmp_path / "more")).count() == 50
 
 
+@pytest.mark.parametrize("limit", [writers.MERGE_BYTES, 1])
+def test_merged_csv_has_one_header_per_file(spark, people, tmp_path, limit):
+    path = str(tmp_path / "x")
+    writers._write_merged(people.repartition(3), path, WriteSpec("csv", None, "|", header=True, merge=True), limit)
+    assert (len(writers.data_files(spark, path)) == 1) == (limit > 1)
+    assert spark.read.option("header", True).option("sep", "|").csv(path).count() == 50
+
+
+def test_raw_lines(spark, tmp_path):
+    for name in "ab":
+        (tmp_path / f"{name}.dat").write_bytes(f'h|{name}\n가|"x\\"y|\\\n'.encode("euc-kr"))
+    got = files.read_lines(spark, str(tmp_path), "EUC-KR", header=True)
+    assert rows(got) == [('가|"x\\"y|\\',)] * 2
+
+
+def test_redelimit_and_reencode(spark, tmp_path):
+    (tmp_path / "a.dat").write_bytes('"가","b,c"\n'.encode("euc-kr"))
+    jobs.redelimit(spark, str(tmp_path / "a.dat"), str(tmp_path / "u"), '","', "\x1e", "EUC-KR")
+    assert rows(spark.read.text(str(tmp_path / "u"))) == [('"가"\x1e"b,c"',)]
+    jobs.redelimit(spark, str(tmp_path / "u"), str(tmp_path / "k"), "\x1e", "|^|", target_encoding="EUC-KR")
+    assert b'"' + "가".encode("euc-kr") + b'"|^|"b,c"\n' in [p.read_bytes() for p in (tmp_path / "k").glob("part-*")]
+
+
+def test_sources_that_arrive_encrypted(spark, tmp_path):
+    rule = CryptoRules(decryption=(CryptoRule("mdn", (2,)),), already_encrypted=True)
+    (tmp_path / "a.txt").write_text("1|MOfLtxzZ0YgS4+5cPylFYw==|2|z\n")
+    schema = {"fields": [{"name": n, "type": "string"} for n in "abcd"]}
+    jobs.land_text_files(
+        spark, str(tmp_path / "a.txt"), str(tmp_path / "out"), schema, "|", rule, KEYS, raw_path=str(tmp_path / "raw")
+    )
+    assert rows(spark.read.text(str(tmp_path / "raw"))) == [("1|hello|2|z",)]
+    assert spark.read.parquet(str(tmp_path / "out")).first()["b"].startswith("MOfL")
+
+
+def test_wildcard_directories(spark, tmp_path):
+    for name in ("EMS1/d1", "EMS2/d1", "OTHER/d1"):
+        (tmp_path / name).mkdir(parents=True)
+        (tmp_path / name / "f.dat").write_text(f"{name}|1\n")
+    got = files.read_lines(spark, f"{tmp_path}/EMS*/d*")
+    assert rows(got) == [("EMS1/d1|1",), ("EMS2/d1|1",)]
+
+
 def test_sized_parts(spark, people, tmp_path):
     path = str(tmp_path / "x")
     assert writers.write_sized(people, path, total_bytes=2500, target_bytes=1000) == 3

@@ -161,6 +161,13 @@ def test_match_files(spark):
     }
 
 
+def test_match_files_by_regex(spark):
+    rows = [("g", "kpi_12.csv", "kpi", r"kpi_\d{2}\."), ("g", "kpi_123.csv", "kpi", r"kpi_\d{2}\.")]
+    frame = spark.createDataFrame(rows, "grp string, name string, pattern string, file_pattern string")
+    got = matching.match_files(frame, ["grp"], "name", "pattern", "file_pattern", use_regex=True).collect()
+    assert [r["name"] for r in got] == ["kpi_12.csv"]
+
+
 def test_archives_holding(spark):
     members = spark.createDataFrame(
         [("a.zip", "in/x_2024.csv"), ("a.zip", "in/other"), ("b.zip", "y.csv"), ("c.zip", "deep/x_2024.csv.bak")],
