@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.config import CipherKeys, CryptoRule
+from quayside.session import local_table
 
 IMSI_LENGTH = 15
 
@@ -25,7 +26,7 @@ def secret(spark: SparkSession, key: str) -> Column:
     raw = key.encode()
     if len(raw) not in (16, 24, 32):
         raise ValueError("an AES key has 16, 24 or 32 bytes")
-    return spark.createDataFrame([(raw,)], "secret binary").scalar()
+    return local_table(spark, {"secret": [raw]}).scalar()
 
 
 def secrets_for(spark: SparkSession, keys: CipherKeys, rules: Iterable[CryptoRule]) -> dict[str, Column]:

@@ -9,6 +9,7 @@ from quayside.functions import paths as P
 from quayside.operators import frames, matching
 from quayside.plans import jobs
 from quayside.plans.registry import check, table
+from quayside.session import local_table
 
 
 def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +106,7 @@ def meta_theta(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = landed_events(spark, sf_dir)
     kinds = landed.where("event_type <> 'error'").select("event_type").distinct()
     rules = kinds.select(F.concat(F.lit("/db=d_ev/tb="), "event_type").alias("dir"), F.col("event_type").alias("rule"))
-    fixed = spark.createDataFrame([("/db=d_ev", "all"), ("/tb=view/dt=20240105", "day"), ("/tb=vie", "none")], "dir string, rule string")
+    fixed = local_table(spark, {"dir": ["/db=d_ev", "/tb=view/dt=20240105", "/tb=vie"], "rule": ["all", "day", "none"]})
     hits = matching.join_contained(landed, "path", rules.unionByName(fixed), "dir")
     return hits.select("event_id", "rule")
 
@@ -123,13 +124,13 @@ def meta_theta(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def delivery_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One delivery per landed path and rule, with its destination."""
-    rules = spark.createDataFrame(
-        [
-            ("lake", "/db=d_ev/tb=view", "/lake/dt=${yyyyMMdd}/etl_hh=${HH}"),
-            ("cloud", "/db=d_ev/tb=view", "s3a://out/event_time=${yyyyMMddHH}"),
-            ("cloud2", "/db=d_ev/tb=click", "s3a://out/event_time=${yyyyMMddHH}"),
-        ],
-        "rule string, collect_dir string, target_dir string",
+    rules = local_table(
+        spark,
+        {
+            "rule": ["lake", "cloud", "cloud2"],
+            "collect_dir": ["/db=d_ev/tb=view", "/db=d_ev/tb=view", "/db=d_ev/tb=click"],
+            "target_dir": ["/lake/dt=${yyyyMMdd}/etl_hh=${HH}", *["s3a://out/event_time=${yyyyMMddHH}"] * 2],
+        },
     )
     return jobs.plan_delivery(landed_events(spark, sf_dir), "path", rules).select("event_id", "rule", "dest_path")
 
@@ -184,7 +185,9 @@ def partition_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def status_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status names by code."""
-    codes = spark.createDataFrame([("error", "Failed"), ("view", "Success"), ("click", "Retry")], "event_type string, status_nm string")
+    codes = local_table(
+        spark, {"event_type": ["error", "view", "click"], "status_nm": ["Failed", "Success", "Retry"]}
+    )
     return table(spark, sf_dir, "events").join(matching.small_side(codes), "event_type", "left").select("event_id", "status_nm")
 
 

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # Cipher keys are literals of aes_* expressions; this keeps them out of plan text.
@@ -81,6 +82,11 @@ def release_scratch(spark: SparkSession) -> int:
     return len(paths)
 
 
+def local_table(spark: SparkSession, columns: dict[str, list]) -> DataFrame:
+    """A small configuration table held in the plan itself; reading it needs no Python worker."""
+    return spark.createDataFrame(pa.table(columns))
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
