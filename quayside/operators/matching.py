@@ -13,7 +13,6 @@ from quayside.operators.ordering import join_same, with_next
 
 BROADCAST_BYTES = 8 * 1024 * 1024
 BROADCAST_ROWS = 100_000
-MAX_LENGTHS = 512
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -36,30 +35,30 @@ def _segments(directory: Column) -> Column:
     return F.length(directory) - F.length(F.replace(directory, F.lit("/"), F.lit("")))
 
 
-def directory_runs(directory: Column, depths: Sequence[int]) -> Column:
+def directory_runs(directory: Column, depths: Column) -> Column:
     """Every run of n consecutive segments, for each n of ``depths``: ``/a/b`` with 1 and 2 gives /a, /b, /a/b."""
 
     def all_runs(folder: Column) -> Column:
-        def runs(depth: int) -> Column:
-            starts = F.sequence(F.lit(1), folder["n"] - depth + 1)
-
+        def runs(depth: Column) -> Column:
             def run(start: Column) -> Column:
                 upto = F.call_function("substring_index", folder["text"], F.lit("/"), start + depth)
-                return F.concat(F.lit("/"), F.substring_index(upto, "/", -depth))
+                return F.concat(F.lit("/"), F.call_function("substring_index", upto, F.lit("/"), -depth))
 
+            starts = F.sequence(F.lit(1), folder["n"] - depth + 1)
             return F.when(folder["n"] >= depth, F.transform(starts, run)).otherwise(F.array().cast("array<string>"))
 
-        return F.array_distinct(F.flatten(F.array(*[runs(depth) for depth in depths])))
+        return F.array_distinct(F.flatten(F.transform(depths, runs)))
 
     return bind(F.struct(directory.alias("text"), _segments(directory).alias("n")), all_runs)
 
 
-def _depths(rules: DataFrame, directory: str) -> list[int]:
-    """Segment counts that occur among rule directories; paths are a few segments deep."""
-    found = rules.select(_segments(F.col(directory)).alias("n")).distinct().orderBy("n").limit(MAX_LENGTHS + 1).collect()
-    if len(found) > MAX_LENGTHS:
-        raise ValueError("rule directories have too many different depths")
-    return [row[0] for row in found]
+def _occurring(df: DataFrame, number: Column) -> Column:
+    """The different values of a small number as a constant array.
+
+    It holds segment counts or name lengths: no more entries than a path has characters.
+    """
+    found = df.agg(F.array_sort(F.collect_set(number))).first()[0]
+    return F.array(*[F.lit(n) for n in found]).cast("array<int>")
 
 
 def join_contained(paths: DataFrame, path: str, rules: DataFrame, directory: str) -> DataFrame:
@@ -71,9 +70,7 @@ def join_contained(paths: DataFrame, path: str, rules: DataFrame, directory: str
     directories are matched first, and files get the hits of their directory.
     """
     rooted = rules.where(F.startswith(F.col(directory), F.lit("/"))).withColumn("_dir", F.col(directory))
-    depths = _depths(rooted, directory)
-    if not depths:
-        depths = [1]
+    depths = _occurring(rooted, _segments(F.col(directory)))
     located = paths.withColumn("_folder", P.parent(F.col(path)))
     if is_small(rooted):
         keyed = located.withColumn("_dir", F.explode(directory_runs(F.col("_folder"), depths)))
@@ -130,18 +127,16 @@ def archives_holding(members: DataFrame, wanted: DataFrame, archive: str, member
     names the substrings are tested as they arise and never moved.
     """
     names = wanted.select(name).distinct()
-    lengths = [r[0] for r in names.select(F.length(name).alias("n")).distinct().orderBy("n").limit(MAX_LENGTHS + 1).collect()]
-    if len(lengths) > MAX_LENGTHS:
-        raise ValueError("wanted names have too many different lengths")
-    keys = F.flatten(F.array(*[_substrings(F.col(member), n) for n in lengths])) if lengths else F.array()
-    pieces = members.select(archive, F.explode(F.array_distinct(keys)).alias(name))
+    text, lengths = F.col(member), _occurring(names, F.length(name))
+    keys = F.array_distinct(F.flatten(F.transform(lengths, lambda length: _substrings(text, length))))
+    pieces = members.select(archive, F.explode(keys).alias(name))
     return pieces.join(small_side(names), name, "left_semi").select(archive).distinct()
 
 
-def _substrings(text: Column, length: int) -> Column:
+def _substrings(text: Column, length: Column) -> Column:
     last = F.length(text) - length + 1
     return F.when(
-        last >= 1, F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(text, i, F.lit(length)))
+        last >= 1, F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(text, i, length))
     ).otherwise(F.array().cast("array<string>"))
 
 
