@@ -1,6 +1,7 @@
 """Checked queries over the given tables; importing this package registers all of them."""
 
 from quayside.plans.checks import (  # noqa: F401
+    bundles,
     ciphers,
     discovery,
     exchange,

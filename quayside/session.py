@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +27,7 @@ RUNTIME_SETTINGS = {
 
 _local_folders: dict[str, str] = {}
 _scratch: dict[str, list[str]] = {}
+_shipped: set[str] = set()
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -82,6 +85,20 @@ def release_scratch(spark: SparkSession) -> int:
     return len(paths)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers, for the few operators that run Python in tasks."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    bundle = Path(tempfile.mkdtemp(prefix="quayside-")) / "quayside.zip"
+    with zipfile.ZipFile(bundle, "w") as target:
+        for source in sorted(root.rglob("*.py")):
+            target.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(bundle))
+    _shipped.add(context.applicationId)
+
+
 def local_table(spark: SparkSession, columns: dict[str, list]) -> DataFrame:
     """A small configuration table held in the plan itself; reading it needs no Python worker."""
     return spark.createDataFrame(pa.table(columns))

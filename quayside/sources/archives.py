@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.session import ship_package
+
 LINES = "archive string, member string, line_no bigint, line string"
 MEMBERS = "archive string, member string, size bigint"
 
@@ -62,6 +64,7 @@ def _lines(archive: str, member: str, opened, encoding: str) -> Iterator[tuple]:
 
 
 def _archives(spark: SparkSession, path: str) -> DataFrame:
+    ship_package(spark)
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return found.where(F.col("path").rlike(_NAMES))
 
