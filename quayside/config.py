@@ -40,14 +40,19 @@ def normalise_separator(text: str) -> str:
 
 @dataclass(frozen=True)
 class ReadSpec:
-    """How files of one source are read."""
+    """How files of one source are read.
+
+    ``quote=""`` takes quotes as they are. ``multi_line`` allows line breaks inside
+    quotes, at the price of one task per file.
+    """
 
     format: str = "csv"
     sep: str = UNIT_SEPARATOR
     encoding: str = "UTF-8"
     header: bool = False
-    quote: str | None = None
+    quote: str = '"'
     schema: str | Mapping | None = None
+    multi_line: bool = False
 
 
 @dataclass(frozen=True)
@@ -61,6 +66,7 @@ class WriteSpec:
     merge: bool = False
     file_name: str | None = None
     partition_by: Sequence[str] = ()
+    escape: str | None = None
 
     @property
     def spark_format(self) -> str:

@@ -106,14 +106,18 @@ def export_csv(
     string_null: bool = False,
     compression: str = "none",
 ) -> str:
-    """Text export without header: zoned timestamps, all columns as strings, nulls as empty fields."""
+    """Text export without header: zoned timestamps, all columns as strings, nulls as empty fields.
+
+    Values that hold a one-byte separator are quoted, with doubled quotes inside; longer
+    separators are written without any quoting.
+    """
     result = frames.zoned_timestamps(df, zone) if zone else df
     result = frames.all_strings(result)
     if string_null:
         result = frames.literal_nulls(result)
     if len(sep.encode()) > 1:
         return writers.write_lines(result, path, sep, compression)
-    return writers.write_files(result, path, WriteSpec("csv", compression, sep))
+    return writers.write_files(result, path, WriteSpec("csv", compression, sep, escape='"'))
 
 
 def land_text_files(

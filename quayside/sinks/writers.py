@@ -40,6 +40,8 @@ def _writer(df: DataFrame, spec: WriteSpec):
             .option("ignoreLeadingWhiteSpace", False)
             .option("ignoreTrailingWhiteSpace", False)
         )
+        if spec.escape is not None:
+            writer = writer.option("escape", spec.escape)
     if spec.partition_by:
         writer = writer.partitionBy(*spec.partition_by)
     return writer

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,28 +43,26 @@ def read_files(spark: SparkSession, path: str | Sequence[str], spec: ReadSpec) -
     """Files of one format; a declared schema applies to delimited files only."""
     if spec.format in COLUMNAR:
         return _load(spark, spec.format, path)
-    reader = (
+    reader = _text_reader(spark, spec)
+    if spec.schema is not None:
+        reader = reader.schema(struct_of(spec.schema))
+    return reader.csv(path if isinstance(path, str) else list(path))
+
+
+def _text_reader(spark: SparkSession, spec: ReadSpec) -> DataFrameReader:
+    return (
         spark.read.option("sep", unescape_separator(spec.sep))
         .option("encoding", spec.encoding)
         .option("header", spec.header)
         .option("enforceSchema", True)
-        .option("quote", spec.quote if spec.quote is not None else "")
+        .option("quote", spec.quote)
+        .option("multiLine", spec.multi_line)
     )
-    if spec.schema is not None:
-        reader = reader.schema(struct_of(spec.schema))
-    return reader.csv(path if isinstance(path, str) else list(path))
 
 
 def read_text_columns(spark: SparkSession, path: str | Sequence[str], spec: ReadSpec) -> DataFrame:
-    """Delimited files with the declared names, every value as text, nothing dropped or cast."""
-    raw = ReadSpec("csv", spec.sep, spec.encoding, spec.header, spec.quote, None)
-    reader = (
-        spark.read.option("sep", unescape_separator(raw.sep))
-        .option("encoding", raw.encoding)
-        .option("header", raw.header)
-        .option("quote", raw.quote if raw.quote is not None else "")
-        .schema(text_struct(spec.schema))
-    )
+    """Delimited files with the declared names, every value as text; doubled quotes stand for one."""
+    reader = _text_reader(spark, spec).option("escape", spec.quote).schema(text_struct(spec.schema))
     return reader.csv(path if isinstance(path, str) else list(path))
 
 

@@ -310,6 +310,20 @@ def test_export_keeps_commas_inside_values(spark, tmp_path):
     assert rows(spark.read.text(str(tmp_path / "x"))) == [("1␞a,b␞",), ("2␞␞x",)]
 
 
+def test_quotes(spark, tmp_path):
+    frame = spark.createDataFrame([(1, 'say "hi", you'), (2, "plain")], "i int, t string")
+    path = jobs.export_csv(frame, str(tmp_path / "x"), ",")
+    assert rows(spark.read.text(path)) == [('1,"say ""hi"", you"',), ("2,plain",)]
+    names = {"fields": [{"name": "i", "type": "string"}, {"name": "t", "type": "string"}]}
+    assert rows(files.read_text_columns(spark, path, ReadSpec("csv", ",", schema=names))) == [("1", 'say "hi", you'), ("2", "plain")]
+    (tmp_path / "q.dat").write_text('1|"a\n')
+    raw = files.read_text_columns(spark, str(tmp_path / "q.dat"), ReadSpec("csv", "|", quote="", schema=names))
+    assert rows(raw) == [("1", '"a')]
+    (tmp_path / "m.dat").write_text('1|"a\nb"\n')
+    multi = files.read_text_columns(spark, str(tmp_path / "m.dat"), ReadSpec("csv", "|", schema=names, multi_line=True))
+    assert rows(multi) == [("1", "a\nb")]
+
+
 def test_database_helpers():
     assert database.page_ranges(10, 5) == [(0, 5), (5, 10)]
     assert database.page_ranges(11, 5)[-1] == (10, 11)
