@@ -16,10 +16,13 @@ BROADCAST_ROWS = 100_000
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether a lookup side may be broadcast: counted and measured, reading ``max_rows + 1`` rows at most."""
-    probe = df.limit(max_rows + 1).select(F.octet_length(F.to_json(F.struct("*"))).alias("n"))
-    rows, size = probe.agg(F.count("n"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    return rows <= max_rows and size <= max_bytes
+    """Whether a lookup side may be broadcast: its rows are counted and their sizes added up.
+
+    Only the sizes reach the driver, and no more than ``max_rows + 1`` of them: Spark
+    stops reading a larger side once it has found that many.
+    """
+    sizes = df.select(F.octet_length(F.to_json(F.struct("*"))).alias("n")).take(max_rows + 1)
+    return len(sizes) <= max_rows and sum(row["n"] for row in sizes) <= max_bytes
 
 
 def small_side(df: DataFrame) -> DataFrame:
