@@ -14,6 +14,7 @@ from quayside.functions.crypto import apply_rules, apply_rules_to_lines
 from quayside.operators import frames, governance, matching
 from quayside.operators.ordering import page_rows
 from quayside.plans.report import Report, report, watched
+from quayside.session import scratch_path
 from quayside.sinks import writers
 from quayside.sources import archives, files
 
@@ -120,6 +121,34 @@ def export_csv(
     return writers.write_files(result, path, WriteSpec("csv", compression, sep, escape='"'))
 
 
+def export_partition(
+    spark: SparkSession,
+    source: str,
+    path: str,
+    sep: str = ",",
+    add_partitions: bool = False,
+    merge: bool = False,
+    string_null: bool = False,
+    zone: str | None = "Asia/Seoul",
+) -> str:
+    """A landed parquet partition as text, optionally with its dt and hh as columns and in one file.
+
+    Merged output is one file up to 4 GiB, and files of about that size beyond.
+    """
+    frame = files.read_files(spark, source, ReadSpec("parquet"))
+    if add_partitions:
+        keys = [key for key in _present_keys(source, ()) if key in ("dt", "hh")]
+        if "dt" not in keys:
+            raise ValueError(f"no dt= in {source}")
+        data_columns = [c for c in frame.columns if c not in keys]
+        frame = files.with_path_partitions(frame.select("*", "_metadata"), keys).select(*data_columns, *keys)
+    if not merge:
+        return export_csv(frame, path, sep, zone, string_null)
+    staged = export_csv(frame, scratch_path(spark, "export"), sep, zone, string_null)
+    writers.merge_text(spark, [staged], path, writers.MERGE_BYTES)
+    return path
+
+
 def land_text_files(
     spark: SparkSession,
     source: str,

@@ -310,6 +310,19 @@ def test_export_keeps_commas_inside_values(spark, tmp_path):
     assert rows(spark.read.text(str(tmp_path / "x"))) == [("1␞a,b␞",), ("2␞␞x",)]
 
 
+def test_export_of_a_partition(spark, people, tmp_path):
+    source = str(tmp_path / "db=a/tb=t/dt=20240101/hh=03")
+    stamped = people.select("id", F.lit("2024-01-01 20:00:00").cast("timestamp").alias("ts")).repartition(3)
+    stamped.write.parquet(source)
+    path = jobs.export_partition(spark, source, str(tmp_path / "x"), "|^|", add_partitions=True, merge=True)
+    assert len(writers.data_files(spark, path)) == 1
+    lines = sorted(r[0] for r in spark.read.text(path).collect())
+    assert lines[0] == "0|^|2024-01-02 05:00:00|^|20240101|^|03" and len(lines) == 50
+    with pytest.raises(ValueError):
+        stamped.write.parquet(str(tmp_path / "plain"))
+        jobs.export_partition(spark, str(tmp_path / "plain"), str(tmp_path / "y"), add_partitions=True)
+
+
 def test_quotes(spark, tmp_path):
     frame = spark.createDataFrame([(1, 'say "hi", you'), (2, "plain")], "i int, t string")
     path = jobs.export_csv(frame, str(tmp_path / "x"), ",")
