@@ -11,8 +11,7 @@ TRUE_WORDS = ("true", "1", "t", "y", "yes")
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
-_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-_NOT_FINITE = r"(?i)^\s*[+-]?(inf|infinity|nan)\s*$"
+_NUMBER = r"(?i)^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf|infinity|nan)\s*$"
 _WHOLE = r"^\s*[+-]?\d+(\.0*)?\s*$"
 
 
@@ -22,7 +21,7 @@ def to_int(text: Column) -> Column:
 
 def _as_double(text: Column) -> Column:
     """Only plain number text; the JVM would also take ``1d`` or ``0x1p3``."""
-    return F.when(text.rlike(_NUMBER) | text.rlike(_NOT_FINITE), F.trim(text).try_cast("double"))
+    return F.when(text.rlike(_NUMBER), F.trim(text).try_cast("double"))
 
 
 def to_bigint(text: Column, mode: str = "trunc") -> Column:
@@ -33,8 +32,9 @@ def to_bigint(text: Column, mode: str = "trunc") -> Column:
     if mode not in ("trunc", "floor"):
         raise ValueError(f"mode must be trunc or floor, not {mode!r}")
     number = _as_double(text)
-    fraction_free = F.floor(number) if mode == "floor" else number
-    whole = F.when(number.isNotNull() & ~F.isnan(number), fraction_free.try_cast("bigint"))
+    whole = number.try_cast("bigint")  # toward zero; null when it does not fit
+    if mode == "floor":
+        whole = whole - F.when(number < whole, 1).otherwise(0)
     return F.coalesce(F.trim(text).try_cast("bigint"), whole)
 
 

@@ -29,7 +29,9 @@ def test_numbers(spark):
     assert results(spark, ["12", " 7 ", "1.9", "abc", "", None], C.to_int) == [12, 7, None, None, None, None]
     big = ["2.9", "-1.5", "9007199254740993", "x", "1e3", "1d", "0x10", "nan", "1e400", None]
     assert results(spark, big, C.to_bigint) == [2, -1, 9007199254740993, None, 1000, None, None, None, None, None]
-    assert results(spark, big, lambda c: C.to_bigint(c, "floor"))[:3] == [2, -2, 9007199254740993]
+    floors = [2, -2, 9007199254740993, None, 1000, None, None, None, None, None]
+    assert results(spark, big, lambda c: C.to_bigint(c, "floor")) == floors
+    assert results(spark, ["-3.0", "-0.2", "inf", "-Infinity"], lambda c: C.to_bigint(c, "floor")) == [-3, -1, None, None]
     assert results(spark, [" 1.5 ", "1f", "-.5", "inf"], C.to_double) == [1.5, None, -0.5, float("inf")]
     assert results(spark, ["12", "1.50", "x", "3.0"], C.to_decimal) == [decimal.Decimal(12), None, None, decimal.Decimal(3)]
 
