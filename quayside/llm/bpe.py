@@ -1,22 +1,24 @@
 """Byte-level BPE over space-led pieces, with a bounded cache in each worker.
 
-The tokenizer cuts a text into pre-tokens that never join across a space followed by a non-space. Cutting there
-therefore gives pieces that can be encoded one by one; frequent pieces are then encoded once for each worker.
-Texts with longer runs of white space take the tokenizer's own way. The ids are those of the library either way.
+Where a space is followed by a non-space, the tokenizer always starts a new pre-token, whatever stands before. Cutting there
+therefore gives pieces that can be encoded one by one, and each distinct piece is encoded once for each worker. The ids
+are those of the library.
 """
 
 from __future__ import annotations
 
 import functools
 import re
+import struct
 
-import numpy as np
 from tokenizers import Tokenizer
 
-#: Pieces that a worker remembers; about 100 MB.
-CACHE_PIECES = 600_000
+#: Pieces that a worker remembers; about 250 MB.
+CACHE_PIECES = 1_200_000
 
-_RUN = re.compile(r"\s\s")
+#: Spaces that start no piece: those before white space, and a last one behind white space.
+_RUN = re.compile(r" \s|\s \Z")
+_CUT = re.compile(r" (?=\S)")
 
 
 class PieceEncoder:
@@ -27,6 +29,7 @@ class PieceEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.limit = limit
+        #: Ids of pieces, given without the space in front.
         self.known: dict[str, bytes] = {}
         #: Pieces may be cut at spaces only if this is the byte-level scheme that keeps spaces in front.
         scheme = self.tokenizer.pre_tokenizer
@@ -38,35 +41,34 @@ class PieceEncoder:
             and not any(" " in t.content or t.lstrip or t.rstrip or t.single_word for t in added)
         )
 
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(pieces, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, by the library, as little-endian unsigned 32-bit numbers."""
+        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        return [struct.pack(f"<{len(x.ids)}I", *x.ids) for x in found]
 
-    def pieces(self, text: str) -> list[str] | None:
-        """Space-led pieces; None if the text must be encoded whole."""
-        if not self.cuts or _RUN.search(text):
-            return None
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]] if rest else [first]
+    def pieces(self, text: str) -> tuple[str, list[str]]:
+        """The part before the first cut, and the pieces behind cuts without their space."""
+        if not self.cuts:
+            return text, []
+        first, *rest = _CUT.split(text) if _RUN.search(text) else text.split(" ")
+        return first, rest
 
     def learn(self, pieces: set[str]) -> None:
-        """Encode pieces not yet known."""
+        """Encode pieces not yet known; where the cache is full it starts anew."""
         new = [x for x in pieces if x not in self.known]
         if len(self.known) + len(new) > self.limit:
             self.known = {}
             new = list(pieces)
-        self.known.update(zip(new, self._encode(new), strict=True))
+        self.known.update(zip(new, self.encode([" " + x for x in new]), strict=True))
 
     def ids(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit numbers."""
-        pieces = self.pieces(text)
-        if pieces is None:
-            return self._encode([text])[0]
+        first, rest = self.pieces(text)
         try:
-            return b"".join(map(self.known.__getitem__, pieces))
+            body = b"".join(map(self.known.__getitem__, rest))
         except KeyError:
-            self.learn(set(pieces))
-            return b"".join(map(self.known.__getitem__, pieces))
+            self.learn(set(rest))
+            body = b"".join(map(self.known.__getitem__, rest))
+        return self.encode([first])[0] + body
 
 
 @functools.cache

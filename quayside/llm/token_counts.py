@@ -25,7 +25,7 @@ def _count_sample(batches: Iterator[pa.RecordBatch], path: str, most: int) -> It
     tool, seen = encoder(path), Counter()
     for batch in batches:
         for text in batch.column(0).to_pylist():
-            seen.update(tool.pieces(text or "") or ())
+            seen.update(tool.pieces(text or "")[1])
     frequent = sorted((p for p, n in seen.items() if n > 1), key=lambda p: (-seen[p], p))[:most]
     tool.learn(set(frequent))
     yield pa.RecordBatch.from_pydict(
@@ -47,14 +47,13 @@ def frequent_lengths(docs: DataFrame, path: str, text: str, key: str) -> dict[st
 
 def count_tokens(tool: PieceEncoder, frequent: dict[str, int], text: str) -> int:
     """Tokens of one text: first tier the frequent table, second tier the worker's cache, else the tokenizer."""
-    pieces = tool.pieces(text)
-    if pieces is None:
-        return len(tool.tokenizer.encode(text, add_special_tokens=False).ids)
+    head, pieces = tool.pieces(text)
     first = list(map(frequent.get, pieces))
     rest = [p for p, n in zip(pieces, first, strict=True) if n is None]
     if any(p not in tool.known for p in rest):
         tool.learn(set(rest))
-    return sum(filter(None, first)) + sum(len(tool.known[p]) for p in rest) // 4
+    held = sum(len(tool.known[p]) for p in rest) + len(tool.encode([head])[0])
+    return sum(filter(None, first)) + held // 4
 
 
 def with_token_counts(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", name: str = "n_tokens") -> DataFrame:

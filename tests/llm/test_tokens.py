@@ -1,5 +1,6 @@
 """Token counts and packing against the tokenizer itself."""
 
+import random
 import zlib
 from collections import defaultdict
 
@@ -13,7 +14,7 @@ from quayside.llm.bpe import PieceEncoder
 from tests.llm.cases import awkward, documents, empty, prose
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
-AWKWARD = ["a <|endoftext|> b", "x<|endoftext|>y", " lead", "trail ", "a  b", "a \n b", "it's we'll 12 ½ ²", "\x1c\x85\r\n", "_a_ __", "", "don't  stop"]
+AWKWARD = ["a <|endoftext|> b", "x<|endoftext|>y", " lead", "trail ", "a  b", "a \n b", "it's we'll 12 ½ ²", "\x1c\x85\r\n", "_a_ __", "", "don't  stop", "a\n ", "a \n", "a   b \t c", "x\n\n y\n \nz"]
 
 
 @pytest.fixture(scope="module")
@@ -31,6 +32,14 @@ def test_pieces_give_the_library_ids(library):
         assert np.frombuffer(tool.ids(text), "<u4").tolist() == ids(library, text)
 
 
+def test_random_white_space(library):
+    tool, draw = PieceEncoder(PATH), random.Random(3)
+    parts = [" ", "  ", "\n", "\t", "a", "word", "'s", "<|endoftext|>", ".", "1", "é", "\x1c", "\x85", "\xa0", "\r\n", "😀", "_", "²"]
+    for _ in range(3000):
+        text = "".join(draw.choices(parts, k=draw.randint(0, 14)))
+        assert np.frombuffer(tool.ids(text), "<u4").tolist() == ids(library, text), repr(text)
+
+
 def test_counts(spark, library):
     docs = documents(spark, AWKWARD).unionByName(awkward(spark, clash=False))
     rows = token_counts.with_token_counts(docs.withColumn("piece", docs.doc_id), PATH).collect()
@@ -41,7 +50,7 @@ def test_counts(spark, library):
 def test_counts_do_not_depend_on_the_frequent_table(library):
     tool = PieceEncoder(PATH)
     text = "the cat and the dog, don't"
-    pieces = tool.pieces(text)
+    pieces = tool.pieces(text)[1]
     tool.learn(set(pieces))
     table = {p: len(tool.known[p]) // 4 for p in pieces[:3]}
     assert token_counts.count_tokens(tool, table, text) == token_counts.count_tokens(tool, {}, text) == len(ids(library, text))
