@@ -19,6 +19,10 @@ CACHE_PIECES = 1_200_000
 #: Spaces that start no piece: those before white space, and a last one behind white space.
 _RUN = re.compile(r" \s|\s \Z")
 _CUT = re.compile(r" (?=\S)")
+#: Marks that may follow a word in a piece; none of them begins a special token or a contraction.
+_MARKS = ".,;:!?"
+#: Letters below it are letters in every version of Unicode.
+_LATIN_END = "\u0250"
 
 
 class PieceEncoder:
@@ -31,6 +35,7 @@ class PieceEncoder:
         self.limit = limit
         #: Ids of pieces, given without the space in front.
         self.known: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
         #: Pieces may be cut at spaces only if this is the byte-level scheme that keeps spaces in front.
         scheme = self.tokenizer.pre_tokenizer
         added = self.tokenizer.get_added_tokens_decoder().values()
@@ -41,6 +46,19 @@ class PieceEncoder:
             and not any(" " in t.content or t.lstrip or t.rstrip or t.single_word for t in added)
         )
 
+        if self.cuts:
+            #: The character that stands for each byte inside the model, learned from the tokenizer itself.
+            points = [*range(0x800), *range(0x800, 0x10FFFF, 0x1000)]
+            chars = [chr(x) for x in points if not 0xD800 <= x < 0xE000]
+            shown = ("".join(p for p, _ in scheme.pre_tokenize_str(c)) for c in chars)
+            self.shown = {b: s for c, mapped in zip(chars, shown) for b, s in zip(c.encode(), mapped, strict=True)}
+            self.model = self.tokenizer.model
+
+    def _encode_word(self, word: str) -> bytes:
+        """Ids of a space and letters, which are one pre-token, straight from the model."""
+        found = self.model.tokenize((" " + word).encode().decode("latin-1").translate(self.shown))
+        return struct.pack(f"<{len(found)}I", *[t.id for t in found])
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, by the library, as little-endian unsigned 32-bit numbers."""
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
@@ -54,12 +72,31 @@ class PieceEncoder:
         return first, rest
 
     def learn(self, pieces: set[str]) -> None:
-        """Encode pieces not yet known; where the cache is full it starts anew."""
-        new = [x for x in pieces if x not in self.known]
-        if len(self.known) + len(new) > self.limit:
-            self.known = {}
+        """Encode pieces not yet known; where the cache is full it starts anew.
+
+        Letters, and letters with marks behind them, are cut once more, as the tokenizer does: a mark starts a pre-token.
+        """
+        known = self.known
+        new = [x for x in pieces if x not in known]
+        if len(known) + 2 * len(new) > self.limit:
+            known.clear()
+            self.marks.clear()
             new = list(pieces)
-        self.known.update(zip(new, self.encode([" " + x for x in new]), strict=True))
+        other = []
+        for piece in new:
+            word = piece.rstrip(_MARKS)
+            if not (word.isalpha() and max(word) < _LATIN_END):
+                other.append(piece)
+                continue
+            ids = known.get(word)
+            if ids is None:
+                ids = known[word] = self._encode_word(word)
+            if len(word) < len(piece):
+                marks = piece[len(word) :]
+                if marks not in self.marks:
+                    self.marks[marks] = self.encode([marks])[0]
+                known[piece] = ids + self.marks[marks]
+        known.update(zip(other, self.encode([" " + x for x in other]), strict=True))
 
     def ids(self, text: str) -> bytes:
         first, rest = self.pieces(text)

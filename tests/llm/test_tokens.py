@@ -14,7 +14,7 @@ from quayside.llm.bpe import PieceEncoder
 from tests.llm.cases import awkward, documents, empty, prose
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
-AWKWARD = ["a <|endoftext|> b", "x<|endoftext|>y", " lead", "trail ", "a  b", "a \n b", "it's we'll 12 ½ ²", "\x1c\x85\r\n", "_a_ __", "", "don't  stop", "a\n ", "a \n", "a   b \t c", "x\n\n y\n \nz"]
+AWKWARD = ["a <|endoftext|> b", "x<|endoftext|>y", " lead", "trail ", "a  b", "a \n b", "it's we'll 12 ½ ²", "\x1c\x85\r\n", "_a_ __", "", "don't  stop", "a\n ", "a \n", "a   b \t c", "x\n\n y\n \nz", "Üß, straße. naïve!? 漢字。 ok...", "a word, a word. a word"]
 
 
 @pytest.fixture(scope="module")
