@@ -33,6 +33,12 @@ def spans(found: Column) -> Column:
     return F.aggregate(found, start, add, lambda state: state["out"])
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """``spans`` of a pattern; texts without a match are not taken apart."""
-    return F.when(F.rlike(text, F.lit(pattern)), spans(pieces(text, pattern))).otherwise(F.array().cast(SPANS))
+def matches(text: Column, pattern: str, hint: str | None = None) -> Column:
+    """``spans`` of a pattern; texts without a match are not taken apart.
+
+    ``hint`` is a cheap pattern that stands in every match; a text without it is not searched further.
+    """
+    found = F.rlike(text, F.lit(pattern))
+    if hint is not None:
+        found = F.rlike(text, F.lit(hint)) & found
+    return F.when(found, spans(pieces(text, pattern))).otherwise(F.array().cast(SPANS))

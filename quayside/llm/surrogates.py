@@ -24,6 +24,8 @@ PATTERNS = {
     "name": rf"(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: Every match holds a digit, an at sign or a title.
+HINT = rf"[0-9@]|(?:{_TITLE})\.? "
 
 #: First names by script and gender, and syllables of family names by script.
 FIRST = {
@@ -169,7 +171,7 @@ def _formatted(kind: Column, value: Column, fresh: Column) -> Column:
 
 def with_entities(docs: DataFrame, text: str, name: str = "pii_found") -> DataFrame:
     """``docs`` with an array of ``struct(start, end, value, kind, ident)`` of the personal data in each whole text."""
-    found = docs.withColumn("pii_match", matches(searchable(F.col(text)), ANY))
+    found = docs.withColumn("pii_match", matches(searchable(F.col(text)), ANY, HINT))
 
     def described(m: Column) -> Column:
         kind = kind_of(m["value"])
