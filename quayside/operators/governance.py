@@ -129,8 +129,12 @@ def landed_version(name: Column) -> Column:
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """Row count and an order-free checksum of all rows."""
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    """Row count and a checksum of all rows that depends on neither row nor column order.
+
+    The hash passes over nulls, so each row also gives which of its columns are null.
+    """
+    columns = [F.col(f"`{c}`") for c in sorted(df.columns)]
+    row_hash = F.xxhash64(*columns, *[c.isNull() for c in columns])
     return df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(row_hash.cast("decimal(28,0)")), F.lit(0).cast("decimal(38,0)")).alias("checksum"),
@@ -142,9 +146,13 @@ COPY_SUCCESS, COPY_UNEQUAL = 4, 5
 
 
 def reconcile(source: DataFrame, target: DataFrame, skip_verify: bool = False) -> DataFrame:
-    """Counts of both sides and the copy status; ``skip_verify`` accepts any copy."""
+    """Counts of both sides and the copy status; ``skip_verify`` accepts any copy.
+
+    Columns are compared by name; other names make the copy unequal.
+    """
     sides = fingerprint(source).withColumn("target", fingerprint(target).select(F.struct("rows", "checksum")).scalar())
     same = (F.col("rows") == F.col("target.rows")) & (F.col("checksum") == F.col("target.checksum"))
+    same = same & F.lit(sorted(source.columns) == sorted(target.columns))
     return sides.select(
         F.col("rows").alias("source_rows"),
         F.col("target.rows").alias("target_rows"),

@@ -67,13 +67,15 @@ def _occurring(df: DataFrame, number: Column) -> Column:
 def join_contained(paths: DataFrame, path: str, rules: DataFrame, directory: str) -> DataFrame:
     """Paths with every rule whose directory, followed by ``/``, occurs in the path.
 
-    Rule directories start with ``/``, so a hit covers whole segments, and the path's
-    segment runs are matched by equality; no rule list is searched row by row. Few
+    A rule directory without a leading ``/`` gets one, and a trailing ``/`` is ignored, so a hit covers
+    whole segments, and the path's segment runs are matched by equality; no rule list is searched row by row.
+    Blank and null directories match nothing. Few
     rules are broadcast, so paths are not moved. With many rules the distinct
     directories are matched first, and files get the hits of their directory.
     """
-    rooted = rules.where(F.startswith(F.col(directory), F.lit("/"))).withColumn("_dir", F.col(directory))
-    depths = _occurring(rooted, _segments(F.col(directory)))
+    whole = F.concat(F.lit("/"), F.regexp_replace(F.trim(F.col(directory)), "^/+|/+$", ""))
+    rooted = rules.withColumn("_dir", whole).where("length(_dir) > 1")
+    depths = _occurring(rooted, _segments(F.col("_dir")))
     located = paths.withColumn("_folder", P.parent(F.col(path)))
     if is_small(rooted):
         keyed = located.withColumn("_dir", F.explode(directory_runs(F.col("_folder"), depths)))
@@ -83,6 +85,11 @@ def join_contained(paths: DataFrame, path: str, rules: DataFrame, directory: str
     return located.join(hits, "_folder").drop("_dir", "_folder")
 
 
+def delivery_interfaces(landed: DataFrame, interfaces: DataFrame, db: str = "db", tb: str = "tb", active: str = "use_yn") -> DataFrame:
+    """Landed tables with each active delivery interface of the same database and table."""
+    return landed.join(interfaces.where(F.col(active) == "Y").drop(active), [db, tb])
+
+
 def first_with_prefix(bases: DataFrame, base: str, paths: DataFrame, path: str) -> DataFrame:
     """Each base with the smallest path that starts with it; bases without one are left out.
 
@@ -97,8 +104,12 @@ def first_with_prefix(bases: DataFrame, base: str, paths: DataFrame, path: str)
 
 
 def leaf_paths(paths: DataFrame, path: str) -> DataFrame:
-    """Paths not followed, in sorted order, by one below them; ``_SUCCESS`` markers are left out."""
-    ahead = with_next(paths.select(path).distinct(), [path], F.col(path), "_next")
+    """Paths not followed, in sorted order, by one below them; ``_SUCCESS`` markers are left out.
+
+    The order puts ``/`` before every other character, so that what lies below a path follows it directly.
+    """
+    listed = paths.select(path).distinct().withColumn("_order", F.translate(F.col(path), "/", "\u0001"))
+    ahead = with_next(listed, ["_order"], F.col(path), "_next")
     below = F.coalesce(F.startswith("_next", F.concat(F.col(path), F.lit("/"))), F.lit(False))
     return ahead.where(~below & ~F.endswith(F.col(path), F.lit("/_SUCCESS"))).select(path)
 

@@ -18,13 +18,29 @@ from quayside.session import settle
 
 PART, POSITION = "_part", "_position"
 _POSITION_BITS = 33
+#: One row per part must stay a small table; beyond this, parts grow instead.
+MOST_PARTS = 100_000
+_UNKNOWN_BYTES = 2**62
+
+
+#: Planned bytes of one part.
+PART_BYTES = 128 * 1024**2
+
+
+def parts_for(df: DataFrame) -> int:
+    """Parts of an ordered table: as many as the tables it reads ask for, and at least the shuffle partitions."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    wanted = -(-sum(s for s in sizes if s < _UNKNOWN_BYTES) // PART_BYTES)
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(least, wanted), MOST_PARTS)
 
 
 def in_order(df: DataFrame, order_by: Sequence[str | Column], label: str = "ordered") -> DataFrame:
     """``df`` stored in order, with ``_part`` (ordered) and ``_position`` within the part."""
     marker = F.monotonically_increasing_id()
     ordered = (
-        df.repartitionByRange(*order_by)
+        df.repartitionByRange(parts_for(df), *order_by)
         .sortWithinPartitions(*order_by)
         .withColumn("_marker", marker)
         .withColumn(PART, F.shiftright("_marker", _POSITION_BITS).cast("int"))

@@ -64,6 +64,29 @@ def meta_left_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chained.select("c_custkey", "n_name", "r_name")
 
 
+@check(
+    "interface_lookup",
+    """
+    WITH src AS (SELECT s_suppkey, lower(n_name) AS db, 't' || s_suppkey % 7 AS tb FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+    prov AS (SELECT c_custkey, lower(n_name) AS db, 't' || c_custkey % 7 AS tb FROM customer JOIN nation ON c_nationkey = n_nationkey
+             WHERE c_mktsegment <> 'BUILDING')
+    SELECT db, tb, s_suppkey, c_custkey FROM src JOIN prov USING (db, tb)
+    """,
+)
+def interface_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivery interfaces in use, looked up by database and table."""
+    nation = matching.small_side(table(spark, sf_dir, "nation"))
+
+    def named(name: str, key: str, home: str) -> DataFrame:
+        rows = table(spark, sf_dir, name).join(nation, F.col(home) == F.col("n_nationkey"))
+        return rows.withColumns({"db": F.lower("n_name"), "tb": F.concat(F.lit("t"), (F.col(key) % 7).cast("string"))})
+
+    landed = named("supplier", "s_suppkey", "s_nationkey").select("db", "tb", "s_suppkey")
+    in_use = F.when(F.col("c_mktsegment") == "BUILDING", "N").otherwise("Y").alias("use_yn")
+    interfaces = named("customer", "c_custkey", "c_nationkey").select("db", "tb", "c_custkey", in_use)
+    return matching.delivery_interfaces(landed, interfaces)
+
+
 @check(
     "meta_computed_key",
     """

@@ -42,7 +42,7 @@ def _event_messages(spark: SparkSession, sf_dir: str, sep: str) -> DataFrame:
 def stream_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages that match the pattern are dropped; the rest lands typed."""
     path = scratch_path(spark, "stream")
-    consume(_event_messages(spark, sf_dir, "\x1e"), _SCHEMA, path, drop_pattern="\x1e(error|view)\x1e")
+    consume(_event_messages(spark, sf_dir, "\x1e"), _SCHEMA, path, scratch_path(spark, "offsets"), drop_pattern="\x1e(error|view)\x1e")
     return spark.read.parquet(path).select("event_id", "event_type", "user_id")
 
 

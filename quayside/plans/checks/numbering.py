@@ -31,12 +31,17 @@ _PATHS_SQL = """
     "leaf_paths",
     _PATHS_SQL
     + """
-    SELECT path FROM (SELECT path, lead(path) OVER (ORDER BY path) AS nxt FROM paths)
-    WHERE NOT coalesce(starts_with(nxt, path || '/'), false) AND NOT ends_with(path, '/_SUCCESS')
+    , listed AS (SELECT path FROM paths UNION SELECT path || '-old/x' FROM site)
+    SELECT path FROM listed l WHERE NOT ends_with(path, '/_SUCCESS')
+      AND NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT regexp_extract(path, '^(.*)/[^/]+$', 1) AS above FROM listed) p
+                      WHERE p.above = l.path OR starts_with(p.above, l.path || '/'))
     """,
 )
 def leaf_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matching.leaf_paths(page_paths(spark, sf_dir), "path")
+    """Leaves of the page paths and of sibling directories whose names sort between a path and what lies below it."""
+    listed = page_paths(spark, sf_dir)
+    siblings = listed.select(F.concat(F.regexp_extract("path", "^/[^/]+", 0), F.lit("-old/x")).alias("path"))
+    return matching.leaf_paths(listed.unionByName(siblings), "path")
 
 
 @check(

@@ -126,10 +126,12 @@ def param_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT 'short', rows, kept, 5 FROM n
     UNION ALL SELECT 'changed', rows, rows, 5 FROM n
     UNION ALL SELECT 'unchecked', rows, kept, 4 FROM n
+    UNION ALL SELECT 'reordered', rows, rows, 4 FROM n
+    UNION ALL SELECT 'nulls moved', rows, rows, 5 FROM n
     """,
 )
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A whole, a short and a changed copy against their source."""
+    """A whole, a short, a changed and a reordered copy, and one whose nulls stand in another column."""
     lines = table(spark, sf_dir, "lineitem")
     parts = [scratch_path(spark, "copy"), scratch_path(spark, "copy")]
     lines.where("l_returnflag = 'R'").write.parquet(parts[0])
@@ -137,9 +139,19 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = frames.concat_all([spark.read.parquet(p) for p in parts])
     short = lines.where("l_linenumber <> 7")
     changed = lines.withColumn("l_tax", F.when(F.col("l_linenumber") == 7, F.col("l_tax") + 1).otherwise(F.col("l_tax")))
-    checks = [("whole", whole, False), ("short", short, False), ("changed", changed, False), ("unchecked", short, True)]
+    none = F.lit(None).cast("string")
+    left = lines.withColumn("l_linestatus", none)
+    right = lines.withColumns({"l_linestatus": F.col("l_returnflag"), "l_returnflag": none})
+    checks = [
+        ("whole", lines, whole, False),
+        ("short", lines, short, False),
+        ("changed", lines, changed, False),
+        ("unchecked", lines, short, True),
+        ("reordered", lines, lines.select(*reversed(lines.columns)), False),
+        ("nulls moved", left, right, False),
+    ]
     return frames.concat_all(
-        [governance.reconcile(lines, copy, skip).withColumn("copy", F.lit(name)) for name, copy, skip in checks]
+        [governance.reconcile(source, copy, skip).withColumn("copy", F.lit(name)) for name, source, copy, skip in checks]
     )
 
 

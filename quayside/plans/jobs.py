@@ -42,13 +42,13 @@ def protect(
 ) -> Report:
     """Encrypt or decrypt columns and change the format in one pass; partitions come from the path.
 
-    A value that cannot be turned becomes null and is counted, never logged.
+    A value that cannot be turned becomes null and is counted, never logged. Only keys that stand in the path are
+    added; a column of the data with such a name stays, and must agree with the path.
     """
     frame = files.read_files(spark, source, read)
     data_columns = frame.columns
-    located = files.with_path_partitions(frame.select("*", "_metadata")).select(
-        *data_columns, *_present_keys(source, data_columns)
-    )
+    added = _present_keys(source, data_columns)
+    located = files.with_path_partitions(_same_as_path(frame, source), added).select(*data_columns, *added)
     targets = sorted({data_columns[pos - 1] for rule in rules for pos in rule.col_pos})
     kept = files.spread(located).withColumns({f"_before_{name}": F.col(name).cast("string") for name in targets})
     turned = apply_rules(kept, rules, keys, mode, home_prefix)
@@ -65,6 +65,16 @@ def _present_keys(source: str, have: Sequence[str]) -> list[str]:
     return [key for key in ("dt", "hh", "hm") if f"/{key}=" in source and key not in have]
 
 
+def _same_as_path(frame: DataFrame, source: str) -> DataFrame:
+    """``frame`` with its file metadata; a value of a date key that differs from the path's is an error."""
+    rows = frame.select("*", "_metadata")
+    for key in (k for k in ("dt", "hh", "hm") if f"/{k}=" in source and k in frame.columns):
+        there = P.partition_value(F.col("_metadata.file_path"), key)
+        fault = F.raise_error(F.concat(F.lit(f"column {key} differs from the path: "), F.col("_metadata.file_path")))
+        rows = rows.withColumn(key, F.when(F.col(key).cast("string").eqNullSafe(there), F.col(key)).otherwise(fault.cast(frame.schema[key].dataType)))
+    return rows
+
+
 def merged_name(path: str, write: WriteSpec) -> str:
     """``tb_dt_hh_hm.format`` from a partition path."""
     segments = dict(part.split("=", 1) for part in path.split("/") if "=" in part)
@@ -133,7 +143,7 @@ def export_partition(
 ) -> str:
     """A landed parquet partition as text, optionally with its dt and hh as columns and in one file.
 
-    Merged output is one file up to 4 GiB, and files of about that size beyond.
+    Merged output is files of about 4 GiB; less than that is one file.
     """
     frame = files.read_files(spark, source, ReadSpec("parquet"))
     if add_partitions:

@@ -17,6 +17,7 @@ _REDACT = r"(?i)aes_?(en|de)crypt\([^\n]*"
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.legacy.javaCharsets": "true",
+    "spark.sql.legacy.codingErrorAction": "true",  # bytes that do not decode become replacement characters
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.redaction.string.regex": _REDACT,
     "spark.sql.adaptive.enabled": "true",

@@ -23,10 +23,19 @@ def _hadoop(spark: SparkSession, path: str):
 
 
 def data_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
-    """Names and sizes of the part files in one output directory."""
+    """Names below ``path`` and sizes of the files a reader of it takes, whatever they are called.
+
+    As in every Spark scan, names that start with ``_`` or ``.`` are hidden, with all below them.
+    """
     fs, target, _ = _hadoop(spark, path)
-    found = [(s.getPath().getName(), s.getLen()) for s in fs.listStatus(target) if s.isFile()]
-    return [(name, size) for name, size in found if name.startswith("part-")]
+    root = fs.makeQualified(target).toString().rstrip("/")
+    listed, found = fs.listFiles(target, True), []
+    while listed.hasNext():
+        status = listed.next()
+        name = status.getPath().toString().removeprefix(root).lstrip("/") or status.getPath().getName()
+        if not any(part[0] in "_." and "=" not in part for part in name.split("/")):
+            found.append((name, status.getLen()))
+    return sorted(found)
 
 
 def _writer(df: DataFrame, spec: WriteSpec):
@@ -39,16 +48,15 @@ def _writer(df: DataFrame, spec: WriteSpec):
             .option("emptyValue", "")
             .option("ignoreLeadingWhiteSpace", False)
             .option("ignoreTrailingWhiteSpace", False)
+            .option("escape", '"' if spec.escape is None else spec.escape)
         )
-        if spec.escape is not None:
-            writer = writer.option("escape", spec.escape)
     if spec.partition_by:
         writer = writer.partitionBy(*spec.partition_by)
     return writer
 
 
 def write_files(df: DataFrame, path: str, spec: WriteSpec = WriteSpec()) -> str:
-    """Write ``df``, by default as zstd parquet; ``merge`` makes one named file of a small result."""
+    """Write ``df``, by default as zstd parquet; ``merge`` makes files of about ``MERGE_BYTES``, named and numbered."""
     if spec.merge and not spec.partition_by:
         return _write_merged(df, path, spec)
     try:
@@ -61,42 +69,35 @@ def write_files(df: DataFrame, path: str, spec: WriteSpec = WriteSpec()) -> str:
 
 
 def _write_merged(df: DataFrame, path: str, spec: WriteSpec, limit: int = MERGE_BYTES) -> str:
-    """Written in parallel first; only a result measured to be small is then put into one file.
+    """Written in parallel first, and then put into files of about ``limit`` bytes.
 
-    Merging right away would run the whole job in one task. Beyond ``limit`` the
-    parts stay as they are.
+    Merging right away would run the whole job in one task. A result of up to ``limit`` is one file with the
+    wanted name; a larger one is files with that name and a number.
     """
     spark = df.sparkSession
-    parent = path.rstrip("/").rpartition("/")[0]
-    staged = f"{parent}/_parts-{uuid.uuid4().hex}"  # beside the target; readers skip the underscore
+    above, slash, _ = path.rstrip("/").rpartition("/")
+    staged = f"{above}{slash}_parts-{uuid.uuid4().hex}"  # beside the target; readers skip the underscore
     as_text = spec.spark_format == "csv" and not spec.header
     # Text with a header is staged as parquet, or every part would bring its own header line.
     rows_format = "parquet" if spec.header else spec.format
     staging = WriteSpec(spec.format, spec.compression, spec.sep) if as_text else WriteSpec(rows_format)
     _writer(df, staging).save(staged)
-    small = sum(size for _, size in data_files(spark, staged)) <= limit
-    if small and as_text:
-        merge_text_parts(spark, staged, path, spec)
-    elif small or rows_format != spec.format:
-        rows = spark.read.format(staging.spark_format).schema(df.schema).load(staged)
-        _writer(rows.coalesce(1) if small else rows, spec).save(path)
+    parts = max(1, math.ceil(sum(size for _, size in data_files(spark, staged)) / limit))
+    if as_text:
+        lines = spark.read.text(staged, lineSep="\n").coalesce(parts)
+        lines.write.mode("overwrite").option("compression", spec.codec).option("lineSep", "\n").text(path)
     else:
-        move_directory(spark, staged, path)
-        return path
+        rows = spark.read.format(staging.spark_format).schema(df.schema).load(staged)
+        _writer(rows.coalesce(parts), spec).save(path)
     fs, target, _ = _hadoop(spark, staged)
     fs.delete(target, True)
-    if spec.file_name and small:
-        rename_single_part(spark, path, spec.file_name)
+    if spec.file_name:
+        rename_parts(spark, path, spec.file_name)
     return path
 
 
-def merge_text_parts(spark: SparkSession, source: str, path: str, spec: WriteSpec) -> None:
-    """The lines of a small text output in one file, as they are."""
-    spark.read.text(source).coalesce(1).write.mode("overwrite").option("compression", spec.codec).text(path)
-
-
 def merge_small_files(spark: SparkSession, source: str, path: str, limit: int = MERGE_BYTES, force: bool = False) -> bool:
-    """Merge the parquet files of a directory into a new one when there are several and they are small."""
+    """Merge the parquet files of a directory, whatever their names, when there are several and they are small."""
     sizes = [size for _, size in data_files(spark, source)]
     small = sum(sizes) <= limit
     if len(sizes) < 2 or not (small or force):
@@ -107,6 +108,19 @@ def merge_small_files(spark: SparkSession, source: str, path: str, limit: int =
     return True
 
 
+def rename_parts(spark: SparkSession, path: str, name: str) -> list[str]:
+    """Give one file ``name``, and several ``stem_1.ext``, ``stem_2.ext`` and so on, in their order."""
+    fs, target, make_path = _hadoop(spark, path)
+    parts = [part for part, _ in data_files(spark, path)]
+    stem, dot, extension = name.partition(".")
+    width = len(str(len(parts)))
+    names = [name] if len(parts) == 1 else [f"{stem}_{i:0{width}d}{dot}{extension}" for i in range(1, len(parts) + 1)]
+    for part, wanted in zip(parts, names, strict=True):
+        if not fs.rename(make_path(target, part), make_path(target, wanted)):
+            raise RuntimeError(f"could not rename {part} of {path} to {wanted}")
+    return names
+
+
 def rename_single_part(spark: SparkSession, path: str, name: str) -> str:
     """Rename the one part file of a directory; anything but exactly one is an error."""
     parts = data_files(spark, path)
@@ -121,15 +135,6 @@ def rename_single_part(spark: SparkSession, path: str, name: str) -> str:
     return wanted.toString()
 
 
-def move_directory(spark: SparkSession, source: str, path: str) -> None:
-    fs, target, make_path = _hadoop(spark, path)
-    if fs.exists(target):
-        fs.delete(target, True)
-    fs.mkdirs(target.getParent())
-    if not fs.rename(make_path(source), target):
-        raise RuntimeError(f"could not move {source} to {path}")
-
-
 def merged_file_name(stem: str, fmt: str, codec: str | None = None) -> str:
     extension = CODEC_EXTENSIONS.get((codec or "").lower(), "")
     return f"{stem}{extension}.{fmt}"
@@ -141,9 +146,13 @@ def write_marker(spark: SparkSession, path: str) -> None:
     fs.create(target, True).close()
 
 
-def as_lines(df: DataFrame, sep: str, null: str = "") -> Column:
-    """A row as one unquoted line; separators of any length."""
-    return F.concat_ws(sep, *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(null)) for c in df.columns])
+def as_lines(df: DataFrame, sep: str, null: str = "", line_break: str = " ") -> Column:
+    """A row as one unquoted line; separators of any length. A line break inside a value becomes ``line_break``."""
+
+    def value(name: str) -> Column:
+        return F.regexp_replace(F.col(f"`{name}`").cast("string"), "\r\n|[\r\n]", line_break)
+
+    return F.concat_ws(sep, *[F.coalesce(value(c), F.lit(null)) for c in df.columns])
 
 
 def write_lines(df: DataFrame, path: str, sep: str, compression: str = "none", encoding: str | None = None) -> str:
@@ -184,7 +193,8 @@ def merge_text(spark: SparkSession, paths: Sequence[str], path: str, target_byte
     """All lines of several text outputs, in as few files of about ``target_bytes`` as hold them."""
     total = sum(size for source in paths for _, size in data_files(spark, source))
     parts = max(1, math.ceil(total / target_bytes))
-    spark.read.text(list(paths)).coalesce(parts).write.mode("overwrite").text(path)
+    lines = spark.read.option("lineSep", "\n").text(list(paths)).select("value")  # a lone carriage return belongs to its line
+    lines.coalesce(parts).write.mode("overwrite").option("lineSep", "\n").text(path)
     return parts
 
 

@@ -56,26 +56,38 @@ def _text_reader(spark: SparkSession, spec: ReadSpec) -> DataFrameReader:
         .option("header", spec.header)
         .option("enforceSchema", True)
         .option("quote", spec.quote)
+        .option("escape", spec.quote)
         .option("multiLine", spec.multi_line)
     )
 
 
 def read_text_columns(spark: SparkSession, path: str | Sequence[str], spec: ReadSpec) -> DataFrame:
     """Delimited files with the declared names, every value as text; doubled quotes stand for one."""
-    reader = _text_reader(spark, spec).option("escape", spec.quote).schema(text_struct(spec.schema))
+    reader = _text_reader(spark, spec).schema(text_struct(spec.schema))
     return reader.csv(path if isinstance(path, str) else list(path))
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8", header: bool = False) -> DataFrame:
     """Raw text lines as ``value``, decoded; with ``header`` the first line of every file is dropped.
 
-    The text reader knows neither charsets nor headers; one unquoted CSV column does.
+    Lines are cut as bytes by the one text reader and then decoded, so blank lines and NUL stay in every charset whose line
+    break is a single byte. Bytes that are not valid in the charset become replacement characters.
     """
-    paths = path if isinstance(path, str) else list(path)
-    if not header and encoding.upper() in ("UTF-8", "UTF8"):
-        return spark.read.text(paths)
-    reader = spark.read.schema("value string").option("encoding", encoding).option("header", header)
-    return reader.option("sep", "\x00").option("quote", "").option("escape", "").csv(paths)
+    lines = spark.read.text(path if isinstance(path, str) else list(path))
+    if header:
+        # The first line of a file is the first row of the block that starts it; one small row per file says which.
+        placed = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+        placed = placed.withColumn("line", F.monotonically_increasing_id())
+        firsts = placed.where("start = 0").groupBy("file").agg(F.min("line").alias("line"))
+        lines = placed.join(firsts, ["file", "line"], "left_anti").select("value")
+    return lines.select(decoded(F.col("value"), encoding).alias("value"))
+
+
+def decoded(line: Column, encoding: str) -> Column:
+    """Text of a raw line in a charset; the text reader keeps the bytes as they are."""
+    if encoding.upper().replace("-", "") == "UTF16":
+        raise ValueError("lines of UTF-16 cannot be cut as bytes")
+    return F.decode(line.cast("binary"), encoding)
 
 
 def typed_columns(text: DataFrame, schema, bigint_mode: str = "trunc") -> DataFrame:
@@ -148,9 +160,7 @@ def best_charset(spark: SparkSession, path: str, candidates: Sequence[str]) -> D
     """
     tried = None
     for order, charset in enumerate(candidates):
-        lines = (
-            spark.read.option("encoding", charset).option("quote", "").option("sep", "\x00").schema("line string").csv(path)
-        )
+        lines = spark.read.text(path).withColumn("line", decoded(F.col("value"), charset))
         counted = (
             lines.withColumn("file", F.col("_metadata.file_path"))
             .groupBy("file")

@@ -12,23 +12,26 @@ from quayside.config import UNIT_SEPARATOR
 from quayside.functions.crypto import sep_regex
 from quayside.operators.frames import drop_matching
 from quayside.schema import fields_of
-from quayside.session import scratch_path
 from quayside.sources.files import MissingConnector, typed_columns
 
-BATCH_MESSAGES = 5000
+#: Messages of one partition in one micro-batch.
+BATCH_MESSAGES = 100_000
 
 
 def kafka_messages(
-    spark: SparkSession, servers: str, topic: str, starting: str = "latest", batch: int = BATCH_MESSAGES
+    spark: SparkSession, servers: str, topic: str, partitions: int, starting: str = "earliest", batch: int = BATCH_MESSAGES
 ) -> DataFrame:
-    """Message texts of a topic. Offsets are kept by the query's checkpoint."""
+    """Message texts of a topic, at most ``batch`` for each of its partitions at a time.
+
+    Offsets are kept by the query's checkpoint; ``starting`` counts for its first run only.
+    """
     try:
         source = (
             spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", servers)
             .option("subscribe", topic)
             .option("startingOffsets", starting)
-            .option("maxOffsetsPerTrigger", batch)
+            .option("maxOffsetsPerTrigger", batch * partitions)
             .load()
         )
     except Exception as error:
@@ -58,7 +61,7 @@ def consume(
     messages: DataFrame,
     schema: Mapping | str,
     path: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     drop_pattern: str | None = None,
     sep: str = UNIT_SEPARATOR,
     partitions: Mapping[str, Column] | None = None,
@@ -66,8 +69,10 @@ def consume(
     """Take all messages present now, drop the matching ones and land the rest as parquet.
 
     The checkpoint and the file sink's log make a restart continue where the last
-    run ended, without losing or repeating a message.
+    run ended, without losing or repeating a message; it must therefore outlive the run.
     """
+    if not checkpoint:
+        raise ValueError("a checkpoint folder is needed")
     kept = parsed_messages(drop_matching(messages, "value", drop_pattern), schema, sep)
     keys: Sequence[str] = tuple(partitions or {})
     if partitions:
@@ -75,7 +80,7 @@ def consume(
     writer = (
         kept.writeStream.format("parquet")
         .option("path", path)
-        .option("checkpointLocation", checkpoint or scratch_path(messages.sparkSession, "offsets"))
+        .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
     )

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from quayside.config import CipherKeys, CryptoRule, CryptoRules, ReadSpec, WriteSpec
 from quayside.functions.crypto import apply_rules
-from quayside.operators import frames, governance
+from quayside.operators import frames, governance, matching, ordering
 from quayside.plans import jobs
 from quayside.sinks import writers
 from quayside.sources import archives, database, files
@@ -130,10 +130,92 @@ def test_rename_needs_exactly_one_part(spark, people, tmp_path):
         writers.rename_single_part(spark, path, "y.parquet")
 
 
-def test_large_results_are_not_merged(spark, people, tmp_path):
+def test_large_results_are_numbered(spark, people, tmp_path):
     path = str(tmp_path / "x")
-    writers._write_merged(people.repartition(3), path, WriteSpec("parquet", merge=True), limit=1)
-    assert len(writers.data_files(spark, path)) == 3 and rows(spark.read.parquet(path)) == rows(people)
+    writers._write_merged(people.repartition(3), path, WriteSpec("parquet", merge=True, file_name="x.parquet"), limit=1)
+    assert [n for n, _ in writers.data_files(spark, path)] == ["x_1.parquet", "x_2.parquet", "x_3.parquet"]
+    assert rows(spark.read.parquet(path)) == rows(people)
+
+
+def test_files_count_under_any_name(spark, people, tmp_path):
+    for i in range(6):
+        (tmp_path / "in" / f"k={i % 2}").mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / f"k={i % 2}" / f"tb_{i}.dat").write_text(f"line {i}\n" * 100)
+    (tmp_path / "in" / "_SUCCESS").write_text("")
+    (tmp_path / "in" / "_temporary").mkdir()
+    (tmp_path / "in" / "_temporary" / "left.dat").write_text("x")
+    assert len(writers.data_files(spark, str(tmp_path / "in"))) == 6
+    named = str(tmp_path / "named")
+    for i in range(2):
+        writers.write_files(people, f"{named}/p={i}", WriteSpec("parquet", merge=True, file_name=f"n_{i}.parquet"))
+    assert writers.merge_small_files(spark, named, str(tmp_path / "one"))
+    assert len(writers.data_files(spark, str(tmp_path / "one"))) == 1
+    assert writers.merge_text(spark, [str(tmp_path / "in")], str(tmp_path / "text"), target_bytes=2000) == 3
+
+
+def test_text_survives_merging_and_reading(spark, tmp_path):
+    values = ["a\rb", 'say "x"', "back\\slash", "a|b", "plain", 'end"', "\\"]
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    spec = WriteSpec("csv", None, "|", merge=True, file_name="all.csv")
+    writers.write_files(frame.repartition(3), str(tmp_path / "x"), spec)
+    read = ReadSpec("csv", sep="|", quote='"', schema={"fields": [{"name": "i", "type": "int"}, {"name": "v", "type": "string"}]})
+    got = files.read_text_columns(spark, str(tmp_path / "x"), read)
+    # A reader that may split files takes a carriage return for a line break; all other values come back.
+    assert {v for v in values if "\r" not in v} <= {r["v"] for r in got.collect()}
+    assert b'a\rb' in (tmp_path / "x" / "all.csv").read_bytes()
+    writers.write_lines(spark.createDataFrame([("a\nb", "c\r\nd")], "x string, y string"), str(tmp_path / "lines"), "\u241e")
+    assert [r[0] for r in spark.read.text(str(tmp_path / "lines")).collect()] == ["a b\u241ec d"]
+
+
+def test_protect_keeps_data_columns(spark, tmp_path):
+    keys = CipherKeys({"mdn": "0123456789abcdef"})
+    rule = [CryptoRule("mdn", [1])]
+    frame = spark.createDataFrame([("010", "20240101")], "n string, dt string")
+    for place, wanted in (("plain", ["20240101"]), ("dt=20240101", ["20240101"]), ("dt=20240202", None)):
+        source, target = str(tmp_path / "in" / place), str(tmp_path / "out" / place)
+        frame.write.parquet(source)
+        if wanted is None:
+            with pytest.raises(Exception, match="differs from the path"):
+                jobs.protect(spark, source, target, ReadSpec("parquet"), WriteSpec(), rule, keys)
+        else:
+            jobs.protect(spark, source, target, ReadSpec("parquet"), WriteSpec(), rule, keys)
+            read = spark.read.parquet(target)
+            assert read.columns == ["n", "dt"] and [r["dt"] for r in read.collect()] == wanted
+
+
+def test_lines_are_the_same_in_every_charset(spark, tmp_path):
+    for charset in ("utf-8", "euc-kr"):
+        (tmp_path / charset).mkdir()
+        (tmp_path / charset / "a.dat").write_bytes("머리\na\0b\n\n가z\n".encode(charset))
+        got = files.read_lines(spark, str(tmp_path / charset), charset.upper()).collect()
+        assert [r[0] for r in got] == ["머리", "a\0b", "", "가z"]
+        got = files.read_lines(spark, str(tmp_path / charset), charset.upper(), header=True).collect()
+        assert [r[0] for r in got] == ["a\0b", "", "가z"]
+
+
+def test_relative_rules_and_siblings(spark):
+    paths = spark.createDataFrame([("/x/db=a/tb=t/f",), ("/x/db=ab/tb=t/f",)], "path string")
+    rules = spark.createDataFrame([("db=a/tb=t", 1), ("/db=ab/", 2), ("", 3), (None, 4)], "dir string, r int")
+    got = matching.join_contained(paths, "path", rules, "dir")
+    assert sorted((r["path"], r["r"]) for r in got.collect()) == [("/x/db=a/tb=t/f", 1), ("/x/db=ab/tb=t/f", 2)]
+    listed = spark.createDataFrame([("/a/b",), ("/a/b-old/x",), ("/a/b/c",)], "path string")
+    assert sorted(r[0] for r in matching.leaf_paths(listed, "path").collect()) == ["/a/b-old/x", "/a/b/c"]
+
+
+def test_parts_follow_the_volume(spark, people, tmp_path, monkeypatch):
+    path = str(tmp_path / "x")
+    people.repartition(1).write.parquet(path)
+    small = ordering.parts_for(spark.read.parquet(path))
+    monkeypatch.setattr(ordering, "PART_BYTES", 50)
+    assert small == 8 < ordering.parts_for(spark.read.parquet(path))
+
+
+def test_reconcile_sees_nulls_and_names(spark):
+    left = spark.createDataFrame([(None, "x")], "a string, b string")
+    right = spark.createDataFrame([("x", None)], "a string, b string")
+    assert governance.reconcile(left, right).first()["status"] == 5
+    assert governance.reconcile(left, left.select("b", "a")).first()["status"] == 4
+    assert governance.reconcile(left, left.toDF("a", "c")).first()["status"] == 5
 
 
 def test_merged_csv(spark, people, tmp_path):
@@ -371,7 +453,7 @@ def test_missing_connectors(spark, people, tmp_path):
     with pytest.raises(files.MissingConnector):
         writers.write_files(people, str(tmp_path / "x"), WriteSpec("avro"))
     with pytest.raises(files.MissingConnector):
-        kafka_messages(spark, "localhost:1", "t")
+        kafka_messages(spark, "localhost:1", "t", partitions=4)
     with pytest.raises(files.MissingConnector):
         database.extract(spark, {"url": "jdbc:nosuch:x"}, "SELECT 1", "1", page_rows=10)
 
@@ -396,6 +478,11 @@ def test_bounded_stream_resumes(spark, tmp_path):
     assert {tuple(r) for r in spark.read.parquet(target).select("a", "b", "p").collect()} == {(1, "x", "x"), (None, "y", "y"), (2, "x", "x")}
 
 
+def test_a_checkpoint_is_needed(spark, tmp_path):
+    with pytest.raises((TypeError, ValueError)):
+        consume(None, {"fields": []}, str(tmp_path), "")
+
+
 def test_reconcile_and_counts(spark, people):
     assert tuple(governance.reconcile(people, people.repartition(4)).first()) == (50, 50, 4)
     assert tuple(governance.reconcile(people, people.limit(49)).first()) == (50, 49, 5)
