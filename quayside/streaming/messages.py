@@ -76,7 +76,8 @@ def consume(
     kept = parsed_messages(drop_matching(messages, "value", drop_pattern), schema, sep)
     keys: Sequence[str] = tuple(partitions or {})
     if partitions:
-        kept = kept.withColumns(dict(partitions))
+        # Rows of one partition meet, so that no task opens every directory; rebalancing splits a hot one.
+        kept = kept.withColumns(dict(partitions)).hint("rebalance", *[F.col(k) for k in keys])
     writer = (
         kept.writeStream.format("parquet")
         .option("path", path)
