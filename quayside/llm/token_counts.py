@@ -36,10 +36,13 @@ def _count_sample(batches: Iterator[pa.RecordBatch], path: str, most: int) -> It
 def frequent_lengths(docs: DataFrame, path: str, text: str, key: str) -> dict[str, int]:
     """Lengths of pieces frequent in a bounded sample in hash order; at most ``FREQUENT_PIECES`` rows reach the driver.
 
-    The sample is read by one task, which counts it without a shuffle of pieces.
+    Keys alone are ordered, and only the texts of the chosen ones leave their tasks. One task counts these without a shuffle
+    of pieces.
     """
-    sample = docs.select(key, text).orderBy(F.xxhash64(key), key).limit(SAMPLE_DOCUMENTS).select(text)
-    counted = sample.coalesce(1).mapInArrow(
+    keys = docs.select(F.col(key).alias("k")).orderBy(F.xxhash64("k"), "k").limit(SAMPLE_DOCUMENTS)
+    chosen = F.broadcast(keys.distinct())  # at most SAMPLE_DOCUMENTS rows of one key
+    sample = docs.join(chosen, docs[key].eqNullSafe(chosen["k"]), "left_semi").select(text)
+    counted = sample.limit(SAMPLE_DOCUMENTS).coalesce(1).mapInArrow(
         functools.partial(_count_sample, path=path, most=FREQUENT_PIECES), "piece string, tokens long"
     )
     return {row.piece: row.tokens for row in counted.collect()}
