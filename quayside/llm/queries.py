@@ -129,4 +129,39 @@ QUERIES: dict[str, Query] = {
     )
 }
 
-SQL: dict[str, str] = {}
+
+
+def _values(rows: list[tuple]) -> str:
+    """Rows as the list of a ``VALUES`` clause."""
+    return ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in row) + ")" for row in rows)
+
+
+_WORDS = url_filter.Vocabulary()
+_TERMS = [(t, True, 0) for t in _WORDS.strict] + [(t, False, w) for t, w in _WORDS.soft.items() if t not in _WORDS.strict]
+
+#: A term counts if neither side of one of its places has an ASCII letter or digit; the text is lower-cased before.
+OP4_SQL = f"""
+WITH u AS (
+  SELECT row_number() OVER () AS row_id, page_id, coalesce(url, '') AS url,
+         CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest,
+         translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered
+  FROM pages),
+p AS (
+  SELECT row_id, page_id, lowered, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+  FROM u),
+rules(verdict, host, path) AS (VALUES {_values([(r.verdict, r.host, r.path) for r in URL_RULES])}),
+fit AS (
+  SELECT row_id, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(r.verdict, length(r.host || r.path)) AS verdict
+  FROM p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path) GROUP BY row_id),
+terms(term, strict, weight) AS (VALUES {_values(_TERMS)}),
+hits AS (
+  SELECT row_id, count(*) FILTER (strict) AS strict_hits, count(*) FILTER (NOT strict) AS soft_hits, CAST(sum(weight) AS BIGINT) AS soft_weight
+  FROM p JOIN terms ON regexp_matches(lowered, '(^|[^a-z0-9])' || term || '($|[^a-z0-9])') GROUP BY row_id)
+SELECT page_id, p.host, p.path, fit.rule,
+       coalesce(fit.verdict, CASE WHEN strict_hits > 0 OR soft_weight >= {_WORDS.limit} THEN 'block' ELSE 'allow' END) AS verdict,
+       coalesce(strict_hits, 0) AS strict_hits, coalesce(soft_hits, 0) AS soft_hits, coalesce(soft_weight, 0) AS soft_weight
+FROM p LEFT JOIN fit USING (row_id) LEFT JOIN hits USING (row_id)
+"""
+
+SQL: dict[str, str] = {"op4_url_filter": OP4_SQL}

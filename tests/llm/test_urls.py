@@ -2,6 +2,7 @@
 
 import re
 
+import duckdb
 import pytest
 
 from quayside.llm import queries, url_filter
@@ -36,6 +37,19 @@ def test_against_plain_reading(spark):
     assert sorted(((r.page_id, r.host, r.path, r.rule, r.verdict) for r in got), key=repr) == want
 
 
+def test_sql_twin_on_odd_urls(spark, tmp_path):
+    rows = [(i if i else None, u) for i, u in enumerate([*URLS, *URLS[:4]])]
+    folder = tmp_path / "pages.parquet"
+    spark.createDataFrame(rows, "page_id long, url string").write.parquet(str(folder))
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW pages AS SELECT * FROM '{folder}/*.parquet'")
+    twin = connection.execute(queries.SQL["op4_url_filter"])
+    names = [c[0] for c in twin.description]
+    got = queries.op4_url_filter(spark, str(tmp_path))
+    assert got.columns == names
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(twin.fetchall(), key=repr)
+
+
 def test_empty_and_limits(spark):
     pages = spark.createDataFrame([], "page_id long, url string")
     assert url_filter.judge_urls(pages, queries.URL_RULES).collect() == []
