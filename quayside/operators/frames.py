@@ -41,6 +41,25 @@ def literal_nulls(df: DataFrame) -> DataFrame:
     return df.withColumns({name: C.literal_null_to_null(F.col(f"`{name}`")) for name in texts})
 
 
+#: Fixed value: the end of the name of a column that holds EUC-KR bytes as hex digits.
+EUC_KR_MARK = "DECODE_TO_EUC_KR"
+
+
+def decode_marked(df: DataFrame) -> DataFrame:
+    """Extracted bytes as text: hex columns whose name ends with the EUC-KR mark, in any case, and binary ones as UTF-8.
+
+    Names and order stay. Text that is no hex becomes null.
+    """
+
+    def decoded(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name}`")
+        if field.name.upper().endswith(EUC_KR_MARK):
+            return C.hex_to_text(value.cast("string"), "EUC-KR").alias(field.name)
+        return F.decode(value, "UTF-8").alias(field.name) if isinstance(field.dataType, T.BinaryType) else value
+
+    return df.select(*map(decoded, df.schema))
+
+
 def drop_matching(df: DataFrame, column: str, pattern: str | None) -> DataFrame:
     """Rows whose text matches are dropped; without a pattern all stay."""
     if not pattern:

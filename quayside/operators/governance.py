@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions import paths as P
 from quayside.functions import text as X
 from quayside.functions.timepat import bind
-from quayside.operators.frames import concat_all
-from quayside.operators.ordering import top_by_key
+from quayside.operators.frames import to_long
 from quayside.sources.files import MissingConnector
 
 # Name tokens and comment patterns of sensitive columns, and the
@@ -80,19 +79,16 @@ def discover_sensitive(
     return found.withColumn("path", P.landed_path(db, tb))
 
 
-def sample_values(df: DataFrame, columns: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """Five non-null values per column after the first, in key order, as long rows.
+def sampled(cells: DataFrame, group: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
+    """Five non-null ``value`` cells per group after the first, in order; tasks drop all beyond six before the exchange."""
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order_by))
+    ranked = cells.where(F.col("value").isNotNull()).withColumn("_rank", rank)
+    return ranked.where((F.col("_rank") <= SAMPLE_SKIP + SAMPLE_SIZE) & (F.col("_rank") > SAMPLE_SKIP)).drop("_rank")
 
-    One narrow scan per column; every task keeps six rows at most.
-    """
-    taken = []
-    for index, name in enumerate(columns):
-        keys = [c for c in order_by if c != name]
-        top = top_by_key(df.select(*keys, name), name, order_by, SAMPLE_SIZE, SAMPLE_SKIP)
-        taken.append(
-            top.select(F.lit(name).alias("column_name"), F.lit(index).alias("index"), F.col(name).cast("string").alias("value"))
-        )
-    return concat_all(taken)
+
+def sample_values(df: DataFrame, columns: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """Five non-null values per column after the first, in key order, as long rows; the table is read once."""
+    return sampled(to_long(df, order_by, columns), ["column_name"], order_by).select("column_name", "index", "value")
 
 
 def encrypted_columns(samples: DataFrame) -> DataFrame:

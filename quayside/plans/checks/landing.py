@@ -165,3 +165,56 @@ def consume_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
         messages = file_messages(spark, source, orders.schema, F.col("value"))
         consume(messages, _ARRIVAL, path, offsets, sep="|", partitions=level)
     return spark.read.parquet(path).select("o_orderkey", "o_orderpriority", "level")
+
+
+@check(
+    "extract_pages",
+    """
+    SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS note,
+           translate(CAST(o_orderkey AS VARCHAR), '0123456789', '가나다라마바사아자차') AS memo, o_orderstatus AS status,
+           CAST(ceil(count(*) OVER () / 1000) AS BIGINT) AS pages
+    FROM orders
+    """,
+)
+def extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows as a database gives them, with nulls, bytes and marked hex columns, to pages of text and typed parquet."""
+    hangul = F.translate(F.col("o_orderkey").cast("string"), "0123456789", "가나다라마바사아자차")
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("note"),
+        F.hex(F.encode(hangul, "EUC-KR")).alias("memo_decode_to_euc_kr"),
+        F.col("o_orderstatus").cast("binary").alias("status"),
+    )
+    kinds = {"o_orderkey": "bigint", "note": "string", "memo": "string", "status": "string"}
+    schema = {"fields": [{"name": name, "type": kind} for name, kind in kinds.items()]}
+    text_path, path = scratch_path(spark, "pages"), scratch_path(spark, "extracted")
+    jobs.extract_rows(rows, ["o_orderkey"], 1000, text_path, path, schema)
+    pages = spark.read.text(text_path).agg(F.count_distinct("page").alias("pages"))
+    return spark.read.parquet(path).withColumn("pages", pages.scalar())
+
+
+@check(
+    "sample_files",
+    """
+    WITH long AS (
+      SELECT reader, 'c_name' AS column_name, 0 AS index, c_name AS value FROM customer, (VALUES ('parquet'), ('orc'), ('csv')) r(reader)
+      UNION ALL SELECT reader, 'c_mktsegment', 1, c_mktsegment FROM customer, (VALUES ('parquet'), ('orc'), ('csv')) r(reader)
+      WHERE c_mktsegment <> 'BUILDING')
+    SELECT reader, column_name, index, value
+    FROM (SELECT *, row_number() OVER (PARTITION BY reader, column_name ORDER BY md5(value), value) AS rn FROM long) WHERE rn BETWEEN 2 AND 6
+    UNION ALL SELECT NULL, NULL, NULL, NULL
+    """,
+)
+def sample_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of listed columns of files in three formats, and a file that no reader fits."""
+    segment = F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).alias("c_mktsegment")
+    people = table(spark, sf_dir, "customer").select("c_custkey", "c_name", segment)
+    listed: dict[str, list] = {"path": ["/landed/people.bin"], "format": [None], "sep": [None]}
+    for name, fmt, sep in (("people.parquet", "parquet", None), ("people.orc", "orc", None), ("people.dat", "dat", "|")):
+        folder = scratch_path(spark, "landed")
+        writers.write_files(people, folder, WriteSpec(fmt, sep=sep or ",", merge=True, file_name=name))
+        for key, value in zip(listed, (f"{folder}/{name}", fmt, sep), strict=True):
+            listed[key].append(value)
+    size = len(listed["path"])
+    inventory = local_table(spark, {**listed, "fields": [people.columns] * size, "columns": [["c_name", "c_mktsegment"]] * size})
+    return jobs.sample_files(spark, inventory).drop("path")

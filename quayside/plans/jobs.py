@@ -215,6 +215,48 @@ def rows_to_lines(rows: DataFrame, order_by: Sequence[str], page_size: int, sep:
     return paged.select("rn", "page", X.row_as_line([F.col(c) for c in columns], sep).alias("line"))
 
 
+def extract_rows(
+    rows: DataFrame, order_by: Sequence[str], page_size: int, text_path: str, path: str, schema: Mapping, sep: str = "\x1e"
+) -> Report:
+    """Extracted rows, of JDBC or any other source, to text lines in a folder for each page, and these to typed parquet.
+
+    ``schema`` names the columns in their order. Marked and binary columns are decoded; line breaks inside values are
+    cut; nulls are written as ``null`` and come back as nulls, and so does that word. No rows give no page, and a file with
+    the schema.
+    """
+    spark = rows.sparkSession
+    lines = rows_to_lines(frames.decode_marked(rows), order_by, page_size, sep)
+    ordered = lines.sortWithinPartitions("page", "rn").select("page", F.col("line").alias("value"))
+    writers.write_text_pages(ordered, text_path)
+    names = [name for name, _ in files.fields_of(schema)]
+    back = spark.read.text(text_path, lineSep="\n").select("value")
+    return _write_typed(frames.literal_nulls(files.split_lines(back, sep, names)), path, schema, WriteSpec())
+
+
+def sample_files(spark: SparkSession, inventory: DataFrame) -> DataFrame:
+    """``path, reader, column_name, index, value``: five sampled values of each listed column of each inventoried file.
+
+    ``inventory`` has ``path``, ``format``, ``sep``, ``fields`` (all column names of a text file) and ``columns`` (those
+    to sample). Files alike in all but the path share a scan; the driver gets the inventory to plan the scans, and
+    no data. Values are taken in the order of their hash. A file that no reader fits gives one row without reader and value.
+    """
+    shape = ["reader", "sep", "fields", "columns"]
+    listed = inventory.withColumn("reader", files.format_of(F.col("path"), F.col("format"), F.col("sep")))
+    unread = listed.where("reader IS NULL").selectExpr("path", "reader", "NULL AS column_name", "CAST(NULL AS int) AS index", "NULL AS value")
+    taken = [unread.select(*[F.col(c).cast("int" if c == "index" else "string").alias(c) for c in unread.columns])]
+    for kind in listed.where("reader IS NOT NULL").groupBy(*shape).agg(F.array_sort(F.collect_list("path")).alias("paths")).collect():
+        places = [files.escape_glob(p) for p in kind["paths"]]
+        if kind["reader"] == "csv":
+            names = {"fields": [{"name": name, "type": "string"} for name in kind["fields"]]}
+            found = files.read_text_columns(spark, places, ReadSpec("csv", kind["sep"], schema=names))
+        else:
+            found = files.read_files(spark, places, ReadSpec(kind["reader"]))
+        wanted = found.select(F.col("_metadata.file_path").alias("_path"), *[F.col(f"`{c}`") for c in kind["columns"]])
+        cells = governance.sampled(frames.to_long(wanted, ["_path"], kind["columns"]), ["_path", "column_name"], [F.md5("value"), "value"])
+        taken.append(cells.select(F.col("_path").alias("path"), F.lit(kind["reader"]).alias("reader"), "column_name", "index", "value"))
+    return frames.concat_all(taken)
+
+
 def avro_to_delimited(spark: SparkSession, source: str, path: str, sep: str = "\x1e") -> str:
     """Avro partition to unquoted text; needs the spark-avro package."""
     return writers.write_lines(files.read_files(spark, source, ReadSpec("avro")), path, sep)

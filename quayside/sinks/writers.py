@@ -198,6 +198,12 @@ def merge_text(spark: SparkSession, paths: Sequence[str], path: str, target_byte
     return parts
 
 
+def write_text_pages(lines: DataFrame, path: str) -> str:
+    """Lines ``value`` in a ``page=`` folder for each page."""
+    lines.write.mode("overwrite").partitionBy("page").option("lineSep", "\n").text(path)
+    return path
+
+
 def write_report(df: DataFrame, path: str) -> str:
     r"""Report with record separators and ``\`` as escape."""
     df.write.mode("overwrite").option("sep", "\x1e").option("escape", "\\").option("header", True).csv(path)

@@ -509,3 +509,50 @@ def test_frames(spark, people):
     wide = spark.range(250).select(F.lit("t").alias("tb"), F.col("id").alias("index"), F.lit("n").alias("name"))
     lists = frames.listed_matches(wide, "tb", "index", ["name"])
     assert sorted(r["n"] for r in lists.select(F.size("matches").alias("n")).collect()) == [50, 100, 100]
+
+
+def test_marked_and_binary_columns_become_text(spark):
+    rows = spark.createDataFrame([("b0a1", b"\xc3\xa9", 1), ("zz", None, 2), (None, b"\xff", 3)], "x_Decode_To_Euc_Kr string, raw binary, n int")
+    got = frames.decode_marked(rows)
+    assert got.columns == rows.columns
+    assert [tuple(r) for r in got.orderBy("n").collect()] == [("가", "é", 1), (None, None, 2), (None, "�", 3)]
+
+
+def test_extracted_rows_pages_and_nulls(spark, tmp_path):
+    schema = {"fields": [{"name": "id", "type": "bigint"}, {"name": "note", "type": "string"}]}
+    rows = spark.createDataFrame([(i, None if i % 2 else f"a\r\n{i}") for i in range(25)], "id long, note string")
+    done = jobs.extract_rows(rows, ["id"], 10, str(tmp_path / "pages"), str(tmp_path / "typed"), schema)
+    assert (done.rows, done.failures) == (25, 0)
+    counts = spark.read.text(str(tmp_path / "pages")).groupBy("page").count().orderBy("page").collect()
+    assert [(int(p), n) for p, n in counts] == [(0, 10), (1, 10), (2, 5)]
+    got = spark.read.parquet(str(tmp_path / "typed")).orderBy("id").collect()
+    assert [tuple(r) for r in got] == [(i, None if i % 2 else f"a{i}") for i in range(25)]
+
+
+def test_extracting_no_rows(spark, tmp_path):
+    schema = {"fields": [{"name": "id", "type": "bigint"}]}
+    done = jobs.extract_rows(spark.createDataFrame([], "id long"), ["id"], 10, str(tmp_path / "pages"), str(tmp_path / "typed"), schema)
+    assert done.rows == 0
+    assert spark.read.parquet(str(tmp_path / "typed")).columns == ["id"]
+
+
+def test_samples_read_the_table_once(spark, people, tmp_path):
+    people.write.parquet(str(tmp_path / "people"))
+    stored = spark.read.parquet(str(tmp_path / "people"))
+    got = governance.sample_values(stored, ["name", "v", "id"], ["id"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    assert "WindowGroupLimit" in plan.split("Exchange")[-1]  # tasks drop rows before the exchange
+    assert [r.value for r in got.where("column_name = 'id'").orderBy(F.col("value").cast("int")).collect()] == ["1", "2", "3", "4", "5"]
+
+
+def test_files_sampled_each_by_its_format(spark, tmp_path):
+    frame = spark.createDataFrame([(str(i), "x") for i in range(9)], "a string, b string").coalesce(1)
+    writers.write_files(frame, str(tmp_path / "p"), WriteSpec("parquet", merge=True, file_name="t.parquet"))
+    writers.write_files(frame, str(tmp_path / "q"), WriteSpec("parquet", merge=True, file_name="t.parquet"))
+    listed = [(f"{tmp_path}/{d}/t.parquet", None, None, None, ["a"]) for d in "pq"] + [("/x.bin", None, None, None, ["a"])]
+    inventory = spark.createDataFrame(listed, "path string, format string, sep string, fields array<string>, columns array<string>")
+    got = jobs.sample_files(spark, inventory).collect()
+    assert len(got) == 11 and len({r.path for r in got}) == 3
+    assert [r.value for r in got if r.reader is None] == [None]
+    assert jobs.sample_files(spark, inventory.limit(0)).count() == 0
