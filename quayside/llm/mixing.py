@@ -39,6 +39,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+def whole_parts(number: Column, by: Column) -> Column:
+    """Integer quotient; a decimal quotient would be rounded before it could be cut off."""
+    return F.call_function("div", number.cast(EXACT), by.cast(EXACT))
+
+
 def share_out(children: DataFrame, siblings: Sequence[str]) -> DataFrame:
     """Adds ``quota`` to nodes with ``weight``, ``supply`` and the ``budget`` of their parent, which stands in every sibling.
 
@@ -73,7 +78,7 @@ def share_out(children: DataFrame, siblings: Sequence[str]) -> DataFrame:
     marked = marked.withColumn("used", total(F.when(F.col("short"), F.col("supply")), group)).withColumn(
         "rest", total(F.when(~F.col("short"), F.col("w")), group)
     )
-    open_share = F.when(F.col("rest") > 0, F.floor(((F.col("budget") - F.col("used")) * F.col("w")).cast(EXACT) / F.col("rest")))
+    open_share = F.when(F.col("rest") > 0, whole_parts((F.col("budget") - F.col("used")) * F.col("w"), F.col("rest")))
     quota = F.when(F.col("ratio").isNull(), 0).when(F.col("short"), F.col("supply")).otherwise(open_share)
     return marked.withColumn("quota", quota.cast(EXACT)).drop("ratio", "w", "taken", "left_weight", "short", "used", "rest")
 
@@ -158,7 +163,7 @@ def mix_plan(docs: DataFrame, levels: Sequence[Level], budget_share: float, epoc
     supplies = settle(rows.groupBy(*names).agg(F.count(F.lit(1)).alias("rows"), F.sum("tokens").alias("tokens")), "supplies")
     budget = supplies.agg(F.floor(F.coalesce(F.sum("tokens"), F.lit(0)) * F.lit(budget_share)).alias("b")).scalar()
     leaves = leaf_budgets(supplies, levels, budget, epochs).where("quota > 0")
-    whole = F.floor(F.col("quota") / F.col("tokens")).cast("long")
+    whole = whole_parts(F.col("quota"), F.col("tokens"))
     leaves = settle(
         leaves.withColumn("whole", whole)
         .withColumn("rest", (F.col("quota") - F.col("whole") * F.col("tokens")).cast("long"))

@@ -164,4 +164,73 @@ SELECT page_id, p.host, p.path, fit.rule,
 FROM p LEFT JOIN fit USING (row_id) LEFT JOIN hits USING (row_id)
 """
 
-SQL: dict[str, str] = {"op4_url_filter": OP4_SQL}
+
+
+def _shared(depth: int) -> str:
+    """Quotas of the nodes of one level: short nodes get their supply, the others share what is left by weight."""
+    level, names = MIX_LEVELS[depth], [each.name for each in MIX_LEVELS[: depth + 1]]
+    here, above = ", ".join(names), names[:-1]
+    weight = " ".join(f"WHEN '{k}' THEN {v}" for k, v in level.weights.items())
+    weight = f"CASE {level.name} {weight} ELSE {level.default} END" if weight else str(level.default)
+    if above:
+        same = " AND ".join(f"q.{n} IS NOT DISTINCT FROM n.{n}" for n in above)
+        budget = f"(SELECT quota FROM quota{depth - 1} q WHERE {same})"
+    else:
+        budget = f"(SELECT least(floor(sum(tokens) * {MIX_SHARE}::DOUBLE)::HUGEINT, sum(supply)) FROM leaves)"
+    group = f"PARTITION BY {', '.join(above)} " if above else ""
+    order = f"{group}ORDER BY ratio ASC NULLS LAST, {level.name} ASC NULLS FIRST"
+    return f"""
+nodes{depth} AS (SELECT {here}, sum(supply)::HUGEINT AS supply, ({weight})::HUGEINT AS weight FROM leaves GROUP BY {here}),
+ratios{depth} AS (
+  SELECT *, {budget} AS budget, CASE WHEN supply > 0 THEN supply::DOUBLE / weight::DOUBLE END AS ratio, CASE WHEN supply > 0 THEN weight ELSE 0 END AS w
+  FROM nodes{depth} n),
+sums{depth} AS (
+  SELECT *, coalesce(sum(supply) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS taken,
+         sum(w) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS left_weight
+  FROM ratios{depth}),
+short{depth} AS (
+  SELECT *, bool_and(ratio IS NOT NULL AND supply * left_weight <= (budget - taken) * w)
+              OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS short
+  FROM sums{depth}),
+rest{depth} AS (
+  SELECT *, coalesce(sum(supply) FILTER (short) OVER ({group}), 0) AS used, coalesce(sum(w) FILTER (NOT short) OVER ({group}), 0) AS rest
+  FROM short{depth}),
+quota{depth} AS (
+  SELECT {here}, CASE WHEN ratio IS NULL THEN 0 WHEN short THEN supply ELSE (budget - used) * w // rest END::HUGEINT AS quota FROM rest{depth}),"""
+
+
+_NODES = ", ".join(level.name for level in MIX_LEVELS)
+
+
+def _same_leaf(a: str, b: str) -> str:
+    return " AND ".join(f"{a}.{level.name} IS NOT DISTINCT FROM {b}.{level.name}" for level in MIX_LEVELS)
+
+
+def _place(epoch: str) -> str:
+    return f"md5('{MIX_SEED}:' || {epoch} || ':' || coalesce(d.doc_id::VARCHAR, ''))"
+
+
+#: The running sum over a leaf is written plainly here.
+OP1_SQL = f"""
+WITH docs AS (
+  SELECT doc_id, CASE WHEN regexp_matches(source, '[02468]$') THEN 'web' WHEN regexp_matches(source, '[13579]$') THEN 'forum' END AS domain,
+         lang AS language, source AS origin, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS tokens
+  FROM documents),
+leaves AS (SELECT {_NODES}, sum(tokens) AS tokens, sum(tokens) * {MIX_EPOCHS} AS supply FROM docs GROUP BY {_NODES}),
+{"".join(map(_shared, range(len(MIX_LEVELS)))).lstrip()}
+given AS (
+  SELECT l.* EXCLUDE (supply), (quota // tokens)::BIGINT AS whole, quota % tokens AS rest
+  FROM leaves l JOIN quota{len(MIX_LEVELS) - 1} q ON {_same_leaf("l", "q")} WHERE quota > 0),
+placed AS (
+  SELECT {", ".join(f"g.{level.name}" for level in MIX_LEVELS)}, g.rest, {_place("(whole + 1)")} AS place, sum(d.tokens) AS tokens
+  FROM docs d JOIN given g ON {_same_leaf("d", "g")} WHERE g.rest > 0 GROUP BY ALL),
+running AS (SELECT *, sum(tokens) OVER (PARTITION BY {_NODES} ORDER BY place ROWS UNBOUNDED PRECEDING) AS upto FROM placed),
+cuts AS (SELECT {_NODES}, place AS cut FROM running WHERE upto >= rest AND upto - tokens < rest),
+taken AS (
+  SELECT d.doc_id, {", ".join(f"d.{level.name}" for level in MIX_LEVELS)},
+         unnest(range(1, 1 + g.whole + CASE WHEN {_place("(g.whole + 1)")} <= c.cut THEN 1 ELSE 0 END)) AS epoch
+  FROM docs d JOIN given g ON {_same_leaf("d", "g")} LEFT JOIN cuts c ON {_same_leaf("g", "c")})
+SELECT d.*, {_place("epoch")} AS place FROM taken d
+"""
+
+SQL: dict[str, str] = {"op1_mixing": OP1_SQL, "op4_url_filter": OP4_SQL}

@@ -108,3 +108,8 @@ def test_shortage_goes_to_siblings_before_ancestors(spark):
 def test_empty_tables(spark):
     assert mixing.mix(empty(spark), LEVELS).collect() == []
     assert mixing.mix(documents(spark, [None, "", " "]), LEVELS).collect() == []
+
+
+def test_quotients_are_not_rounded(spark):
+    pairs = spark.createDataFrame([(2_999_999_999, 3_000_000_000), (6 * 10**18, 3), (7, 2)], "a long, b long")
+    assert [r[0] for r in pairs.select(mixing.whole_parts(F.col("a"), F.col("b"))).collect()] == [0, 2 * 10**18, 3]
