@@ -7,12 +7,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.block_tables import in_part_pairs
 from quayside.llm.components import connected_components
-from quayside.session import settle, ship_package
+from quayside.session import local_table, settle, ship_package
 
 SEED = 20
 #: Sort orders, sign hashes in each, and how many rows ahead a row is compared.
@@ -27,8 +28,8 @@ def usable(vector: Column) -> Column:
 
 
 @functools.cache
-def _directions(dims: int, passes: int) -> np.ndarray:
-    return np.random.default_rng((SEED, dims)).standard_normal((dims, passes * HASHES))
+def _directions(dims: int, passes: int, turn: int) -> np.ndarray:
+    return np.random.default_rng((SEED, dims, turn)).standard_normal((dims, passes * HASHES))
 
 
 def _matrix(vectors: pa.ListArray) -> np.ndarray:
@@ -38,18 +39,19 @@ def _matrix(vectors: pa.ListArray) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
-def _code_task(batches: Iterator[pa.RecordBatch], passes: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _code_task(batches: Iterator[pa.RecordBatch], passes: int, turn: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """One row per vector and pass: the signs of the pass's random projections, joined to a number."""
-    place = np.int64(1) << np.arange(HASHES - 1, -1, -1, dtype=np.int64)
     for batch in batches:
         dims = batch.column(2).to_numpy()
         for d in np.unique(dims):
             part = batch.filter(pa.array(dims == d))
-            signs = _matrix(part.column(1)) @ _directions(int(d), passes) > 0
-            codes = signs.reshape(len(part), passes, HASHES) @ place
+            unit, directions = _matrix(part.column(1)), _directions(int(d), passes, turn)
             for p in range(passes):
+                signs = np.zeros((len(part), 64), bool)
+                signs[:, 64 - HASHES :] = unit @ directions[:, p * HASHES : (p + 1) * HASHES] > 0
+                codes = np.packbits(signs, axis=1).view(">i8")[:, 0].astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(part), p, np.int32)), part.column(2), pa.array(codes[:, p]), part.column(0), part.column(1)],
+                    [pa.array(np.full(len(part), p, np.int32)), part.column(2), pa.array(codes), *(part.column(c) for c in (3, 0, 1))],
                     schema=schema,
                 )
 
@@ -73,22 +75,35 @@ class _Joined:
         return a != b
 
 
-def _window_task(batches: Iterator[pa.RecordBatch], window: int, least: float) -> Iterator[pa.RecordBatch]:
-    """Verified links between rows at most ``window`` apart in the sorted order of their pass."""
+def _window_task(batches: Iterator[pa.RecordBatch], window: int, least: float, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Verified links between rows at most ``window`` apart in the sorted order of their pass, inside one range.
+
+    The first and last ``window`` rows of the range leave with their rank in it, to meet the neighbouring ranges, and a row
+    without a class tells how many rows the range has.
+    """
     joined = _Joined()
     run: tuple[int, int] | None = None
     ids, rows = np.empty(0, np.int64), np.empty((0, 0))
+    place, seen = TaskContext.get().partitionId(), 0
+    last: list[tuple[int, pa.RecordBatch]] = []  # rank of the first row, rows
+
+    def edge(rank: int, part: pa.RecordBatch) -> pa.RecordBatch:
+        n, none = len(part), pa.nulls(len(part), pa.int64())
+        ranks = pa.array(np.arange(rank, rank + n, dtype=np.int64))
+        own = [part.column(c) for c in (0, 1, 4, 5)]
+        return pa.RecordBatch.from_arrays([none, none, pa.array(np.full(n, place, np.int32)), ranks, *own], schema=schema)
+
     for batch in batches:
+        if not batch.num_rows:
+            continue
         found: list[tuple[int, int]] = []
         passes, dims = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         cuts = np.flatnonzero((passes[1:] != passes[:-1]) | (dims[1:] != dims[:-1])) + 1
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
-            if b == a:
-                continue
             if run != (passes[a], dims[a]):
                 run, ids, rows = (passes[a], dims[a]), np.empty(0, np.int64), np.empty((0, int(dims[a])))
             part = batch.slice(a, b - a)
-            new_ids, new_rows = part.column(3).to_numpy(), _matrix(part.column(4))
+            new_ids, new_rows = part.column(4).to_numpy(), _matrix(part.column(5))
             for at in range(0, len(new_ids), _ROWS):
                 mine, block = new_ids[at : at + _ROWS], new_rows[at : at + _ROWS]
                 before = len(ids)
@@ -98,9 +113,111 @@ def _window_task(batches: Iterator[pa.RecordBatch], window: int, least: float) -
                 i, j = np.nonzero(near & (later > 0) & (later <= window))
                 found += [x for x in zip(mine[i].tolist(), ids[j].tolist()) if joined.add(*x)]
                 ids, rows = ids[-window:], rows[-window:]
-        yield pa.RecordBatch.from_pydict(
-            {"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([x for _, x in found], pa.int64())}
-        )
+        if found:
+            yield _link_batch(found, schema)
+        opening = min(batch.num_rows, max(0, window - seen))
+        if opening:
+            yield edge(seen, batch.slice(0, opening))
+        if opening < batch.num_rows:
+            last.append((seen + opening, batch.slice(opening)))
+        seen += batch.num_rows
+        while last and last[0][0] + len(last[0][1]) <= seen - window:
+            last.pop(0)
+    for rank, part in last:
+        cut = max(0, seen - window - rank)
+        yield edge(rank + cut, part.slice(cut))
+    if seen:
+        values = [None, None, place, seen, None, None, None, None]
+        yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
+
+
+def _link_batch(found: list[tuple[int, int]], schema: pa.Schema) -> pa.RecordBatch:
+    links = [pa.array(side, pa.int64()) for side in zip(*found)]
+    return pa.RecordBatch.from_arrays([*links, *(pa.nulls(len(found), f.type) for f in list(schema)[2:])], schema=schema)
+
+
+def _border_task(batches: Iterator[pa.RecordBatch], window: int, least: float) -> Iterator[pa.RecordBatch]:
+    """Verified links across each border between ranges, from the rows within ``window`` of it, sorted by border and position."""
+    held: pa.Table | None = None
+    joined = _Joined()
+
+    def met(rows: pa.Table) -> list[tuple[int, int]]:
+        border = rows.column("border")[0].as_py()
+        found: list[tuple[int, int]] = []
+        passes, dims, at, ids = (rows.column(c).to_numpy() for c in ("pass", "dims", "at", "class_id"))
+        cuts = np.flatnonzero((passes[1:] != passes[:-1]) | (dims[1:] != dims[:-1])) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(rows)]):
+            unit = _matrix(rows.column("vector").slice(a, b - a).combine_chunks())
+            here, mine = at[a:b], ids[a:b]
+            later = here[:, None] - here[None, :]
+            across = (here[:, None] >= border) & (here[None, :] < border)
+            i, j = np.nonzero((unit @ unit.T >= least) & across & (later <= window))
+            found += [x for x in zip(mine[i].tolist(), mine[j].tolist()) if joined.add(*x)]
+        return found
+
+    def batch_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([x for _, x in found], pa.int64())})
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = pa.Table.from_batches([batch])
+        now = now if held is None else pa.concat_tables([held, now]).combine_chunks()
+        border = now.column("border").to_numpy()
+        cuts = [0, *(np.flatnonzero(border[1:] != border[:-1]) + 1).tolist()]
+        if len(cuts) > 1:
+            yield batch_of([x for a, b in zip(cuts, cuts[1:]) for x in met(now.slice(a, b - a))])
+        held = now.slice(cuts[-1])
+    if held is not None:
+        yield batch_of(met(held))
+
+
+def _borders(sizes: dict[int, int], window: int) -> dict[str, list]:
+    """For each range the position of its first row, once for every border within ``window`` of a row of it."""
+    places = sorted(sizes)
+    starts = [0, *np.cumsum([sizes[p] for p in places]).tolist()]
+    inner = np.array(starts[1:-1], np.int64)
+    near: dict[str, list] = {"place": [], "start": [], "border": []}
+    for place, start, end in zip(places, starts, starts[1:]):
+        for border in inner[np.searchsorted(inner, start - window) : np.searchsorted(inner, end + window, "right")].tolist():
+            near["place"].append(place)
+            near["start"].append(start)
+            near["border"].append(border)
+    return near
+
+
+def _round_links(source: DataFrame, passes: int, turn: int, window: int, least: float) -> DataFrame:
+    """``(a, b)``: verified links that the fresh passes of one round find, alike for any number of ranges."""
+    item = source.limit(0).toArrow().schema.field("vector")
+    kind = source.schema["vector"].dataType.simpleString()
+    kinds = [("pass", pa.int32()), ("dims", pa.int32()), ("code", pa.int64()), ("tie", pa.int64()), ("class_id", pa.int64())]
+    coded = source.mapInArrow(
+        functools.partial(_code_task, passes=passes, turn=turn, schema=pa.schema([*[pa.field(*k) for k in kinds], item])),
+        f"pass int, dims int, code long, tie long, class_id long, vector {kind}",
+    )
+    order = ("pass", "dims", "code", "tie", "class_id")
+    kinds = [("a", pa.int64()), ("b", pa.int64()), ("place", pa.int32()), ("rank", pa.int64()), *kinds[:2], kinds[4]]
+    made = settle(
+        coded.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .mapInArrow(
+            functools.partial(_window_task, window=window, least=least, schema=pa.schema([*[pa.field(*k) for k in kinds], item])),
+            f"a long, b long, place int, rank long, pass int, dims int, class_id long, vector {kind}",
+        ),
+        "windows",
+    )
+    links = made.where("a IS NOT NULL").select("a", "b")
+    sizes = {r["place"]: r["rank"] for r in made.where("place IS NOT NULL AND class_id IS NULL").select("place", "rank").collect()}
+    if len(sizes) < 2:
+        return links
+    near = F.broadcast(local_table(source.sparkSession, _borders(sizes, window)))
+    at = F.col("start") + F.col("rank")
+    edges = made.where("class_id IS NOT NULL").join(near, "place").select("border", at.alias("at"), "pass", "dims", "class_id", "vector")
+    edges = edges.where((F.col("at") >= F.col("border") - window) & (F.col("at") < F.col("border") + window))
+    across = edges.repartition("border").sortWithinPartitions("border", "at").mapInArrow(
+        functools.partial(_border_task, window=window, least=least), "a long, b long"
+    )
+    return links.unionByName(across)
 
 
 _GROUP = ("component", "bucket_left", "bucket_right")
@@ -160,9 +277,10 @@ def near_duplicate_vectors(
     """``key, n_links, component_id, kept`` of every row; links are pairs whose cosine in double precision is ``least`` or more.
 
     Equal vectors form one class and are compared once. In each pass the classes are sorted by the joined signs of seeded random
-    projections and compared with the ``window`` rows behind them; verified links of all passes are united. The links of a
-    class are then counted exactly among all classes of its component, in bounded blocks, so a dense group of any size has its
-    full counts. A link can be missed only if its two vectors are neither close in any pass nor joined through others.
+    projections and compared with the ``window`` rows behind them, also across the borders of the sorted ranges, so that the
+    number of ranges does not matter; verified links of all passes are united. The links of a class are then counted exactly among all
+    classes of its component, in bounded blocks, so a dense group of any size has its full counts. A link can be missed only if
+    its two vectors are neither close in any pass nor joined through others.
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, and vectors of different
     length link with each other in no case. Rows with a null key count as links but never name a component; they are not kept.
@@ -177,21 +295,8 @@ def near_duplicate_vectors(
         .select(F.monotonically_increasing_id().alias("class_id"), "lowest", "copies", "vector"),
         "classes",
     )
-    source = classes.select("class_id", "vector", F.size("vector").alias("dims"))
-    item = source.limit(0).toArrow().schema.field(1)
-    kinds = [("pass", pa.int32()), ("dims", pa.int32()), ("code", pa.int64()), ("class_id", pa.int64())]
-    schema = pa.schema([*[pa.field(*k) for k in kinds], item])
-    coded = source.mapInArrow(
-        functools.partial(_code_task, passes=passes, schema=schema),
-        f"pass int, dims int, code long, class_id long, vector {source.schema['vector'].dataType.simpleString()}",
-    )
-    order = ("pass", "dims", "code", "class_id")
-    links = (
-        coded.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .mapInArrow(functools.partial(_window_task, window=window, least=least), "a long, b long")
-    )
-    found = connected_components(links)
+    source = classes.select("class_id", "vector", F.size("vector").alias("dims"), F.xxhash64("vector").alias("tie"))
+    found = connected_components(_round_links(source, passes, 0, window, least))
     rooted = found.select(F.col("node").alias("class_id"), "component").unionByName(
         found.select(F.col("component").alias("class_id"), "component").distinct()
     )

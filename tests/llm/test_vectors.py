@@ -73,3 +73,21 @@ def test_recall_near_the_threshold(spark):
 def test_empty(spark):
     assert run(spark, []) == []
     assert run(spark, [(1, None), (2, [])]) == [(1, 0, 1, True), (2, 0, 2, True)]
+
+
+def test_borders_of_ranges_do_not_matter(spark):
+    """One round of one pass must give the same links for one range and for many, some shorter than the window."""
+    rows = [(i, v) for i, v in enumerate(vectors(7, 150, 3, 0.25))]
+    frame = spark.createDataFrame(rows, "class_id long, vector array<float>").selectExpr("*", "size(vector) AS dims", "xxhash64(vector) AS tie")
+    found = {}
+    before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for parts in (1, 7, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            links = embedding_dups._round_links(frame, 1, 0, 16, 0.9)
+            found[parts] = sorted(tuple(r) for r in embedding_dups.connected_components(links).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[1])
+    assert len(found[1]) > 100 and found[1] == found[7] == found[40]
