@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,11 +17,26 @@ from quayside.llm.components import connected_components
 from quayside.session import local_table, settle, ship_package
 
 SEED = 20
-#: Sort orders, sign hashes in each, and how many rows ahead a row is compared.
-PASSES, HASHES, WINDOW = 16, 32, 64
+#: Least sort orders in a round, sign hashes in each, and how many rows ahead a row is compared.
+PASSES, HASHES, WINDOW = 16, 63, 64
+#: Share of the links at the least cosine that the passes of one round should find among vectors that are spread out.
+RECALL = 0.95
 _ROWS = 512
 
 
+def passes_for(classes: int, least: float, window: int, recall: float = RECALL) -> int:
+    """Passes of a round for ``classes`` vectors, as many as the recall asks for.
+
+    Two vectors at the least cosine share a sign with probability ``1 - acos(least) / pi``, and stay within the window if they
+    share about log2(classes / window) leading ones.
+    """
+    same = 1 - math.acos(max(-1.0, min(1.0, least))) / math.pi
+    met = same ** max(0.0, math.log2(max(1, classes) / window))
+    if met >= recall:
+        return 1
+    return math.ceil(math.log1p(-recall) / math.log1p(-met))
+
+
 def usable(vector: Column) -> Column:
     """A vector with a direction: not null or empty, all components finite, one of them not zero."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -220,6 +236,21 @@ def _round_links(source: DataFrame, passes: int, turn: int, window: int, least:
     return links.unionByName(across)
 
 
+def _linked_classes(source: DataFrame, passes: int, window: int, least: float) -> DataFrame:
+    """``(node, component)`` of linked classes, as of ``connected_components``; rounds go on until one joins no components."""
+    found = settle(connected_components(_round_links(source, passes, 0, window, least)), "components")
+    turn = 1
+    while True:
+        links = _round_links(source, passes, turn, window, least)
+        a, b = (found.select(F.col("node").alias(x), F.col("component").alias(f"{x}_root")) for x in "ab")
+        roots = [F.coalesce(f"{x}_root", x).alias(x) for x in "ab"]
+        new = settle(links.join(a, "a", "left").join(b, "b", "left").select(*roots).where("a <> b").distinct(), "joins")
+        if new.isEmpty():
+            return found
+        every = found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new)
+        found, turn = settle(connected_components(every), "components"), turn + 1
+
+
 _GROUP = ("component", "bucket_left", "bucket_right")
 
 
@@ -278,9 +309,11 @@ def near_duplicate_vectors(
 
     Equal vectors form one class and are compared once. In each pass the classes are sorted by the joined signs of seeded random
     projections and compared with the ``window`` rows behind them, also across the borders of the sorted ranges, so that the
-    number of ranges does not matter; verified links of all passes are united. The links of a class are then counted exactly among all
-    classes of its component, in bounded blocks, so a dense group of any size has its full counts. A link can be missed only if
-    its two vectors are neither close in any pass nor joined through others.
+    number of ranges does not matter; verified links of all passes are united. A round has ``passes`` passes, or as many as
+    ``passes_for`` asks for by the number of classes; rounds with fresh projections follow until one joins no two components,
+    so a crowded cone gets as many as it needs. The links of a class are then counted exactly among all classes of its
+    component, in bounded blocks, so a dense group of any size has its full counts. A link can be missed only if its two
+    vectors are neither close in any pass of any round nor joined through others.
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, and vectors of different
     length link with each other in no case. Rows with a null key count as links but never name a component; they are not kept.
@@ -296,7 +329,8 @@ def near_duplicate_vectors(
         "classes",
     )
     source = classes.select("class_id", "vector", F.size("vector").alias("dims"), F.xxhash64("vector").alias("tie"))
-    found = connected_components(_round_links(source, passes, 0, window, least))
+    turns = max(passes, passes_for(classes.count(), least, window))
+    found = _linked_classes(source, turns, window, least)
     rooted = found.select(F.col("node").alias("class_id"), "component").unionByName(
         found.select(F.col("component").alias("class_id"), "component").distinct()
     )

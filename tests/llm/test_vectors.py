@@ -75,6 +75,41 @@ def test_empty(spark):
     assert run(spark, [(1, None), (2, [])]) == [(1, 0, 1, True), (2, 0, 2, True)]
 
 
+def test_passes_follow_the_number_of_classes():
+    same = 1 - np.arccos(0.9) / np.pi
+    for classes in (1, 64, 100_000, 1_000_000, 10_000_000):
+        passes = embedding_dups.passes_for(classes, 0.9, 64)
+        missed = (1 - same ** max(0.0, np.log2(classes / 64))) ** passes
+        assert missed <= 1 - embedding_dups.RECALL + 1e-9
+    assert embedding_dups.passes_for(10_000_000, 0.9, 64) > embedding_dups.PASSES
+
+
+def at_cosine(draw, base, cosine):
+    """A vector at the cosine from a unit one."""
+    other = draw.standard_normal(len(base))
+    other -= (other @ base) * base
+    return cosine * base + np.sqrt(1 - cosine**2) * other / np.linalg.norm(other)
+
+
+def test_recall_at_the_threshold_beside_a_dense_cone(spark):
+    """Pairs at 0.90 to 0.92; a third of all rows lies in one cone, at about 0.75 from each other."""
+    draw, dims = np.random.default_rng(5), 64
+    axis = draw.standard_normal(dims)
+    axis /= np.linalg.norm(axis)
+    pairs, rows = [], []
+    for i in range(6000):
+        base = at_cosine(draw, axis, 0.866) if i % 3 == 0 else draw.standard_normal(dims)
+        base /= np.linalg.norm(base)
+        if i % 6 < 2:
+            pairs.append((len(rows), len(rows) + 1))
+            rows.append(at_cosine(draw, base, draw.uniform(0.901, 0.92)))
+        rows.append(base)
+    rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(rows)]
+    got = {k: c for k, _, c, _ in run(spark, rows)}
+    recall = {cone: np.mean([got[a] == got[b] for n, (a, b) in enumerate(pairs) if (n % 2 == 0) == cone]) for cone in (False, True)}
+    assert len(pairs) == 2000 and recall[False] >= 0.95 and recall[True] >= 0.95, recall
+
+
 def test_borders_of_ranges_do_not_matter(spark):
     """One round of one pass must give the same links for one range and for many, some shorter than the window."""
     rows = [(i, v) for i, v in enumerate(vectors(7, 150, 3, 0.25))]
