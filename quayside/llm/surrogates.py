@@ -38,7 +38,8 @@ SYLLABLES = {
     "latin": "bar cor del fan gor hal kin lor men nor par ros sel tor van wil",
     "cyrillic": "бар вал гор дан зор кам лин мар нор пет рос сав тим фед хар чер",
 }
-MAX_ATTEMPTS = 40
+#: From this attempt on a surrogate is longer than its form asks for, by one more character each time.
+LONGER_FROM = 8
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -133,28 +134,41 @@ def _name(ident: Column, digest: Column, attempt: Column) -> Column:
     return out
 
 
+def _more(kind: Column, ident: Column, attempt: Column, secret: Column, put) -> Column:
+    """What ``put`` makes of the extra places of a late attempt, joined; empty before."""
+    digest = _digest(secret, F.lit("longer"), kind, ident, attempt)
+    extra = F.array_join(F.transform(F.sequence(F.lit(1), attempt - (LONGER_FROM - 1)), lambda i: put(digest, i)), "")
+    return F.when(attempt >= LONGER_FROM, extra).otherwise(F.lit(""))
+
+
 def surrogate(kind: Column, ident: Column, attempt: Column, secret: Column) -> Column:
-    """The replacement of an entity, in the form of its identity."""
+    """The replacement of an entity, in the form of its identity; late attempts are longer, so that there is always room."""
+    letters = _more(kind, ident, attempt, secret, lambda digest, i: _letter(_LETTERS, _draw(digest, i, 26)))
+    digits = _more(kind, ident, attempt, secret, lambda digest, i: _draw(digest, i, 10).cast("string"))
+    octets_more = _more(kind, ident, attempt, secret, lambda digest, i: F.concat(F.lit("."), (_draw(digest, i, 254) + 1).cast("string")))
     digest = _digest(secret, kind, ident, attempt)
     at = F.instr(ident, "@")
     domain = F.substr(ident, at + 1)
     top = F.regexp_extract(domain, r"\.[^.]*$", 0)
     host = F.substr(domain, F.lit(1), F.length(domain) - F.length(top))
     email = F.concat(
-        _reshaped(F.substr(ident, F.lit(1), at - 1), digest), F.lit("@"), _reshaped(host, _digest(secret, F.lit("domain"), domain, F.lit(0))), top
+        _reshaped(F.substr(ident, F.lit(1), at - 1), digest), letters, F.lit("@"), _reshaped(host, _digest(secret, F.lit("domain"), domain, F.lit(0))), top
     )
     octets = F.transform(F.split(ident, r"\."), lambda o, i: (_draw(digest, i, 254) + 1).cast("string"))
     return (
         F.when(kind == "email", email)
-        .when(kind == "ip", F.array_join(octets, "."))
-        .when(kind == "card", _card(ident, digest))
+        .when(kind == "ip", F.concat(F.array_join(octets, "."), octets_more))
+        .when(kind == "card", F.concat(_card(ident, digest), digits))
         .when(kind == "name", _name(ident, digest, attempt))
-        .otherwise(_reshaped(ident, digest))
+        .otherwise(F.concat(_reshaped(ident, digest), digits))
     )
 
 
 def _formatted(kind: Column, value: Column, fresh: Column) -> Column:
-    """The replacement in the format of this mention: separators and titles of the mention, digits and names of the surrogate."""
+    """The replacement in the format of this mention: separators and titles of the mention, digits and names of the surrogate.
+
+    Digits of a longer surrogate follow the last one of the mention.
+    """
     start = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
 
     def put(state: Column, char: Column) -> Column:
@@ -164,7 +178,7 @@ def _formatted(kind: Column, value: Column, fresh: Column) -> Column:
             F.concat(state["out"], F.when(digit, F.substr(fresh, state["at"], F.lit(1))).otherwise(char)).alias("out"),
         )
 
-    number = F.aggregate(F.split(value, ""), start, put, lambda s: s["out"])
+    number = F.aggregate(F.split(value, ""), start, put, lambda s: F.concat(s["out"], F.substr(fresh, s["at"], F.length(fresh))))
     title = F.regexp_extract(value, rf"^(?:{_TITLE})\.? ", 0)
     return F.when(kind.isin("phone", "card", "ssn"), number).when(kind == "name", F.concat(title, fresh)).otherwise(fresh)
 
@@ -189,11 +203,12 @@ def retries(entities: DataFrame, secret_key: str) -> DataFrame:
     """``(kind, ident, attempt)`` of the entities whose first surrogates would collide; all others have attempt 0.
 
     ``entities(kind, ident)`` are distinct, of the whole corpus. A surrogate is refused if it is itself an entity there, or if
-    an entity of a smaller identity has it; the refused ones draw again until none is left. Every round stores only the
+    an entity of a smaller identity has it; the refused ones draw again until none is left. There is no last round: surrogates of
+    late attempts are longer, so that even an entity without a letter or digit to change finds a free one. Every round stores only the
     entities that have drawn again, and joins with them.
     """
     moved = entities.limit(0).withColumn("attempt", F.lit(0))
-    for _ in range(MAX_ATTEMPTS):
+    while True:
         now = entities.join(moved, ["kind", "ident"], "left").withColumn("attempt", F.coalesce("attempt", F.lit(0)))
         fresh = surrogate(F.col("kind"), F.col("ident"), F.col("attempt"), F.col("pii_secret"))
         drawn = settle(_with_secret(now, secret_key).withColumn("fresh", fresh).drop("pii_secret"), "drawn")
@@ -206,7 +221,6 @@ def retries(entities: DataFrame, secret_key: str) -> DataFrame:
         if again.isEmpty():
             return moved
         moved = settle(moved.join(again, ["kind", "ident"], "left_anti").unionByName(again), "moved")
-    raise RuntimeError(f"surrogates still collide after {MAX_ATTEMPTS} attempts")
 
 
 def replace_personal_data(docs: DataFrame, secret_key: str, text: str = "text", key: str = "doc_id", length: str | None = "n_chars") -> DataFrame:

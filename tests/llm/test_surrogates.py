@@ -73,3 +73,20 @@ def test_keys_give_other_surrogates_and_long_texts_work(spark):
     long = prose(1, 20_000) + " " + TEXTS[0]
     a, b = (replaced(spark, documents(spark, [long]), k).first().text for k in ("one", "two"))
     assert a != b and a[: len(long) - 60] == long[: len(long) - 60]
+
+
+def test_entities_without_room_settle(spark):
+    """No letter or digit to change, hosts that reshape alike, a domain with all one-letter addresses, most short numbers."""
+    mails = ["-@-.com", "..@-.com", *(f"_@{a}.com" for a in "abcdefghijklmnopqrstuvwxyz"), *(f"{a}@-.org" for a in "abcdefghijklmnopqrstuvwxyz")]
+    text = " ".join(mails)
+    out = replaced(spark, documents(spark, [text])).first()
+    fresh = out.text.split()
+    assert out.pii_count == len(mails) == len(fresh) == len(set(fresh)) and not set(fresh) & set(mails)
+    assert all(re.fullmatch(surrogates.PATTERNS["email"], f) for f in fresh)
+    secret, attempt = F.lit(KEY), F.lit(surrogates.LONGER_FROM + 1)
+    kinds = {"email": "-@-.com", "ip": "1.2.3.4", "phone": "12345", "ssn": "123456789", "card": "4111111111111111", "name": "m|latin|Smith"}
+    rows = spark.createDataFrame(list(kinds.items()), "kind string, ident string")
+    late = {r.kind: r.s for r in rows.select("kind", surrogates.surrogate(F.col("kind"), F.col("ident"), attempt, secret).alias("s")).collect()}
+    assert all(len(late[k]) >= len(i) + 2 for k, i in kinds.items() if k not in ("ip", "name")) and late["ip"].count(".") == 5
+    shown = surrogates._formatted(F.lit("phone"), F.lit("+1 22 33"), F.lit("9876543"))
+    assert spark.range(1).select(shown).first()[0] == "+9 87 6543"
