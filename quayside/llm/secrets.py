@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +36,16 @@ ALLOWED = (
     r"(?i)example|sample|dummy|placeholder|xxxx|0123456789|abcdefgh",
     r"(.)\1{5,}",
 )
+#: What is excused as a whole: candidates, and parts of cut ones, which may have separators left on either side.
+WHOLE = (ALLOWED[0], ALLOWED[2])
+WHOLE_PART = (rf"^[-_/+]*{ALLOWED[0][1:-1]}[-_/+]*$", ALLOWED[2])
+#: What of a candidate is excused for a reason of its own, and no more: a leading date with its time, a word with what is joined
+#: to it without a separator (a window on each side at most), a run of one character.
+LOCAL = (
+    rf"{ALLOWED[1]}(?:T\d{{2,6}}Z?)?",
+    rf"[A-Za-z0-9]{{0,{WINDOW}}}(?i:{ALLOWED[3][4:]})[A-Za-z0-9]{{0,{WINDOW}}}",
+    r"([A-Za-z0-9+/_-])\1{5,}",
+)
 _SPAN = "struct<start:int,rank:int,end:int>"
 
 
@@ -127,11 +139,26 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["rank"] + 1), s["start"], s["end"])), ",")
 
 
+def _between(m: Column, cuts: Column) -> Column:
+    """The parts of a candidate between ``cuts``, sorted ``struct(start, end)`` in the text that may overlap and reach beyond it."""
+    start = F.struct(m["start"].alias("at"), F.array().cast(SPANS).alias("out"))
+
+    def part(at: Column, end: Column) -> Column:
+        value = F.substr(m["value"], at - m["start"] + 1, end - at)
+        return F.when(end - at >= WINDOW, F.array(F.struct(at.alias("start"), end.alias("end"), value.alias("value")))).otherwise(F.array().cast(SPANS))
+
+    def cut(state: Column, span: Column) -> Column:
+        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), F.concat(state["out"], part(state["at"], span["start"])).alias("out"))
+
+    return F.aggregate(cuts, start, cut, lambda s: F.concat(s["out"], part(s["at"], m["end"])))
+
+
 def with_secret_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``secret_base`` and ``secret_all``: sorted arrays of ``struct(start, rank, end)`` in code points.
 
-    Base spans are the matches of the three patterns. Entropy spans are the hot parts of candidates that no base span touches
-    and no allow-list pattern excuses. Only built-in functions are used, and nothing is shuffled.
+    Base spans are the matches of the three patterns. Entropy spans are the hot parts of candidates. A candidate that a base span
+    touches, or of which the allow-list excuses a part, is cut there, and what is left is judged as candidates of its own; only
+    identifiers and slugs of words are excused as a whole. Only built-in functions are used, and nothing is shuffled.
     """
     plain = docs.withColumn("secret_text", searchable(F.col(text)))
     value = lambda m: F.regexp_extract(m["value"], ASSIGN, 1)
@@ -141,21 +168,28 @@ def with_secret_spans(docs: DataFrame, text: str = "text") -> DataFrame:
             _ranked(assign, "assign"), _ranked(matches(F.col("secret_text"), ACCESS), "access"), _ranked(matches(F.col("secret_text"), HEX), "hex")
         )
     )
-    rough = F.filter(
-        matches(F.col("secret_text"), CANDIDATE),
-        lambda m: F.rlike(m["value"], F.lit("[0-9]")) & F.rlike(m["value"], F.lit("[A-Za-z]")),
-    )
-    found = plain.withColumn("secret_base", base).withColumn("secret_rough", rough)
+    def promising(m: Column) -> Column:
+        return F.rlike(m["value"], F.lit("[0-9]")) & F.rlike(m["value"], F.lit("[A-Za-z]"))
 
-    def wanted(m: Column) -> Column:
-        touched = F.exists("secret_base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
-        allowed = F.lit(False)
-        for pattern in ALLOWED:
-            allowed = allowed | F.rlike(m["value"], F.lit(pattern))
-        return ~touched & ~allowed
+    def fits(m: Column, patterns: tuple[str, ...]) -> Column:
+        return functools.reduce(operator.or_, [F.rlike(m["value"], F.lit(pattern)) for pattern in patterns])
+
+    rough = F.filter(matches(F.col("secret_text"), CANDIDATE), lambda m: promising(m) & ~fits(m, WHOLE))
+    found = plain.withColumn("secret_base", base).withColumn("secret_rough", rough)
 
+    def cut(m: Column) -> Column:
+        """The candidate, or what its base spans and excused parts leave of it."""
+        touching = F.filter("secret_base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
+        cuts = [F.transform(touching, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end")))]
+        for pattern in LOCAL:
+            local = matches(m["value"], pattern)
+            cuts.append(F.transform(local, lambda c: F.struct((m["start"] + c["start"]).alias("start"), (m["start"] + c["end"]).alias("end"))))
+        parts = F.filter(_between(m, F.array_sort(F.concat(*cuts))), lambda part: promising(part) & ~fits(part, WHOLE_PART))
+        return F.when((F.size(touching) == 0) & ~fits(m, LOCAL), F.array(m)).otherwise(parts)
+
+    found = found.withColumn("secret_rough", F.flatten(F.transform("secret_rough", cut)))
     hot = F.transform(
-        F.filter("secret_rough", wanted),
+        "secret_rough",
         lambda m: F.struct(m["start"].alias("at"), entropy_span(m["value"], _least(m["value"])).alias("hot")),
     )
     hot = F.transform(

@@ -93,3 +93,21 @@ def test_empty(spark):
 def test_no_python_in_the_plan(spark):
     plan = secrets.scan_secrets(documents(spark, TEXTS).select("doc_id", "text"))._jdf.queryExecution().optimizedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_secrets_beside_allowed_parts(spark):
+    """A word, a date, filler or a base span excuses itself, not what stands beside it in the same candidate."""
+    blob = "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAAAMwAAAAtzc2gtZWQyNTUxOQAAACDk3Xz2Lp9Vb4Kt8Wm1Rs6Yc3Qh7Jd5Fg0Zn"
+    beside = [f"sample-service/{RANDOM}", f"2024/05/06/{RANDOM}", f"{RANDOM}/example/{RANDOM[::-1]}", f"aaaaaaaa/{RANDOM}", f"{DIGEST}/{RANDOM}", f"{RANDOM}/{KEY}", f"{RANDOM}-token=abcdefgh1", blob]
+    keys = [[RANDOM]] * 2 + [[RANDOM, RANDOM[::-1]]] + [[RANDOM]] * 4 + [[RANDOM[3:]]]
+    keys[7] = ["Xz2Lp9Vb4Kt8Wm1Rs6Yc3Qh7Jd5Fg0Zn"]
+    clean = ["2024/05/06/some-slug-of-words-2020", "2024/05/06/123e4567-e89b-12d3-a456-426614174000", "sample-service/some-other-words-12", f"EXAMPLE{RANDOM}", f"{DIGEST}/path-of-words-12/more"]
+    rows = {r.doc_id: r for r in secrets.scan_secrets(documents(spark, [f"é {t} ." for t in [*beside, *clean]])).collect()}
+    for i, text in enumerate(beside):
+        spans = [(int(a), int(b)) for kind, a, b in (s.split(":") for s in rows[i].spans.split(",")) if kind == "entropy"]
+        for key in keys[i]:
+            at = 2 + text.index(key)
+            assert any(a <= at and at + len(key) <= b for a, b in spans), (text, rows[i].spans)
+    assert [rows[len(beside) + i].n_entropy for i in range(len(clean))] == [0] * len(clean)
+    clean_text = secrets.redact_secrets(documents(spark, [f"x {t} y" for t in beside])).select("text").collect()
+    assert not any(key in r.text for r, found in zip(clean_text, keys) for key in found)
