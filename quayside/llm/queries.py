@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import bit_sliced, embedding_dups, fingerprints, mixing, packing, secrets, surrogates, token_counts, toxicity, url_filter
+from quayside.llm import bit_sliced, embedding_dups, fingerprints, merkle, mixing, packing, secrets, surrogates, token_counts, toxicity, url_filter
 from quayside.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,8 @@ DOMAIN_WEIGHTS = {"web": 3, "forum": 2}
 LANGUAGE_WEIGHTS = {"en": 8, "de": 5, "fr": 5, "es": 4}
 MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.6, 2, 7
 
+MERKLE_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
 #: A key for checks only; jobs bring their own.
 CHECK_SECRET = "surrogate-check-key"
 
@@ -106,6 +108,14 @@ def op10_simhash_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("doc_id", "fingerprint", "component_id")
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    now = [F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars")) if c == "n_chars" else F.col(c) for c in MERKLE_FIELDS]
+    proved = merkle.manifest(docs, MERKLE_FIELDS, found=merkle.leaf(*now))
+    return proved.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", "verified")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -125,6 +135,7 @@ QUERIES: dict[str, Query] = {
         op8_fingerprints,
         op9_surrogates,
         op10_simhash_dups,
+        op13_merkle,
         pipeline,
     )
 }
@@ -233,4 +244,65 @@ taken AS (
 SELECT d.*, {_place("epoch")} AS place FROM taken d
 """
 
-SQL: dict[str, str] = {"op1_mixing": OP1_SQL, "op4_url_filter": OP4_SQL}
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    bit = "xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)"
+    byte = f"list_reduce(list_concat([xor(c, b)], [0::BIGINT for i in range(8)]), lambda x, y: {bit})"
+    codes = f"[ord(ch)::BIGINT for ch in string_split({text}, '')]"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), lambda c, b: {byte}), 4294967295)"
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || ({value}::VARCHAR), '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field(n_chars if c == "n_chars" else c) for c in MERKLE_FIELDS) + ")"
+
+
+#: All levels node by node; trees[0] has the languages' trees, trees[1] the tree over their roots.
+OP13_SQL = f"""
+WITH RECURSIVE rows AS (
+  SELECT row_number() OVER () AS row_id, doc_id, lang, {_leaf("n_chars")} AS leaf,
+         {_leaf("(CASE WHEN (" + _crc32("doc_id::VARCHAR") + ") % 7 = 0 THEN n_chars + 1 ELSE n_chars END)")} AS found
+  FROM documents),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, found) - 1 AS pos FROM rows),
+tree AS (
+  SELECT lang, 0 AS depth, pos, leaf AS hash, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+  UNION ALL
+  SELECT lang, depth + 1, pos // 2, sha256(string_agg(hash, '' ORDER BY pos)), (n + 1) // 2 FROM tree WHERE n > 1 GROUP BY lang, depth, pos // 2, n),
+subroots AS (SELECT lang, hash AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM tree WHERE n = 1),
+upper AS (
+  SELECT 0 AS depth, pos, subroot AS hash, n FROM subroots
+  UNION ALL
+  SELECT depth + 1, pos // 2, sha256(string_agg(hash, '' ORDER BY pos)), (n + 1) // 2 FROM upper WHERE n > 1 GROUP BY depth, pos // 2, n),
+steps AS (
+  SELECT l.row_id, t.depth, t.hash AS sibling, t.pos < xor(t.pos, 1::BIGINT) AS is_before
+  FROM leaves l JOIN tree t ON l.lang IS NOT DISTINCT FROM t.lang AND t.n > 1 AND t.pos = xor(l.pos >> t.depth, 1::BIGINT)
+  UNION ALL
+  SELECT l.row_id, 1000 + u.depth, u.hash, u.pos < xor(u.pos, 1::BIGINT)
+  FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang JOIN upper u ON u.n > 1 AND u.pos = xor(s.pos >> u.depth, 1::BIGINT)),
+proofs AS (SELECT row_id, string_agg(sibling, '' ORDER BY depth) AS siblings FROM steps GROUP BY row_id),
+depths AS (SELECT DISTINCT lang, depth FROM tree WHERE n > 1),
+ladder AS (
+  SELECT l.row_id, d.depth, d.depth AS rung FROM leaves l JOIN depths d ON l.lang IS NOT DISTINCT FROM d.lang
+  UNION ALL
+  SELECT l.row_id, 1000 + d.depth, NULL FROM leaves l, (SELECT DISTINCT depth FROM upper WHERE n > 1) d),
+rungs AS (
+  SELECT row_id, row_number() OVER (PARTITION BY row_id ORDER BY depth) AS step, sibling, is_before
+  FROM ladder LEFT JOIN steps USING (row_id, depth)),
+folded AS (
+  SELECT row_id, 0::BIGINT AS step, found AS hash FROM leaves
+  UNION ALL
+  SELECT f.row_id, r.step, sha256(CASE WHEN sibling IS NULL THEN hash WHEN is_before THEN sibling || hash ELSE hash || sibling END)
+  FROM folded f JOIN rungs r ON r.row_id = f.row_id AND r.step = f.step + 1)
+SELECT l.doc_id, l.leaf, s.subroot, top.hash AS root, sha256(coalesce(p.siblings, '')) AS proof_sha256,
+       arg_max(f.hash, f.step) AS folded_root, arg_max(f.hash, f.step) = top.hash AS verified
+FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang JOIN (SELECT hash FROM upper WHERE n = 1) top ON true
+     LEFT JOIN proofs p USING (row_id) JOIN folded f USING (row_id)
+GROUP BY l.row_id, l.doc_id, l.leaf, s.subroot, top.hash, p.siblings
+"""
+
+SQL: dict[str, str] = {"op1_mixing": OP1_SQL, "op4_url_filter": OP4_SQL, "op13_merkle": OP13_SQL}
