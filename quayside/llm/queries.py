@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import bit_sliced, embedding_dups, fingerprints, merkle, mixing, packing, secrets, surrogates, token_counts, toxicity, url_filter
+from quayside.llm import bit_sliced, embedding_dups, fingerprints, merkle, mixing, packing, repair, secrets, surrogates, token_counts, toxicity, url_filter
 from quayside.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,6 +108,39 @@ def op10_simhash_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("doc_id", "fingerprint", "component_id")
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with rows dropped, emptied, cut off, repeated or given another role, by the checksum of their place."""
+    place = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    chosen = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), (F.crc32(place) % 20).alias("damage")).where("damage <> 0")
+    text = F.when(F.col("damage") == 1, "").when(F.col("damage") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("damage") == 4, "user").otherwise(F.col("role"))
+    copies = F.array_repeat(F.lit(1), F.when(F.col("damage") == 3, 2).otherwise(1))
+    return chosen.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(copies).alias("copy")).drop("copy")
+
+
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations")
+    return repair_damaged(rows)
+
+
+def repair_damaged(rows: DataFrame) -> DataFrame:
+    """Every original conversation with its faults, edits and the digest of its repaired rows."""
+    mended = repair.repair_conversations(damaged(rows))
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    found = mended.summary.select("conv", *numbers, "audit")
+    hashed = repair.conversation_digests(mended.rows)
+    # Aggregates, and not joins: a null key is a key, and conversations that lost all rows stay.
+    nothing = rows.select(F.col("conv_id").alias("conv")).distinct()
+    both = found.unionByName(hashed, allowMissingColumns=True).unionByName(nothing, allowMissingColumns=True)
+    columns = [F.coalesce(F.max(n), F.lit(0)).cast("long").alias(n) for n in numbers]
+    return (
+        both.groupBy("conv")
+        .agg(*columns, F.coalesce(F.max("audit"), F.lit("")).alias("audit"), F.coalesce(F.max("digest"), F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+        .withColumnRenamed("conv", "conv_id")
+    )
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
@@ -135,6 +168,7 @@ QUERIES: dict[str, Query] = {
         op8_fingerprints,
         op9_surrogates,
         op10_simhash_dups,
+        op11_repair,
         op13_merkle,
         pipeline,
     )
@@ -305,4 +339,87 @@ FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang JOIN (SELECT
 GROUP BY l.row_id, l.doc_id, l.leaf, s.subroot, top.hash, p.siblings
 """
 
-SQL: dict[str, str] = {"op1_mixing": OP1_SQL, "op4_url_filter": OP4_SQL, "op13_merkle": OP13_SQL}
+
+
+def _moves() -> str:
+    """All ways from a state over one row, or to the end: edits, cost, state behind, lines put in front, role of the row (null: gone)."""
+    after = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+    roles = {"u": "user", "a": "assistant"}
+    out = []
+    for state in after:
+        here, edits, lines = state, "", []
+        for inserted in range(3):
+            for letter in "suaSUA?!x":
+                ways = [("D", 3, here, "gone")]
+                cut = 1 if letter in "SUA!" else 0
+                if letter != "x":
+                    fresh = "a" if here == 2 else "u"
+                    ways.append(("R", 2 + cut, after[here][fresh], roles[fresh]))
+                    if letter.lower() in after[here]:
+                        ways.append(("K", cut, after[here][letter.lower()], "own"))
+                out += [(state, letter, edits + e, 2 * inserted + cost, to, lines_of(lines), kind) for e, cost, to, kind in ways]
+            if here in (0, 3):
+                out.append((state, "end", edits, 2 * inserted, 0, lines_of(lines), "gone"))
+            fresh = "a" if here == 2 else "u"
+            edits, lines, here = edits + "I", [*lines, roles[fresh] + ":"], after[here][fresh]
+    return _values(out)
+
+
+def lines_of(lines: list[str]) -> str:
+    """Lines that each end with a line break, in SQL's text."""
+    return "".join(f"{line}|" for line in lines)
+
+
+#: From the end of each conversation: the least cost, and the ASCII-least edits with it, from each state on. ``|`` in the lines put in
+#: front stands for the line break.
+OP11_SQL = f"""
+WITH RECURSIVE marked AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS damage
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN damage = 4 THEN 'user' ELSE role END AS role,
+         CASE damage WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN damage = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM marked WHERE damage <> 0),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS pos,
+         count(*) OVER (PARTITION BY conv_id) AS n,
+         regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS ended
+  FROM damaged),
+faulty AS (
+  SELECT *, CASE WHEN ended = '' THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+                 WHEN right(ended, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) || left(role, 1) AS pair
+  FROM numbered),
+word AS (
+  SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 'x'
+                 WHEN left(role, 1) IN ('s', 'u', 'a') THEN CASE WHEN fault = 'truncated' THEN upper(left(role, 1)) ELSE left(role, 1) END
+                 WHEN fault = 'truncated' THEN '!' ELSE '?' END AS letter
+  FROM faulty),
+moves(state, letter, edits, cost, next, lines, kind) AS (VALUES {_moves()}),
+best AS (
+  SELECT * FROM (
+    SELECT c.conv_id, c.n + 1 AS pos, m.state, min(m.cost) AS cost, arg_min(m.edits, (m.cost, m.edits)) AS edits,
+           arg_min(replace(m.lines, '|', chr(10)), (m.cost, m.edits)) AS lines
+    FROM (SELECT DISTINCT conv_id, n FROM word) c, moves m WHERE m.letter = 'end' GROUP BY c.conv_id, c.n, m.state)
+  UNION ALL
+  SELECT b.conv_id, w.pos, m.state, min(m.cost + b.cost), arg_min(m.edits || b.edits, (m.cost + b.cost, m.edits || b.edits)),
+         arg_min(replace(m.lines, '|', chr(10)) || CASE m.kind WHEN 'gone' THEN '' WHEN 'own' THEN w.role || ':' || w.text || chr(10)
+                 ELSE m.kind || ':' || w.text || chr(10) END || b.lines, (m.cost + b.cost, m.edits || b.edits))
+  FROM best b JOIN word w ON w.conv_id IS NOT DISTINCT FROM b.conv_id AND w.pos = b.pos - 1 JOIN moves m ON m.letter = w.letter AND m.next = b.state
+  GROUP BY b.conv_id, w.pos, m.state),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id)
+SELECT o.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+       coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, coalesce(b.cost, 0)::BIGINT AS cost, coalesce(b.edits, '') AS audit,
+       sha256(CASE WHEN b.lines IS NULL OR b.lines = '' THEN '' ELSE left(b.lines, length(b.lines) - 1) END) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+     LEFT JOIN (SELECT * FROM best WHERE pos = 1 AND state = 0) b ON b.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+SQL: dict[str, str] = {"op11_repair": OP11_SQL, "op1_mixing": OP1_SQL, "op4_url_filter": OP4_SQL, "op13_merkle": OP13_SQL}
