@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import bit_sliced, embedding_dups, fingerprints, merkle, mixing, packing, repair, secrets, surrogates, token_counts, toxicity, url_filter
-from quayside.session import configure
+from quayside.llm import bit_sliced, embedding_dups, fingerprints, merkle, mixing, packing, repair, secrets, surrogates, token_counts, token_files, toxicity, url_filter
+from quayside.session import configure, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -141,6 +141,12 @@ def repair_damaged(rows: DataFrame) -> DataFrame:
     )
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = read(spark, sf_dir, "documents"), scratch_path(configure(spark), "token-ids")
+    token_files.write_token_files(docs, public_tokenizers.path(TOKENIZER), path)
+    return token_files.read_token_files(spark, path)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
@@ -169,6 +175,7 @@ QUERIES: dict[str, Query] = {
         op9_surrogates,
         op10_simhash_dups,
         op11_repair,
+        op12_token_files,
         op13_merkle,
         pipeline,
     )
