@@ -19,7 +19,7 @@ from __future__ import annotations
 import functools
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -139,7 +139,7 @@ def pack_blocks(ids: np.ndarray) -> Packed:
     return Packed(len(ids), starts.astype(np.uint64), minima, widths, np.bincount(rows, minlength=blocks).astype(np.uint8), body, places.astype(np.uint8), found)
 
 
-def segment(part: int, number: int, keys: pa.Array, lengths: list[int], ids: np.ndarray) -> bytes:
+def segment(part: int, number: int, keys: pa.Array, lengths: Sequence[int], ids: np.ndarray) -> bytes:
     """The bytes of one segment."""
     packed = pack_blocks(ids)
     sink = pa.BufferOutputStream()
@@ -186,25 +186,35 @@ def segments(content: memoryview) -> Iterator[Segment]:
 def _write_task(batches: Iterator[pa.RecordBatch], path: str, most: int) -> Iterator[pa.RecordBatch]:
     tool, part, number = encoder(path), TaskContext.get().partitionId(), 0
     end = np.array([END_ID], dtype="<u4").tobytes()
-    keys, parts, lengths, held = [], [], [], 0
+    #: Documents of the segment at hand: slices of key columns, counts of ids, ids.
+    keys: list[pa.Array] = []
+    lengths: list[np.ndarray] = []
+    parts: list[np.ndarray] = []
+    held = 0
 
-    def emit(kind: pa.DataType) -> pa.RecordBatch:
-        ids = np.frombuffer(b"".join(parts), dtype="<u4")
-        return pa.RecordBatch.from_arrays([pa.array([segment(part, number, pa.array(keys, kind), lengths, ids)], pa.binary())], names=["segment"])
+    def emit() -> pa.RecordBatch:
+        made = segment(part, number, pa.concat_arrays(keys), np.concatenate(lengths), np.concatenate(parts))
+        return pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], names=["segment"])
 
     for batch in batches:
-        kind = batch.schema.field(0).type
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            ids = tool.ids(text.as_py() or "") + end
-            if held and held + len(ids) // 4 > most:
-                yield emit(kind)
-                keys, parts, lengths, held, number = [], [], [], 0, number + 1
-            keys.append(key)
-            parts.append(ids)
-            lengths.append(len(ids) // 4)
-            held += lengths[-1]
+        row = 0
+        for ids, counts in tool.column_ids(batch.column(1), end):
+            ends, done, at = np.cumsum(counts), 0, 0
+            while done < len(counts):
+                fit = int(np.searchsorted(ends, at + most - held, side="right"))
+                if fit <= done and held:
+                    yield emit()
+                    keys, lengths, parts, held, number = [], [], [], 0, number + 1
+                    continue
+                fit = max(fit, done + 1)
+                keys.append(batch.column(0).slice(row + done, fit - done))
+                lengths.append(counts[done:fit])
+                parts.append(ids[at : ends[fit - 1]])
+                held += int(ends[fit - 1]) - at
+                done, at = fit, int(ends[fit - 1])
+            row += len(counts)
     if held:
-        yield emit(kind)
+        yield emit()
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, path: str, text: str = "text", key: str = "doc_id", segment_ids: int = SEGMENT_IDS) -> None:

@@ -1,14 +1,16 @@
 """Token files: exact round trips of blocks, segments and whole tables."""
 
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quayside.llm import token_files
+from quayside.llm import bpe, token_files
 from tests.llm.cases import awkward, documents, empty, prose
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -45,8 +47,6 @@ def test_outliers_do_not_widen_a_block():
 
 
 def test_segments_find_their_borders():
-    import pyarrow as pa
-
     parts = [(["a", None], [3, 200]), (["é"], [1]), (["c", "d", "c"], [128, 1, 1])]
     ids = [np.arange(sum(n), dtype=np.uint32) * 77 for _, n in parts]
     content = b"".join(token_files.segment(4, i, pa.array(k, pa.string()), n, x) + b"\n" for i, ((k, n), x) in enumerate(zip(parts, ids, strict=True)))
@@ -66,6 +66,19 @@ def expected(rows):
     return out
 
 
+@pytest.mark.parametrize("size", [40, 1 << 20])
+def test_columns_of_texts(monkeypatch, size):
+    monkeypatch.setattr(bpe, "COLUMN_BYTES", size)
+    library, tool, draw = Tokenizer.from_file(PATH), bpe.PieceEncoder(PATH, limit=300), random.Random(8)
+    parts = [" ", "  ", "\n", "\t", "a", "word", "'s", "<|endoftext|>", ".", "1", "é", "\x1c", "\x85", "\xa0", "\u2003", "\r\n", "😀", "_", " b c", " word,"]
+    texts = ["", *["".join(draw.choices(parts, k=draw.randint(0, 14))) for _ in range(1500)], prose(1, 300)]
+    found = []
+    for ids, counts in tool.column_ids(pa.array(texts), b"\x07\0\0\0"):
+        found += [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+    assert found == [[*library.encode(t, add_special_tokens=False).ids, 7] for t in texts]
+    assert list(tool.column_ids(pa.array([], pa.string()))) == []
+
+
 @pytest.mark.parametrize("most", [300, token_files.SEGMENT_IDS])
 def test_files_come_back(spark, tmp_path, most):
     docs = documents(spark, [prose(i, i % 40) for i in range(200)], keys=[(i * 7919) % 1009 for i in range(200)])
