@@ -26,7 +26,7 @@ _CUT = re.compile(r" (?=\S)")
 #: The same for whole columns, with all that Python calls white space: a space before white space.
 _RUN_IN_COLUMN = r" [\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 #: Bytes of texts that a column is taken apart in at once.
-COLUMN_BYTES = 16 << 20
+COLUMN_BYTES = 6 << 20
 #: Marks that may follow a word in a piece, as one pre-token; none of them begins a special token or a contraction.
 _MARKS = ".,;:!?\"#$%&()*+-/=>@[\\]^_`{|}~"
 #: Letters below it are letters in every version of Unicode.
@@ -94,15 +94,43 @@ class PieceEncoder:
             new = list(pieces)
         other = []
         for piece in new:
-            if "\n" in piece and self._learn_lines(piece):
-                continue
-            ids = self._marked(piece, True)
+            ids = self._parted(piece)
             if ids is None:
                 other.append(piece)
             else:
                 known[piece] = ids
         known.update(zip(other, self.encode([" " + x for x in other]), strict=True))
 
+    def look_up(self, pieces: list[str]) -> list[bytes]:
+        """Ids of different pieces; only words and what cannot be parted are remembered, so that the cache holds more of them."""
+        found = list(map(self.known.get, pieces))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if len(self.known) + len(missing) > self.limit:
+            self.known.clear()
+        other = []
+        for i in missing:
+            ids = self._parted(pieces[i])
+            if ids is None:
+                other.append(i)
+            else:
+                found[i] = ids
+        for i, ids in zip(other, self.encode([" " + pieces[i] for i in other]), strict=True):
+            found[i] = self.known[pieces[i]] = ids
+        return found
+
+    def _parted(self, piece: str) -> bytes | None:
+        """Ids of a word with marks, or of two such with a line break between, which is a pre-token of its own; None for all else."""
+        if "\n" not in piece:
+            return self._marked(piece, True)
+        above, _, below = piece.partition("\n")
+        ids = self._marked(above, True)
+        rest = None if ids is None else self._marked(below, False)
+        if rest is None:
+            return None
+        if "\n" not in self.marks:
+            self.marks["\n"] = self.encode(["\n"])[0]
+        return ids + self.marks["\n"] + rest
+
     def _marked(self, piece: str, space: bool) -> bytes | None:
         """Ids of letters with marks behind them, after a space or not; None for all else."""
         word = piece.rstrip(_MARKS)
@@ -121,18 +149,6 @@ class PieceEncoder:
             self.marks[marks] = self.encode([marks])[0]
         return ids + self.marks[marks]
 
-    def _learn_lines(self, piece: str) -> bool:
-        """A piece of two lines, both letters with marks: the single break between them is a pre-token of its own."""
-        above, _, below = piece.partition("\n")
-        ids = self._marked(above, True)
-        rest = None if ids is None else self._marked(below, False)
-        if rest is None:
-            return False
-        if "\n" not in self.marks:
-            self.marks["\n"] = self.encode(["\n"])[0]
-        self.known[piece] = ids + self.marks["\n"] + rest
-        return True
-
     def ids(self, text: str) -> bytes:
         first, rest = self.pieces(text)
         try:
@@ -173,11 +189,7 @@ class PieceEncoder:
         used = np.zeros(len(coded.dictionary), dtype=bool)
         used[codes[codes >= 0]] = True
         pieces = pc.filter(coded.dictionary, pa.array(used)).to_pylist()
-        try:
-            known = list(map(self.known.__getitem__, pieces))
-        except KeyError:
-            self.learn(set(pieces))
-            known = list(map(self.known.__getitem__, pieces))
+        known = self.look_up(pieces)
         rows = np.cumsum(used) - 1
         codes[codes >= 0] = rows[codes[codes >= 0]]
         codes[heads] = len(known) + numbers
