@@ -1,8 +1,10 @@
-"""Places of pattern matches in a text, with built-in functions only."""
+"""Places of pattern matches in a text, with built-in functions only, and names that meet no other."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Stands around matches; where a text has it, its stand-in is searched instead. Patterns must match neither.
@@ -42,3 +44,22 @@ def matches(text: Column, pattern: str, hint: str | None = None) -> Column:
     if hint is not None:
         found = F.rlike(text, F.lit(hint)) & found
     return F.when(found, spans(pieces(text, pattern))).otherwise(F.array().cast(SPANS))
+
+
+class Shield:
+    """A table whose columns have numbered names while an operator adds its own, so that none can meet another."""
+
+    def __init__(self, docs: DataFrame, **more: Column):
+        """``more`` are columns worked out from ``docs`` under its own names."""
+        self.names = docs.columns
+        self.inner = docs.select(*[F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(self.names)], *[v.alias(n) for n, v in more.items()])
+
+    def inner_name(self, column: str | None) -> str | None:
+        """The number of a column; None if there is no such column."""
+        return f"in_{self.names.index(column)}" if column in self.names else None
+
+    def restored(self, rows: DataFrame, changes: Mapping[str, Column], added: Mapping[str, Column] | None = None) -> DataFrame:
+        """The columns under their names and in their order, with ``changes``; ``added`` ones follow, in place of any of the same name."""
+        added = added or {}
+        kept = [(changes[c] if c in changes else F.col(f"in_{i}")).alias(c) for i, c in enumerate(self.names) if c not in added]
+        return rows.select(*kept, *[value.alias(name) for name, value in added.items()])

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quayside.llm.marks import Shield
 from quayside.session import settle
 
 #: Weights are whole numbers; budgets and products of them are exact decimals.
@@ -184,8 +185,11 @@ def mix(
     seed: int = 7,
     text: str = "text",
     key: str = "doc_id",
+    told: bool = True,
 ) -> DataFrame:
-    """``docs`` as often as the mixture takes them, with ``mix_epoch`` and ``mix_key`` and the names of the levels.
+    """``docs`` as often as the mixture takes them, with ``mix_epoch`` and ``mix_key`` and, as ``mix_`` and its name, each level.
+
+    These replace columns already called so; without ``told`` none is added, and all columns keep their values.
 
     Each leaf takes whole epochs of its documents and then, from one more epoch in seeded order, documents until its quota of
     tokens is reached; the document that reaches it is taken whole. Documents without tokens go with every epoch, and into a
@@ -195,11 +199,14 @@ def mix(
     """
     names = [level.name for level in levels]
     plan = mix_plan(docs, levels, budget_share, epochs, seed, text, key)
-    named = docs.withColumns({f"mix_{level.name}": F.expr(level.node) for level in levels})
+    held = Shield(docs, **{f"mix_{level.name}": F.expr(level.node) for level in levels})
+    key_ = F.col(held.inner_name(key))
     same = [F.col(f"d.mix_{n}").eqNullSafe(F.col(f"p.{n}")) for n in names]
-    found = named.alias("d").join(plan.alias("p"), same).select("d.*", F.col("p.whole").alias("mix_whole"), F.col("p.cut").alias("mix_cut"))
-    place = epoch_key(seed, F.col("mix_whole") + 1, F.col(key))
-    last = F.coalesce(place <= F.col("mix_cut"), F.lit(False))
-    taken = found.withColumn("mix_last", F.col("mix_whole") + last.cast("long")).where("mix_last > 0")
-    taken = taken.withColumn("mix_epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_last"))))
-    return taken.withColumn("mix_key", epoch_key(seed, F.col("mix_epoch"), F.col(key))).drop("mix_whole", "mix_cut", "mix_last")
+    found = held.inner.alias("d").join(plan.alias("p"), same).select("d.*", F.col("p.whole").alias("taken_whole"), F.col("p.cut").alias("taken_cut"))
+    last = F.coalesce(epoch_key(seed, F.col("taken_whole") + 1, key_) <= F.col("taken_cut"), F.lit(False))
+    taken = found.withColumn("taken_last", F.col("taken_whole") + last.cast("long")).where("taken_last > 0")
+    taken = taken.withColumn("taken_epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("taken_last"))))
+    if not told:
+        return held.restored(taken, {})
+    shown = {f"mix_{n}": F.col(f"mix_{n}") for n in names}
+    return held.restored(taken, {}, {**shown, "mix_epoch": F.col("taken_epoch"), "mix_key": epoch_key(seed, F.col("taken_epoch"), key_)})

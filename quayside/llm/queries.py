@@ -211,7 +211,7 @@ hits AS (
   SELECT row_id, count(*) FILTER (strict) AS strict_hits, count(*) FILTER (NOT strict) AS soft_hits, CAST(sum(weight) AS BIGINT) AS soft_weight
   FROM p JOIN terms ON regexp_matches(lowered, '(^|[^a-z0-9])' || term || '($|[^a-z0-9])') GROUP BY row_id)
 SELECT page_id, p.host, p.path, fit.rule,
-       coalesce(fit.verdict, CASE WHEN strict_hits > 0 OR soft_weight >= {_WORDS.limit} THEN 'block' ELSE 'allow' END) AS verdict,
+       coalesce(fit.verdict, CASE WHEN strict_hits > 0 OR (soft_hits >= {url_filter.SOFT_TERMS_LEAST} AND soft_weight >= {_WORDS.limit}) THEN 'block' ELSE 'allow' END) AS verdict,
        coalesce(strict_hits, 0) AS strict_hits, coalesce(soft_hits, 0) AS soft_hits, coalesce(soft_weight, 0) AS soft_weight
 FROM p LEFT JOIN fit USING (row_id) LEFT JOIN hits USING (row_id)
 """

@@ -9,7 +9,7 @@ import operator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.marks import SPANS, matches, searchable
+from quayside.llm.marks import SPANS, Shield, matches, searchable
 
 #: The base patterns. Each is greedy, so a least length in it changes no match that is long enough.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -28,11 +28,12 @@ CLASSES = (
     ("one case", r"^(?:[0-9a-z]+|[0-9A-Z]+)$", 3.45),
     ("mixed", r"^[A-Za-z0-9+/_-]+$", 3.75),
 )
-#: Candidates that look random or long for a known reason: identifiers, dates, paths and slugs of words, filler.
+#: Candidates that look random or long for a known reason: identifiers, dates, paths and slugs of words, filler. A group that
+#: repeats is possessive: Java matches it in a loop then, and else by a call for each round, which ends the JVM on a long text.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",
     r"^\d{4}[-/_]\d{2}[-/_]\d{2}",
-    r"^(?:[A-Za-z]*\d{0,4}[-_/+])+[A-Za-z]*\d{0,4}$",
+    r"^(?:[A-Za-z]*+\d{0,4}+[-_/+])++[A-Za-z]*+\d{0,4}+$",
     r"(?i)example|sample|dummy|placeholder|xxxx|0123456789|abcdefgh",
     r"(.)\1{5,}",
 )
@@ -101,8 +102,8 @@ def entropy_span(value: Column, least: Column) -> Column:
             state["last"].alias("last"),
         )
 
-    def judge(state: Column) -> Column:
-        hot = (state["n"] >= WINDOW) & (F.lit(math.log2(WINDOW)) - state["sum"] / WINDOW >= least)
+    def judge(state: Column, bound: Column) -> Column:
+        hot = (state["n"] >= WINDOW) & (F.lit(math.log2(WINDOW)) - state["sum"] / WINDOW >= bound)
         return F.struct(
             state["n"].alias("n"),
             state["counts"].alias("counts"),
@@ -116,10 +117,15 @@ def entropy_span(value: Column, least: Column) -> Column:
         """Name a value, so that it is worked out once."""
         return F.element_at(F.transform(F.array(value), use), 1)
 
-    def slide(state: Column, code: Column) -> Column:
-        return once(once(leave(state), lambda s: enter(s, code)), judge)
+    def slide(state: Column, code: Column, bound: Column) -> Column:
+        return once(once(leave(state), lambda s: enter(s, code)), lambda s: judge(s, bound))
 
-    return F.aggregate(codes, start, slide, lambda s: F.when(s["first"].isNotNull(), F.struct(s["first"], s["last"])))
+    def slid(bound: Column) -> Column:
+        done = lambda s: F.when(s["first"].isNotNull(), F.struct(s["first"], s["last"]))
+        return F.aggregate(codes, start, lambda state, code: slide(state, code, bound), done)
+
+    # The bound is named too, or the patterns of the classes would run over the whole value for each of its characters.
+    return once(least, slid)
 
 
 def _least(value: Column) -> Column:
@@ -227,23 +233,25 @@ def scan_secrets(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
 def redact_secrets(docs: DataFrame, text: str = "text", length: str | None = "n_chars", word: str = "[secret]") -> DataFrame:
     """``docs`` with every span replaced by ``word``; overlapping spans count as one. ``length`` is set anew where it changed.
 
-    Texts without a secret, and null texts, stay as they are; columns keep their names and order.
+    Texts without a secret, and null texts, stay as they are; columns keep their names, order and values, whatever they are called.
     """
-    found = with_secret_spans(docs, text)
+    held = Shield(docs)
+    text_, length_ = held.inner_name(text), held.inner_name(length)
+    found = with_secret_spans(held.inner, text_)
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def replace(state: Column, span: Column) -> Column:
-        between = F.substring(F.col(text), state["at"] + 1, span["start"] - state["at"])
+        between = F.substring(F.col(text_), state["at"] + 1, span["start"] - state["at"])
         fresh = F.struct(span["end"].alias("at"), F.concat(state["out"], F.array(between, F.lit(word))).alias("out"))
         longer = F.struct(F.greatest(state["at"], span["end"]).alias("at"), state["out"].alias("out"))
         return F.when((span["start"] >= state["at"]) | (F.size(state["out"]) == 0), fresh).otherwise(longer)
 
     def ended(state: Column) -> Column:
-        return F.concat(F.array_join(state["out"], ""), F.substring(F.col(text), state["at"] + 1, F.length(text)))
+        return F.concat(F.array_join(state["out"], ""), F.substring(F.col(text_), state["at"] + 1, F.length(text_)))
 
-    clean = F.when(F.size("secret_all") > 0, F.aggregate("secret_all", start, replace, ended)).otherwise(F.col(text))
+    clean = F.when(F.size("secret_all") > 0, F.aggregate("secret_all", start, replace, ended)).otherwise(F.col(text_))
     out = found.withColumn("secret_clean", clean)
     changes = {text: F.col("secret_clean")}
-    if length in docs.columns:
-        changes[length] = F.when(F.size("secret_all") > 0, F.length("secret_clean").cast("long")).otherwise(F.col(length))
-    return out.select(*[changes[c].alias(c) if c in changes else F.col(f"`{c}`") for c in docs.columns])
+    if length_ is not None:
+        changes[length] = F.when(F.size("secret_all") > 0, F.length("secret_clean").cast("long")).otherwise(F.col(length_))
+    return held.restored(out, changes)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.marks import matches, searchable
+from quayside.functions.timepat import bind
+from quayside.llm.marks import Shield, matches, searchable
 from quayside.session import local_table, settle
 
 #: What is looked for, in this order of preference where two would start at one place.
@@ -16,7 +17,7 @@ _HONORIFICS = {
 }
 _TITLE = "|".join(sorted((t for titles in _HONORIFICS.values() for t in titles), key=len, reverse=True))
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)",
     "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?!\w)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
@@ -94,15 +95,16 @@ def _reshaped(value: Column, digest: Column) -> Column:
     """Every letter and digit replaced by another of its kind; all else stays."""
     chars = F.split(value, "")
 
-    def fresh(char: Column, i: Column) -> Column:
+    def fresh(char: Column, i: Column, drawn: Column) -> Column:
         return (
-            F.when(F.rlike(char, F.lit("^[0-9]$")), _draw(digest, i, 10).cast("string"))
-            .when(F.rlike(char, F.lit("^[a-z]$")), _letter(_LETTERS, _draw(digest, i, 26)))
-            .when(F.rlike(char, F.lit("^[A-Z]$")), _letter(_LETTERS.upper(), _draw(digest, i, 26)))
+            F.when(F.rlike(char, F.lit("^[0-9]$")), _draw(drawn, i, 10).cast("string"))
+            .when(F.rlike(char, F.lit("^[a-z]$")), _letter(_LETTERS, _draw(drawn, i, 26)))
+            .when(F.rlike(char, F.lit("^[A-Z]$")), _letter(_LETTERS.upper(), _draw(drawn, i, 26)))
             .otherwise(char)
         )
 
-    return F.array_join(F.transform(chars, fresh), "")
+    # Bound, so that the whole value is hashed once and not for each of its characters.
+    return bind(digest, lambda drawn: F.array_join(F.transform(chars, lambda char, i: fresh(char, i, drawn)), ""))
 
 
 def _odd_sum(digits: Column) -> Column:
@@ -229,14 +231,14 @@ def replace_personal_data(docs: DataFrame, secret_key: str, text: str = "text",
     An entity has one surrogate in the whole corpus, and two entities never share one. The surrogate follows from the secret,
     which stands in no plan. Texts without personal data, and null texts, stay as they are. Rows with null or repeated keys are
     treated each; an empty table stays empty; ``length`` is set anew where the text changed. Only entities and the few that
-    draw again are shuffled; texts are joined with those by key.
+    draw again are shuffled; texts are joined with those by key. Other columns keep their names and values whatever they are called;
+    only columns already called ``pii_count`` and ``pii_spans`` are replaced, and no column ever holds the key.
     """
-    found = with_entities(_with_secret(docs, secret_key), text)
+    held = Shield(docs)
+    text_, key_, length_ = held.inner_name(text), held.inner_name(key), held.inner_name(length)
+    found = with_entities(_with_secret(held.inner, secret_key), text_)
     mentions = settle(
-        with_entities(docs.select(F.col(key).alias("k"), F.col(text).alias("text")), "text")
-        .where(F.size("pii_found") > 0)
-        .select("k", F.explode("pii_found").alias("e"))
-        .select("k", "e.kind", "e.ident"),
+        found.where(F.size("pii_found") > 0).select(F.col(key_).alias("k"), F.explode("pii_found").alias("e")).select("k", "e.kind", "e.ident"),
         "mentions",
     )
     moved = settle(retries(settle(mentions.select("kind", "ident").distinct(), "entities"), secret_key), "retries")
@@ -247,25 +249,21 @@ def replace_personal_data(docs: DataFrame, secret_key: str, text: str = "text",
         .agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("|", "kind", "ident"), "attempt"))).alias("pii_turns"))
     )
     turns = settle(turns, "turns")
-    joined = found.join(turns, found[key].eqNullSafe(turns["k"]), "left").drop("k")
+    joined = found.join(turns, found[key_].eqNullSafe(turns["k"]), "left").drop("k")
 
     def put(state: Column, e: Column) -> Column:
         turn = F.coalesce(F.element_at("pii_turns", F.concat_ws("|", e["kind"], e["ident"])), F.lit(0))
         fresh = _formatted(e["kind"], e["value"], surrogate(e["kind"], e["ident"], turn, F.col("pii_secret")))
-        between = F.substring(F.col(text), state["at"] + 1, e["start"] - state["at"])
+        between = F.substring(F.col(text_), state["at"] + 1, e["start"] - state["at"])
         return F.struct(e["end"].alias("at"), F.concat(state["out"], F.array(between, fresh)).alias("out"))
 
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
     changed = F.aggregate(
-        "pii_found", start, put, lambda s: F.concat(F.array_join(s["out"], ""), F.substring(F.col(text), s["at"] + 1, F.length(text)))
+        "pii_found", start, put, lambda s: F.concat(F.array_join(s["out"], ""), F.substring(F.col(text_), s["at"] + 1, F.length(text_)))
     )
     named = F.transform("pii_found", lambda e: F.concat_ws(":", e["kind"], e["start"], e["end"]))
-    out = joined.withColumn("pii_text", F.when(F.size("pii_found") > 0, changed).otherwise(F.col(text)))
+    out = joined.withColumn("pii_text", F.when(F.size("pii_found") > 0, changed).otherwise(F.col(text_)))
     changes = {text: F.col("pii_text")}
-    if length in docs.columns:
-        changes[length] = F.when(F.size("pii_found") > 0, F.length("pii_text").cast("long")).otherwise(F.col(length))
-    return out.select(
-        *[changes[c].alias(c) if c in changes else F.col(f"`{c}`") for c in docs.columns],
-        F.size("pii_found").cast("long").alias("pii_count"),
-        F.array_join(named, ",").alias("pii_spans"),
-    )
+    if length_ is not None:
+        changes[length] = F.when(F.size("pii_found") > 0, F.length("pii_text").cast("long")).otherwise(F.col(length_))
+    return held.restored(out, changes, {"pii_count": F.size("pii_found").cast("long"), "pii_spans": F.array_join(named, ",")})

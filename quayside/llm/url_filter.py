@@ -26,6 +26,8 @@ SOFT_TERMS = {
     "loan": 1, "lottery": 1, "pills": 1, "poker": 1, "prize": 1, "sex": 1, "track": 1, "tracker": 1, "win": 1,
 }
 SOFT_LIMIT = 2
+#: However much it weighs, one soft term alone never blocks.
+SOFT_TERMS_LEAST = 2
 
 
 @dataclass(frozen=True)
@@ -102,7 +104,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], words: Vocabulary | None
     """``key, host, path, rule, verdict, strict_hits, soft_hits, soft_weight``, one row per input row.
 
     A rule decides where one fits. Else the vocabulary does, over the whole url with A-Z lower-cased: block on one strict
-    term, or on distinct soft terms whose weights reach the limit. A null or empty url has no hits and is allowed; repeated
+    term, or on at least two distinct soft terms whose weights reach the limit. A null or empty url has no hits and is allowed; repeated
     rows are judged each, null keys stay, an empty table gives none, and other columns are ignored. Nothing is shuffled.
     """
     words = words or Vocabulary()
@@ -125,7 +127,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], words: Vocabulary | None
     judged = known.select(
         key, "host", "path", longest_rule(rules, F.col("host"), F.col("path")).alias("fit"), hits(ascii_lower(F.coalesce("url", F.lit("")))).alias("hits")
     )
-    bad = (F.col("hits.strict_hits") > 0) | (F.col("hits.soft_weight") >= words.limit)
+    several = (F.col("hits.soft_hits") >= SOFT_TERMS_LEAST) & (F.col("hits.soft_weight") >= words.limit)
+    bad = (F.col("hits.strict_hits") > 0) | several
     return judged.select(
         key,
         "host",
