@@ -33,8 +33,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture takes them."""
     configure(spark)
-    taken = mixing.mix(docs, queries.MIX_LEVELS, queries.MIX_SHARE, queries.MIX_EPOCHS, queries.MIX_SEED)
-    return taken.select(*docs.columns)
+    return mixing.mix(docs, queries.MIX_LEVELS, queries.MIX_SHARE, queries.MIX_EPOCHS, queries.MIX_SEED, told=False)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
