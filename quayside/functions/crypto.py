@@ -140,10 +140,11 @@ def apply_rules_to_lines(
     mode: str,
     home_prefix: str = "",
     column: str = "value",
+    drop_bare: bool = True,
 ) -> DataFrame:
     """The same over raw text lines: fields by position, trailing blanks of a target field cut.
 
-    Lines without the separator are dropped. An empty field is encrypted like any
+    Lines without the separator are dropped, or with ``drop_bare=False`` stay as they are. An empty field is encrypted like any
     other, and an empty cipher text opens to an empty string. A line too short for a
     position keeps its fields.
     """
@@ -162,8 +163,10 @@ def apply_rules_to_lines(
         pieces.append(F.when(F.size(fields) >= pos, turned).otherwise(F.array().cast("array<string>")))
         after = pos + 1
     pieces.append(F.slice(fields, after, 2**31 - 1))
-    kept = lines.where(F.col(column).contains(sep))
-    return kept.withColumn(column, F.array_join(F.concat(*pieces), sep))
+    turned_line = F.array_join(F.concat(*pieces), sep)
+    if not drop_bare:
+        return lines.withColumn(column, F.when(F.col(column).contains(sep), turned_line).otherwise(F.col(column)))
+    return lines.where(F.col(column).contains(sep)).withColumn(column, turned_line)
 
 
 def sep_regex(sep: str) -> str:

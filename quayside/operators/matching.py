@@ -133,18 +133,36 @@ def missing_partitions(source: DataFrame, target: DataFrame, day: str = "dt") ->
     return wanted.join(target.select(*wanted.columns).distinct(), wanted.columns, "left_anti")
 
 
+GRAM = 4
+
+
 def archives_holding(members: DataFrame, wanted: DataFrame, archive: str, member: str, name: str) -> DataFrame:
     """Archives with a member whose path contains a wanted name.
 
-    Names are matched as substrings: each member gives its substrings of the lengths
-    that occur among the wanted names, and these are joined by equality. With few wanted
-    names the substrings are tested as they arise and never moved.
+    A path gives its substrings of ``GRAM`` characters, as many as it is long, and each wanted name waits at the one of its own
+    that the fewest paths hold; where they meet, the name is looked for in the path. Names shorter than that wait at
+    the path's substrings of their own length, at most ``GRAM - 1`` lengths. An empty name is in every path.
     """
-    names = wanted.select(name).distinct()
-    text, lengths = F.col(member), _occurring(names, F.length(name))
-    keys = F.array_distinct(F.flatten(F.transform(lengths, lambda length: _substrings(text, length))))
-    pieces = members.select(archive, F.explode(keys).alias(name))
-    return pieces.join(small_side(names), name, "left_semi").select(archive).distinct()
+    names = wanted.select(F.col(name).alias("_name")).where("_name IS NOT NULL").distinct()
+    held = members.select(F.col(archive).alias(archive), F.col(member).alias("_path")).where("_path IS NOT NULL").distinct()
+    few = is_small(names)
+    grams = lambda text: F.array_distinct(_substrings(F.col(text), F.lit(GRAM)))
+    long_names = names.where(F.length("_name") >= GRAM).select("_name", F.explode(grams("_name")).alias("_gram"))
+    asked = long_names.select("_gram").distinct()
+    spread = held.select(archive, "_path", F.explode(grams("_path")).alias("_gram"))
+    if few:  # grams that no name has are dropped as they arise
+        spread = spread.join(F.broadcast(asked), "_gram", "left_semi")
+    counted = spread.groupBy("_gram").agg(F.count(F.lit(1)).alias("_paths"))
+    # A gram that no path holds is the rarest: such a name is nowhere.
+    rated = long_names.join(counted, "_gram", "left").withColumn("_paths", F.coalesce("_paths", F.lit(0)))
+    rarest = rated.groupBy("_name").agg(F.min_by("_gram", F.struct("_paths", "_gram")).alias("_gram"))
+    met = spread.join(small_side(rarest) if few else rarest, "_gram").where(F.contains("_path", "_name")).select(archive)
+    short = names.where(F.length("_name") < GRAM)
+    lengths = _occurring(short.where("length(_name) > 0"), F.length("_name"))
+    keys = F.array_distinct(F.flatten(F.transform(lengths, lambda length: _substrings(F.col("_path"), length))))
+    by_short = held.select(archive, F.explode(keys).alias("_name")).join(small_side(short), "_name", "left_semi").select(archive)
+    everywhere = held.select(archive).join(names.where("_name = ''").limit(1).select(F.lit(1).alias("_one")), F.lit(True), "left_semi")
+    return met.unionByName(by_short).unionByName(everywhere).distinct()
 
 
 def _substrings(text: Column, length: Column) -> Column:

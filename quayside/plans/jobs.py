@@ -184,21 +184,43 @@ def land_text_files(
         lines = archives.read_archive_lines(spark, source, encoding).select(F.col("line").alias("value"))
     else:
         lines = files.read_lines(spark, source, encoding, header)
-    incoming = files.spread(lines).where(F.col("value").contains(sep))
+    incoming = files.spread(lines)
+    if raw_path is None:
+        incoming = incoming.where(F.col("value").contains(sep))
+    else:  # bare lines stay in the readable copy
+        incoming = incoming.withColumn("_line", F.col("value")).withColumn("_bare", ~F.col("value").contains(sep))
     turned = incoming
     for mode, wanted in (("encryption", rules.encryption), ("decryption", rules.decryption)):
         if wanted:
-            turned = apply_rules_to_lines(turned, sep, wanted, keys, mode, home_prefix)
+            turned = apply_rules_to_lines(turned, sep, wanted, keys, mode, home_prefix, drop_bare=raw_path is None)
     processed = turned
     if raw_path is not None:
-        readable, processed = (turned, incoming) if rules.already_encrypted else (lines, turned)
-        readable.write.mode("overwrite").text(raw_path)
+        processed = _kept_apart(spark, incoming, turned, raw_path, rules.already_encrypted)
     names = [name for name, _ in files.fields_of(schema)]
     text = frames.drop_columns(files.split_lines(processed, sep, names), delete_columns)
     kept = {"fields": [f for i, f in enumerate(schema["fields"], start=1) if i not in set(delete_columns)]}
     return _write_typed(text, path, kept, WriteSpec())
 
 
+def _kept_apart(spark: SparkSession, incoming: DataFrame, turned: DataFrame, raw_path: str, already_encrypted: bool) -> DataFrame:
+    """Write the readable lines to ``raw_path`` and give back the others, out of one pass over the source and the cipher.
+
+    Each line is written once for either side into one partitioned table; the readable side's folder then becomes ``raw_path`` by a
+    rename, and the other side is read on from where it was stored.
+    """
+    readable, sealed = ("value", "_line") if already_encrypted else ("_line", "value")
+    sides = F.array(
+        F.when(~F.col("_bare") | F.lit(not already_encrypted), F.struct(F.lit("readable").alias("side"), F.col(readable).alias("value"))),
+        F.when(~F.col("_bare"), F.struct(F.lit("landed").alias("side"), F.col(sealed).alias("value"))),
+    )
+    place = scratch_path(spark, "sides")
+    both = turned.select(F.explode(F.array_compact(sides)).alias("s")).select("s.side", "s.value")
+    both.write.partitionBy("side").option("lineSep", "\n").text(place)
+    writers.replace_folder(spark, f"{place}/side=readable", raw_path)
+    landed = f"{place}/side=landed"
+    return spark.read.option("lineSep", "\n").text(landed) if writers.exists(spark, landed) else incoming.select("value").limit(0)
+
+
 def redelimit(
     spark: SparkSession, source: str, path: str, old: str, new: str, encoding: str = "UTF-8", target_encoding: str = "UTF-8"
 ) -> str:

@@ -210,7 +210,21 @@ def write_report(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_raw_and_processed(raw: DataFrame, processed: DataFrame, raw_path: str, path: str, spec: WriteSpec) -> None:
-    """Raw copy to the staging path, processed rows to the main path."""
-    write_files(raw, raw_path, spec)
-    write_files(processed, path, spec)
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target, _ = _hadoop(spark, path)
+    return fs.exists(target)
+
+
+def replace_folder(spark: SparkSession, source: str, path: str) -> None:
+    """Make ``source`` the folder ``path`` by a rename; what was there goes aside first and is deleted last. No source gives an empty folder."""
+    fs, target, make_path = _hadoop(spark, path)
+    aside = make_path(f"{path.rstrip('/')}-{uuid.uuid4().hex}")
+    if target.getParent() is not None:
+        fs.mkdirs(target.getParent())
+    old = fs.exists(target) and fs.rename(target, aside)
+    if not exists(spark, source):
+        fs.mkdirs(target)
+    elif not fs.rename(make_path(source), target):
+        raise RuntimeError(f"could not put {source} in place of {path}")
+    if old:
+        fs.delete(aside, True)
