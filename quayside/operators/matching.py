@@ -201,3 +201,40 @@ def match_files(
         holds = F.lower(F.col(name)).contains(F.lower(F.col(file_pattern)))
         chosen = holds | F.regexp_like(F.col(name), glob_regex(F.col(file_pattern)))
     return join_same(staged, counts, group).where(literal | chosen).drop("_hits")
+
+
+#: Lengths at which the fixed beginnings of patterns are compared; a longer beginning is cut to one of them.
+PREFIX_LENGTHS = (0, 1, 2, 4, 8, 16, 32)
+
+
+def fixed_prefix(pattern: Column) -> Column:
+    """What every name that matches a regular expression from its start begins with; empty where that is not plain to see.
+
+    Letters, digits, ``_``, ``-``, space and escaped marks count up to the first other character; one that a quantifier follows is
+    left out, and alternatives outside a class have no common beginning.
+    """
+    plain = F.regexp_extract(pattern, r"^\^?((?:[A-Za-z0-9_ -]|\\[^A-Za-z0-9])*+)", 1)
+    rest = F.substr(F.regexp_replace(pattern, r"^\^", ""), F.length(plain) + 1, F.lit(1))
+    kept = F.when(rest.isin("?", "*", "+", "{"), F.regexp_replace(plain, r"(?:\\.|[^\\])$", "")).otherwise(plain)
+    return F.when(F.contains(pattern, F.lit("|")) | F.contains(pattern, F.lit("(?")), "").otherwise(F.regexp_replace(kept, r"\\(.)", "$1"))
+
+
+def match_patterns(files: DataFrame, name: str, patterns: DataFrame, pattern: str) -> DataFrame:
+    """Each file with each pattern that its name matches from the start; both sides may be long, and are not joined beforehand.
+
+    A pattern waits at its fixed beginning, cut to one of ``PREFIX_LENGTHS``; a name comes there with its own beginnings of the
+    lengths that occur, by equality, and only then is matched. Patterns without a fixed beginning all wait at the empty one, where
+    they meet every name; that side is broadcast if it is small. Null names and patterns match nothing.
+    """
+    fixed = patterns.where(F.col(pattern).isNotNull()).withColumn("_fixed", fixed_prefix(F.col(pattern)))
+    length = F.lit(0)
+    for size in PREFIX_LENGTHS:
+        length = F.when(F.length("_fixed") >= size, size).otherwise(length)
+    keyed = fixed.withColumn("_length", length.cast("int")).withColumn("_key", F.substr("_fixed", F.lit(1), F.col("_length"))).drop("_fixed")
+    used = _occurring(keyed, F.col("_length"))
+    ways = F.filter(used, lambda n: F.length(F.col(name)) >= n)
+    beginnings = F.transform(ways, lambda n: F.struct(n.alias("_length"), F.substr(F.col(name), F.lit(1), n).alias("_key")))
+    spread = files.where(F.col(name).isNotNull()).withColumn("_at", F.explode(beginnings))
+    spread = spread.select(*files.columns, "_at._length", "_at._key")
+    met = spread.join(small_side(keyed), ["_length", "_key"]).drop("_length", "_key")
+    return met.where(F.regexp_like(F.col(name), F.concat(F.lit("^(?:"), F.col(pattern), F.lit(")"))))

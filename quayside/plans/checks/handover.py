@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quayside.operators import copies
+from quayside.operators import copies, matching
 from quayside.plans import manifest
 from quayside.plans.registry import check, table
 from quayside.session import scratch_path, settle
 from quayside.sinks import bins, publish, writers
+from quayside.sources import files
+from quayside.streaming.messages import consume, file_messages
 
 #: Orders are dealt to so many files; what is wrong with a file follows from its number.
 FILES = 40
@@ -182,3 +186,70 @@ def copy_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     each = left.count() / (copies.BUCKETS * 7)  # rows of a bucket
     least = differing.agg((F.count(F.lit(1)) * F.lit(8 * (each + 1))).alias("n")).scalar()
     return differing.select("part", *keys, "change", (again <= least).alias("narrow"))
+
+
+@check(
+    "file_charsets",
+    """
+    SELECT * FROM (VALUES ('utf8', 'UTF-8', 0::BIGINT), ('euckr', 'EUC-KR', 0), ('damaged', 'UTF-8', 1), ('empty', 'UTF-8', 0)) v(kind, charset, damaged_share)
+    JOIN (SELECT count(*) AS n FROM orders) c ON true
+    """,
+)
+def file_charsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in files of two charsets, one with bytes of neither, and an empty one: each gets its charset in one scan."""
+    folder = scratch_path(spark, "charsets")
+    orders = table(spark, sf_dir, "orders")
+    line = F.concat(F.lit("주문 "), F.col("o_orderkey").cast("string"))
+    written = {"utf8": F.encode(line, "UTF-8"), "euckr": F.encode(line, "EUC-KR"), "damaged": F.concat(F.unhex(F.lit("c328")), F.encode(line, "UTF-8"))}
+    for kind, value in written.items():
+        orders.select(value.cast("string").alias("value")).coalesce(1).write.text(f"{folder}/{kind}")
+    writers.write_marker(spark, f"{folder}/empty/part-0.txt")
+    found = files.best_charset(spark, [f"{folder}/{kind}" for kind in (*written, "empty")], ["UTF-8", "EUC-KR"])
+    per_kind = found.groupBy(F.regexp_extract("file", "/([^/]+)/[^/]*$", 1).alias("kind"), "charset").agg(F.sum("damaged").alias("damaged"), F.sum("lines").alias("lines"))
+    whole = table(spark, sf_dir, "orders").agg(F.count(F.lit(1)).alias("n")).scalar()
+    share = F.when(F.col("lines") > 0, F.col("damaged") / F.col("lines")).otherwise(0).cast("bigint")
+    return per_kind.select("kind", "charset", share.alias("damaged_share"), whole.alias("n"))
+
+
+_ARRIVAL = {"fields": [{"name": "o_orderkey", "type": "bigint"}, {"name": "o_orderpriority", "type": "string"}]}
+
+
+@check("consume_until_idle", "SELECT o_orderkey, o_orderpriority, left(o_orderpriority, 1) AS level, count(*) OVER () AS taken FROM orders")
+def consume_until_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that arrive while a run waits are taken by it, once; a run after it takes nothing."""
+    source, path, offsets = (scratch_path(spark, name) for name in ("arrivals", "landed", "offsets"))
+    orders = table(spark, sf_dir, "orders").select(F.concat_ws("|", F.col("o_orderkey").cast("string"), "o_orderpriority").alias("value"))
+    first = F.crc32(F.encode("value", "UTF-8")) % 2 == 0
+    orders.where(first).write.parquet(source)
+    late = threading.Timer(1.0, lambda: orders.where(~first).write.mode("append").parquet(source))
+    late.start()
+    level = {"level": F.substring("o_orderpriority", 1, 1)}
+    messages = lambda: file_messages(spark, source, orders.schema, F.col("value"))
+    taken = consume(messages(), _ARRIVAL, path, offsets, sep="|", partitions=level, idle_seconds=6)
+    late.join()
+    taken += consume(messages(), _ARRIVAL, path, offsets, sep="|", partitions=level)
+    return spark.read.parquet(path).select("o_orderkey", "o_orderpriority", "level", F.lit(taken).cast("bigint").alias("taken"))
+
+
+@check(
+    "many_patterns",
+    """
+    WITH names AS (SELECT c_custkey, 'in_' || c_mktsegment || '_' || c_custkey || '.txt' AS name FROM customer),
+    patterns AS (
+      SELECT n_nationkey AS id, 'in_' || s || '_[0-9]*' || n_nationkey || '[.]txt$' AS pattern FROM nation, (SELECT DISTINCT c_mktsegment AS s FROM customer)
+      UNION ALL SELECT 1000 + n_nationkey, '.*_' || n_nationkey || '[.]t' FROM nation)
+    SELECT c_custkey, id, count(*) AS hits FROM names JOIN patterns ON regexp_matches(name, '^(?:' || pattern || ')') GROUP BY c_custkey, id
+    """,
+)
+def many_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File names against a table of patterns, without a pair of every name and pattern."""
+    customers, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    number = F.col("n_nationkey").cast("string")
+    names = customers.select("c_custkey", F.concat(F.lit("in_"), "c_mktsegment", F.lit("_"), F.col("c_custkey").cast("string"), F.lit(".txt")).alias("name"))
+    segments = customers.agg(F.collect_set("c_mktsegment").alias("s")).scalar()
+    fixed = nation.withColumn("s", F.explode(segments)).select(
+        F.col("n_nationkey").alias("id"), F.concat(F.lit("in_"), "s", F.lit("_[0-9]*"), number, F.lit("[.]txt$")).alias("pattern")
+    )
+    loose = nation.select((F.col("n_nationkey") + 1000).alias("id"), F.concat(F.lit(".*_"), number, F.lit("[.]t")).alias("pattern"))
+    hits = matching.match_patterns(names, "name", fixed.unionByName(loose), "pattern")
+    return hits.groupBy("c_custkey", "id").agg(F.count(F.lit(1)).alias("hits"))

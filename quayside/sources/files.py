@@ -152,24 +152,34 @@ def replacement_rate(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(damaged).alias("damaged"))
 
 
-def best_charset(spark: SparkSession, path: str, candidates: Sequence[str]) -> DataFrame:
-    """Per file the candidate charset that damages the fewest lines; the first one wins a tie.
+def best_charset(spark: SparkSession, path: str | Sequence[str], candidates: Sequence[str]) -> DataFrame:
+    """``file, charset, damaged, lines``: per file the candidate charset that damages the fewest lines; the first one wins a tie.
 
-    Files are read once per candidate; counting is a partial aggregate per file. Empty
-    files have no lines to judge and give no row: any charset reads them.
+    One scan decodes each raw line by every candidate, and a partial aggregate per file counts. Files without a line are read by
+    any charset and get the first; they come from the listing, since no scan has a row of them.
     """
-    tried = None
-    for order, charset in enumerate(candidates):
-        lines = spark.read.text(path).withColumn("line", decoded(F.col("value"), charset))
-        counted = (
-            lines.withColumn("file", F.col("_metadata.file_path"))
-            .groupBy("file")
-            .agg(F.count_if(F.col("line").contains("�")).alias("damaged"))
-            .select("file", F.struct("damaged", F.lit(order).alias("order"), F.lit(charset).alias("charset")).alias("try"))
-        )
-        tried = counted if tried is None else tried.unionByName(counted)
-    best = tried.groupBy("file").agg(F.min("try").alias("best"))
-    return best.select("file", "best.charset", "best.damaged")
+    lines = spark.read.text(path if isinstance(path, str) else list(path)).select("value", F.col("_metadata.file_path").alias("file"))
+    hurt = [F.count_if(decoded(F.col("value"), charset).contains("�")).alias(f"damaged_{i}") for i, charset in enumerate(candidates)]
+    counted = lines.groupBy("file").agg(F.count(F.lit(1)).alias("lines"), *hurt)
+    tries = [F.struct(F.col(f"damaged_{i}").alias("damaged"), F.lit(i).alias("order"), F.lit(c).alias("charset")) for i, c in enumerate(candidates)]
+    best = counted.select("file", F.array_min(F.array(*tries)).alias("best"), "lines").select("file", "best.charset", "best.damaged", "lines")
+    nothing = spark.createDataFrame([(name,) for name in _without_bytes(spark, path)], "file string")
+    first = nothing.select("file", F.lit(candidates[0]).alias("charset"), F.lit(0).cast("long").alias("damaged"), F.lit(0).cast("long").alias("lines"))
+    return best.unionByName(first)
+
+
+def _without_bytes(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
+    """Empty files below the paths, as URIs; the listing of one level of globs and folders."""
+    jvm, conf, found = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), []
+    for each in [path] if isinstance(path, str) else path:
+        place = jvm.org.apache.hadoop.fs.Path(each)
+        fs = place.getFileSystem(conf)
+        for status in fs.globStatus(place) or []:
+            for below in fs.listStatus(status.getPath()):
+                name = below.getPath().getName()
+                if below.isFile() and below.getLen() == 0 and name[0] not in "_.":
+                    found.append(below.getPath().toUri().toString().replace(":/", ":///", 1) if below.getPath().toUri().getAuthority() is None else below.getPath().toUri().toString())
+    return sorted(set(found))
 
 
 def list_files(spark: SparkSession, path: str | Sequence[str], suffix: str | None = None) -> DataFrame:

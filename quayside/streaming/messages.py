@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from quayside.config import UNIT_SEPARATOR
 from quayside.functions.crypto import sep_regex
@@ -16,6 +18,8 @@ from quayside.sources.files import MissingConnector, typed_columns
 
 #: Messages of one partition in one micro-batch.
 BATCH_MESSAGES = 100_000
+#: How often a query that waits for messages looks for them.
+POLL_MILLIS = 200
 
 
 def kafka_messages(
@@ -65,8 +69,12 @@ def consume(
     drop_pattern: str | None = None,
     sep: str = UNIT_SEPARATOR,
     partitions: Mapping[str, Column] | None = None,
-) -> None:
-    """Take all messages present now, drop the matching ones and land the rest as parquet.
+    idle_seconds: float | None = None,
+) -> int:
+    """Take all messages present now, drop the matching ones and land the rest as parquet; returns how many were taken.
+
+    With ``idle_seconds`` messages that arrive meanwhile are taken too, until none has come for so long; a batch that has
+    begun is always finished and committed before the end.
 
     The checkpoint and the file sink's log make a restart continue where the last
     run ended, without losing or repeating a message; it must therefore outlive the run.
@@ -83,9 +91,28 @@ def consume(
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
-        .trigger(availableNow=True)
     )
     if keys:
         writer = writer.partitionBy(*keys)
-    query = writer.start()
-    query.awaitTermination()
+    if idle_seconds is None:
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+        return _taken(query, -1)[0]
+    query = writer.trigger(processingTime=f"{POLL_MILLIS} milliseconds").start()
+    taken, batch, quiet_since = 0, -1, time.monotonic()
+    while query.isActive and time.monotonic() - quiet_since < idle_seconds:
+        query.awaitTermination(POLL_MILLIS / 1000)  # raises what ended the query
+        more, batch = _taken(query, batch)
+        taken += more
+        if more or query.status["isDataAvailable"]:
+            quiet_since = time.monotonic()
+    query.processAllAvailable()  # a batch under way is committed, not cut off
+    more, batch = _taken(query, batch)
+    query.stop()
+    return taken + more
+
+
+def _taken(query: StreamingQuery, after: int) -> tuple[int, int]:
+    """Messages of the batches that ended after batch ``after``, and the last of these."""
+    fresh = [p for p in query.recentProgress if p["batchId"] > after and p["numInputRows"]]
+    return sum(p["numInputRows"] for p in fresh), max((p["batchId"] for p in fresh), default=after)

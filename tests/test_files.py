@@ -109,7 +109,7 @@ def test_best_charset(spark, tmp_path):
     (tmp_path / "u.dat").write_text("가나다\nabc\n")
     (tmp_path / "e.dat").write_text("")
     got = files.best_charset(spark, str(tmp_path), ["UTF-8", "EUC-KR"]).collect()
-    assert {os.path.basename(r["file"]): r["charset"] for r in got} == {"k.dat": "EUC-KR", "u.dat": "UTF-8"}
+    assert {os.path.basename(r["file"]): r["charset"] for r in got} == {"k.dat": "EUC-KR", "u.dat": "UTF-8", "e.dat": "UTF-8"}
 
 
 def test_single_named_file(spark, people, tmp_path):

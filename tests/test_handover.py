@@ -3,6 +3,7 @@
 import gzip
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from quayside.config import CipherKeys, CryptoRule, CryptoRules
 from quayside.operators import copies, matching
 from quayside.plans import jobs, manifest
 from quayside.sinks import bins, publish, writers
+from quayside.sources import files
 
 FIELDS = {"fields": [{"name": "id", "type": "bigint"}, {"name": "name", "type": "string"}]}
 ROWS = "id long, name string"
@@ -153,3 +155,23 @@ def test_a_folder_is_replaced(spark, tmp_path):
     assert sorted(os.listdir(tmp_path)) == ["old"] and spark.read.parquet(str(tmp_path / "old")).count() == 2
     writers.replace_folder(spark, str(tmp_path / "none"), str(tmp_path / "deep" / "er"))
     assert os.listdir(tmp_path / "deep" / "er") == []
+
+
+def test_patterns_meet_names_by_their_beginnings(spark):
+    draw = random.Random(5)
+    names = ["".join(draw.choices("ab_.1", k=draw.randint(0, 12))) for _ in range(150)] + [None, "a.b", "a+b", "ab" * 20]
+    patterns = ["a", "ab*", "ab+_", r"a\.b", r"a\+b", "(ab|a_)1", "a|b", "", ".*1", "[ab]1", "^ab", "a{2}", "_{1,2}a", "ab" * 18, "abab.?", None, "(?i:AB)", r"\d", "a(b)", "b?a"]
+    files_, wanted = spark.createDataFrame([(n,) for n in names], "name string"), spark.createDataFrame([(p,) for p in patterns], "pattern string")
+    found = matching.match_patterns(files_, "name", wanted, "pattern")
+    plain = sorted((n, p) for n in names for p in patterns if n is not None and p is not None and re.match(f"(?:{p})", n))
+    assert sorted((r["name"], r["pattern"]) for r in found.collect()) == plain
+    assert "CartesianProduct" not in found._jdf.queryExecution().executedPlan().toString()
+    prefixes = {r[0]: r[1] for r in wanted.select("pattern", matching.fixed_prefix(F.col("pattern"))).collect()}
+    assert prefixes["ab+_"] == "a" and prefixes[r"a\.b"] == "a.b" and prefixes["a|b"] == "" and prefixes["^ab"] == "ab" and prefixes["a(b)"] == "a"
+
+
+def test_charsets_in_one_scan(spark, tmp_path):
+    for name, content in {"u.txt": "가\n나\n".encode(), "k.txt": "가\n나\n".encode("euc-kr"), "e.txt": b"", "bad.txt": b"\xc3\x28\nok\n"}.items():
+        (tmp_path / name).write_bytes(content)
+    found = {os.path.basename(r.file): (r.charset, r.damaged, r.lines) for r in files.best_charset(spark, str(tmp_path), ["UTF-8", "EUC-KR"]).collect()}
+    assert found == {"u.txt": ("UTF-8", 0, 2), "k.txt": ("EUC-KR", 0, 2), "e.txt": ("UTF-8", 0, 0), "bad.txt": ("UTF-8", 1, 2)}
