@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -157,8 +158,11 @@ def _pack_task(batches: Iterator[pa.RecordBatch], path: str, size: int, schema:
 
     def encoded() -> Iterator[tuple[object, bytes]]:
         for batch in batches:
-            for doc, text in zip(batch.column(0), batch.column(1), strict=True):
-                yield doc.as_py(), tool.ids(text.as_py() or "") + end
+            docs = iter(batch.column(0))
+            for ids, counts in tool.column_ids(pc.fill_null(batch.column(1), ""), end):
+                last = np.cumsum(counts)
+                for begin, stop in zip((last - counts).tolist(), last.tolist(), strict=True):
+                    yield next(docs).as_py(), ids[begin:stop].tobytes()
 
     rows: list[tuple] = []
 
