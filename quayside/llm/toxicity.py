@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import functools
+import hashlib
+import heapq
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Hashable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
@@ -23,9 +25,8 @@ FIT_TOXIC, FIT_CLEAN = 4_000, 8_000
 #: A learned word or stem stands in this many toxic fit documents, and in so much larger a share of them than of clean ones.
 LEAST_DOCUMENTS, LEAST_SHARE = 5, 0.9
 #: Learned terms: each must still explain some documents that fewer than COVER earlier terms explain.
-COVER, LEAST_GAIN, MOST_TERMS, MOST_CANDIDATES = 4, 3, 400, 20_000
+COVER, LEAST_GAIN = 4, 3
 STEMS = (4, 5)
-THRESHOLD = 0.3
 CACHE_WORDS = 500_000
 
 # Word classes that are known without labels, in four languages.
@@ -33,8 +34,15 @@ INSULTS = frozenset(
     "idiot idiots stupid moron morons loser losers scum trash worthless pathetic disgusting clown imbecile dumbass "
     "idioten dumm trottel abschaum wertlos imbécile imbéciles crétin débile ordure idiota idiotas estúpido estúpida imbécil basura".split()
 )
-THREATS = frozenset("kill hurt destroy murder stab shoot umbringen töten verletzen tuer frapper détruire matar golpear destruir".split())
-TARGETS = frozenset("you your yours du dich dir ihr euch toi tu vous ton ta tú usted ustedes vosotros".split())
+# Insults of several words: a heap of something worthless, and a mouth that is to be shut.
+HEAPS = frozenset("piece pieces sack pile stück haufen sack morceau tas pedazo pedazos montón saco".split())
+DIRT = frozenset("crap shit garbage filth dung scheiße dreck mist merde fumier mierda estiércol".split())
+SHUTS = frozenset("shut halt haltet ferme fermez cierra cierren".split())
+MOUTHS = frozenset("mouth mouths trap maul fresse klappe gueule gueules pico hocico".split())
+# Threats are a verb of harm behind an intent or with its victim.
+INTENTS = frozenset("will gonna going shall ll must werde werden wird vais va allons voy vamos".split())
+ATTACKS = frozenset("kill hurt destroy murder stab shoot umbringen töten verletzen tuer frapper détruire matar golpear destruir".split())
+TARGETS = frozenset("you your yours du dich dir ihr euch dein deine toi tu te vous ton ta tú usted ustedes vosotros".split())
 NEGATIONS = frozenset("not never no nobody isn aren wasn don nicht nie kein keine keinen ne pas jamais nunca jamás".split())
 REPORTS = frozenset(
     "said says wrote writes called quoted claimed alleged reported according sagte schrieb laut zitierte dit écrit selon dijo escribió según".split()
@@ -43,103 +51,188 @@ REPORTS = frozenset(
 _WORD = re.compile(r"[^\W\d_]+")
 _CLAUSE = re.compile(r"[.!?;:\n|]+")
 
-# Symbols: what a word is, and what the machines make of it.
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = ".", "I", "T", "Y", "N", "R"
-AIMED_INSULT, AIMED_THREAT, DENIED, REPORTED = "J", "U", "n", "q"
-#: Events that count, in the order of the features.
+# Symbols: what a word is (INSULT to REPORT), the end of a clause, and what the machines make of them.
+OTHER, INSULT, HEAP, DIRTY, SHUT, MOUTH, INTENT, ATTACK, TARGET, NEGATION, REPORT, END = ".IHDSMWAYNR$"
+THREAT, AIMED_INSULT, AIMED_THREAT, DENIED, REPORTED = "VJUnq"
+WORDS = (OTHER, INSULT, HEAP, DIRTY, SHUT, MOUTH, INTENT, ATTACK, TARGET, NEGATION, REPORT, END)
+ALPHABET = (*WORDS, THREAT, AIMED_THREAT, DENIED, REPORTED)
+#: Matches that count, in their order everywhere.
 EVENTS = (INSULT, AIMED_INSULT, THREAT, AIMED_THREAT, DENIED, REPORTED)
-#: Weights without labels, and the constant.
-DEFAULT_WEIGHTS = (3.5, 5.0, 0.2, 4.0, 0.8, 1.0)
-DEFAULT_BIAS = -3.0
-#: Words that negation and a target reach.
-SCOPE, REACH = 3, 4
+#: Words that end some match; a text without them has none.
+ENDS = frozenset((INSULT, DIRTY, MOUTH, ATTACK))
+#: Words that a phrase, a negation, a target or intent, and a bare verb of harm reach.
+PHRASE, SCOPE, REACH, GRASP = 2, 3, 4, 2
 
 
 @dataclass(frozen=True)
 class Transducer:
-    """A sequential transducer: ``arcs[state][symbol] = (next state, output)``; other symbols follow ``OTHER`` and stay."""
+    """A sequential transducer over ``ALPHABET``: ``arcs[state][symbol] = (next state, output)``, starting in state 0."""
 
     arcs: tuple[Mapping[str, tuple[int, str]], ...]
 
     def step(self, state: int, symbol: str) -> tuple[int, str]:
-        arc = self.arcs[state].get(symbol)
-        return arc if arc else (self.arcs[state][OTHER][0], symbol)
+        return self.arcs[state][symbol]
+
+
+def tabulate(start: Hashable, move: Callable[[Hashable, str], tuple[Hashable, str]], alphabet: Sequence[str] = ALPHABET) -> Transducer:
+    """The transducer of the states that ``move`` reaches from ``start``."""
+    numbers, todo, arcs = {start: 0}, [start], []
+    for state in todo:
+        row = {}
+        for symbol in alphabet:
+            after, out = move(state, symbol)
+            if after not in numbers:
+                numbers[after] = len(numbers)
+                todo.append(after)
+            row[symbol] = (numbers[after], out)
+        arcs.append(row)
+    return Transducer(tuple(arcs))
+
+
+def insults() -> Transducer:
+    """Single insulting words stay; a heap with dirt, or a shutting with a mouth, within ``PHRASE`` words becomes an insult.
+
+    States are the opening word and how many words it still reaches.
+    """
+    closing = {HEAP: DIRTY, SHUT: MOUTH}
+
+    def move(state, symbol):
+        opened, left = state
+        if symbol in closing:
+            return (symbol, PHRASE), OTHER
+        if left and symbol == closing[opened]:
+            return (OTHER, 0), INSULT
+        down = (opened, left - 1) if left > 1 else (OTHER, 0)
+        return down, symbol if symbol not in closing.values() else OTHER
+
+    return tabulate((OTHER, 0), move)
+
+
+def threats() -> Transducer:
+    """A verb of harm within ``REACH`` words after an intent is a threat, aimed if its victim stands between; a bare verb stays.
+
+    States are how many words the intent still reaches, and whether a target was met since.
+    """
+
+    def move(state, symbol):
+        left, met = state
+        if symbol == INTENT:
+            return (REACH, False), OTHER
+        down = (left - 1, met or symbol == TARGET) if left > 1 else (0, False)
+        if symbol == ATTACK and left:
+            return down, AIMED_THREAT if met else THREAT
+        return down, symbol
+
+    return tabulate((0, False), move)
 
 
 def negation() -> Transducer:
-    """Insults and threats within ``SCOPE`` words after a negation are denied."""
-    return Transducer(
-        tuple(
-            {
-                OTHER: (max(0, left - 1), OTHER),
-                NEGATION: (SCOPE, OTHER),
-                **({INSULT: (left - 1, DENIED), THREAT: (left - 1, DENIED)} if left else {}),
-            }
-            for left in range(SCOPE + 1)
-        )
-    )
+    """Insults, threats and verbs of harm within ``SCOPE`` words after a negation are denied."""
+
+    def move(left, symbol):
+        if symbol == NEGATION:
+            return SCOPE, OTHER
+        denied = left and symbol in (INSULT, THREAT, AIMED_THREAT, ATTACK)
+        return max(0, left - 1), DENIED if denied else symbol
+
+    return tabulate(0, move)
 
 
 def reported_speech() -> Transducer:
     """After a reporting word, insults and threats up to the end of the clause are someone else's."""
-    return Transducer(
-        (
-            {OTHER: (0, OTHER), REPORT: (1, OTHER)},
-            {OTHER: (1, OTHER), REPORT: (1, OTHER), INSULT: (1, REPORTED), THREAT: (1, REPORTED), DENIED: (1, REPORTED)},
-        )
-    )
+
+    def move(reported, symbol):
+        if symbol == REPORT:
+            return True, OTHER
+        if reported and symbol in (INSULT, THREAT, AIMED_THREAT, DENIED):
+            return True, REPORTED
+        return reported, OTHER if reported and symbol == ATTACK else symbol
+
+    return tabulate(False, move)
 
 
 def aiming() -> Transducer:
-    """Insults and threats near a target are aimed: after it, or shortly before it.
+    """Insults up to ``REACH`` words after a target or before one, and threats before one, are aimed.
 
-    States count down the words since a target (1 to REACH) or since an insult or threat without one (above REACH).
+    States are what waits for a target (nothing, an insult, a threat, a bare verb of harm) and how many words that, or with
+    nothing waiting the last target, still reaches. What waits in vain comes out as it is, a bare verb not at all.
     """
-    after_target = [{OTHER: (max(0, n - 1), OTHER), TARGET: (REACH, OTHER)} for n in range(REACH + 1)]
-    for n, arcs in enumerate(after_target):
-        arcs[INSULT] = (n - 1, AIMED_INSULT) if n else (2 * REACH, INSULT)
-        arcs[THREAT] = (n - 1, AIMED_THREAT) if n else (3 * REACH, THREAT)
-    waiting = []
-    for aimed in (AIMED_INSULT, AIMED_THREAT):
-        base = REACH + 1 if aimed == AIMED_INSULT else 2 * REACH + 1
-        for n in range(REACH):
-            down = base + n - 1 if n else 0
-            waiting.append({OTHER: (down, OTHER), TARGET: (REACH, aimed), INSULT: (2 * REACH, INSULT), THREAT: (3 * REACH, THREAT)})
-    return Transducer(tuple(after_target + waiting))
-
-
-def compose(first: Transducer, second: Transducer, alphabet: Sequence[str]) -> Transducer:
-    """One transducer that does what ``second`` makes of the output of ``first``; states are the reachable pairs."""
-    numbers, todo, arcs = {(0, 0): 0}, [(0, 0)], []
-    for pair in todo:
-        row = {}
-        for symbol in alphabet:
-            a, between = first.step(pair[0], symbol)
-            b, out = second.step(pair[1], between)
-            if (a, b) not in numbers:
-                numbers[a, b] = len(numbers)
-                todo.append((a, b))
-            row[symbol] = (numbers[a, b], out)
-        arcs.append(row)
-    return Transducer(tuple(arcs))
+    aimed = {INSULT: AIMED_INSULT, THREAT: AIMED_THREAT, ATTACK: AIMED_THREAT}
+    in_vain = {OTHER: "", INSULT: INSULT, THREAT: THREAT, ATTACK: ""}
+
+    def move(state, symbol):
+        waiting, left = state
+        if symbol == TARGET:
+            return (OTHER, REACH), aimed.get(waiting, OTHER)
+        if symbol == END:
+            return (OTHER, 0), in_vain[waiting] or OTHER
+        if symbol == INSULT and waiting == OTHER and left:
+            return (OTHER, left - 1), AIMED_INSULT
+        if symbol in aimed:
+            return (symbol, GRASP if symbol == ATTACK else REACH), in_vain[waiting] or OTHER
+        if waiting != OTHER and left == 1:
+            return (OTHER, 0), in_vain[waiting] + symbol
+        return (waiting, max(0, left - 1)), symbol
+
+    return tabulate((OTHER, 0), move)
+
+
+def compose(first: Transducer, second: Transducer) -> Transducer:
+    """One transducer that does what ``second`` makes of the output of ``first``, which gives one symbol for each."""
+
+    def move(pair, symbol):
+        after, between = first.step(pair[0], symbol)
+        last, out = second.step(pair[1], between)
+        return (after, last), out
+
+    return tabulate((0, 0), move)
 
 
 @functools.cache
 def grammar() -> Transducer:
-    words = (OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT)
-    return compose(compose(negation(), reported_speech(), words), aiming(), words)
+    return functools.reduce(compose, (insults(), threats(), negation(), reported_speech(), aiming()))
 
 
 def clause_events(symbols: str) -> Counter:
-    """Events of one clause given as word classes."""
+    """Matches of one clause given as word classes."""
     machine, state, seen = grammar(), 0, Counter()
-    for symbol in symbols:
+    for symbol in symbols + END:
         state, out = machine.step(state, symbol)
-        if out in EVENTS:
-            seen[out] += 1
+        seen.update(out)
     return seen
 
 
+#: The score of a text with one match that is not aimed stays so far below the threshold, and one that is aimed so far above it (logits).
+THRESHOLD = 0.3
+MARGIN = 0.05
+_LIMIT = math.log(THRESHOLD / (1 - THRESHOLD)) - MARGIN
+#: What the fit starts from and stays near without labels: weights of all matches, of those not denied or reported, of aimed
+#: ones beyond the least, of aimed threats; and how far a lone match stays below the limit.
+PRIOR = (0.8, 2.2, 1.0, 0.5, 0.1)
+
+
+def features(found: Sequence[int]) -> tuple[float, ...]:
+    """Each holds the next: matches, those not denied or reported, those aimed, those aimed that threaten."""
+    n = dict(zip(EVENTS, found, strict=True))
+    aimed = n[AIMED_INSULT] + n[AIMED_THREAT]
+    open_ = n[INSULT] + n[THREAT] + aimed
+    return tuple(map(math.log1p, (open_ + n[DENIED] + n[REPORTED], open_, aimed, n[AIMED_THREAT])))
+
+
+def _weights(free: Sequence[float]) -> tuple[tuple[float, ...], float]:
+    """Weights and constant from parameters that need only be non-negative.
+
+    As features hold each other, a match that is aimed never weighs less than one that is not, and that never less than a denied
+    or reported one. One match that is not aimed stays below the threshold, one that is aimed reaches it.
+    """
+    every, open_, beyond, threat, below = map(float, free)
+    one = math.log(2)
+    return (every, open_, (below + 2 * MARGIN) / one + beyond, threat), _LIMIT - one * (every + open_) - below
+
+
+DEFAULT_WEIGHTS, DEFAULT_BIAS = _weights(PRIOR)
+
+
 @dataclass(frozen=True)
 class Model:
     """Learned words and stems with the weights of the events; small enough to travel with each task."""
@@ -152,10 +245,13 @@ class Model:
     def classify(self, word: str) -> str:
         if word in INSULTS or word in self.words or any(word[:n] in self.stems for n in STEMS if len(word) > n):
             return INSULT
-        for words, symbol in ((THREATS, THREAT), (TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT)):
-            if word in words:
-                return symbol
-        return OTHER
+        return _known().get(word, OTHER)
+
+
+@functools.cache
+def _known() -> dict[str, str]:
+    classes = {HEAP: HEAPS, DIRTY: DIRT, SHUT: SHUTS, MOUTH: MOUTHS, INTENT: INTENTS, ATTACK: ATTACKS, TARGET: TARGETS, NEGATION: NEGATIONS, REPORT: REPORTS}
+    return {word: symbol for symbol, words in classes.items() for word in words}
 
 
 class _Classes(dict):
@@ -180,7 +276,7 @@ def events(text: str, model: Model) -> tuple[int, ...]:
     known = _classes(model)
     text = text.lower()
     symbols = "".join(map(known.__getitem__, _WORD.findall(text)))
-    if INSULT not in symbols and THREAT not in symbols:
+    if ENDS.isdisjoint(symbols):
         return (0,) * len(EVENTS)
     total: Counter = Counter()
     for clause in _CLAUSE.split(text):
@@ -189,7 +285,8 @@ def events(text: str, model: Model) -> tuple[int, ...]:
 
 
 def score(found: Sequence[int], model: Model) -> float:
-    return 1 / (1 + math.exp(-min(50.0, max(-50.0, model.bias + sum(w * math.log1p(n) for w, n in zip(model.weights, found))))))
+    logit = model.bias + sum(w * x for w, x in zip(model.weights, features(found), strict=True))
+    return 1 / (1 + math.exp(-min(50.0, max(-50.0, logit))))
 
 
 def held_out(key: str) -> Column:
@@ -204,14 +301,21 @@ def _terms(text: str) -> set[str]:
 
 
 def _term_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of ``(text, toxic)`` rows for each term, and a digest of the toxic texts that hold it, combined by exclusive or."""
     for batch in batches:
-        toxic, clean = Counter(), Counter()
+        toxic, clean, low, high = Counter(), Counter(), Counter(), Counter()
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            (toxic if label else clean).update(_terms(text or ""))
+            terms = _terms(text or "")
+            (toxic if label else clean).update(terms)
+            if label:
+                mark = hashlib.blake2b((text or "").encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                first, second = (int.from_bytes(half, "little", signed=True) for half in (mark[:8], mark[8:]))
+                for term in terms:
+                    low[term] ^= first
+                    high[term] ^= second
         terms = list(toxic.keys() | clean.keys())
-        yield pa.RecordBatch.from_pydict(
-            {"term": pa.array(terms, pa.string()), "n_toxic": pa.array([toxic[t] for t in terms], pa.int64()), "n_clean": pa.array([clean[t] for t in terms], pa.int64())}
-        )
+        counts = {name: pa.array([c[t] for t in terms], pa.int64()) for name, c in (("n_toxic", toxic), ("n_clean", clean), ("low", low), ("high", high))}
+        yield pa.RecordBatch.from_pydict({"term": pa.array(terms, pa.string()), **counts})
 
 
 def fit_rows(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str) -> DataFrame:
@@ -228,51 +332,63 @@ def choose_terms(holding: Sequence[frozenset[str]], share: Mapping[str, float])
     """Terms that explain the toxic documents between them, the most telling first.
 
     Copies of one document share many words that mean nothing; these stop being chosen once their documents are explained by
-    terms that stand in many more.
+    terms that stand in many more. Gains only fall, so a heap of earlier gains finds the best term.
     """
     lacks = [COVER] * len(holding)
     where: dict[str, list[int]] = {}
     for i, terms in enumerate(holding):
         for t in terms:
             where.setdefault(t, []).append(i)
+
+    def gain(term: str) -> float:
+        return sum(lacks[i] for i in where[term]) * share[term] ** 2
+
+    names = sorted(where, key=lambda t: (t.endswith("-"), t), reverse=True)
+    heap = [(-gain(t), rank) for rank, t in enumerate(names)]
+    heapq.heapify(heap)
     chosen: list[str] = []
-    while len(chosen) < MOST_TERMS and where:
-        gain = {t: sum(lacks[i] for i in rows) * share[t] ** 2 for t, rows in where.items()}
-        best = max(gain, key=lambda t: (gain[t], t.endswith("-"), t))
-        if gain[best] < LEAST_GAIN * COVER / 2:
+    while heap:
+        before, rank = heapq.heappop(heap)
+        now = -gain(names[rank])
+        if now > before:
+            if now < 0:
+                heapq.heappush(heap, (now, rank))
+            continue
+        if -now < LEAST_GAIN * COVER / 2:
             break
-        chosen.append(best)
-        for i in where.pop(best):
+        chosen.append(names[rank])
+        for i in where[names[rank]]:
             lacks[i] = max(0, lacks[i] - 1)
-        where = {t: rows for t, rows in where.items() if any(lacks[i] for i in rows)}
     return chosen
 
 
 def _fit_weights(rows: Sequence[tuple[tuple[int, ...], int, int]]) -> tuple[tuple[float, ...], float]:
-    """Ridge logistic regression by Newton steps over (events, toxic, documents); weights below zero become zero.
-
-    The prior are the weights without labels, so events that the sample lacks keep them.
-    """
-    x = np.array([[*np.log1p(e), 1.0] for e, _, _ in rows])
+    """Ridge logistic regression around ``PRIOR`` over (events, toxic, documents), one non-negative parameter after the other."""
+    f = np.array([features(e) for e, _, _ in rows])
     y, n = np.array([t for _, t, _ in rows], float), np.array([c for _, _, c in rows], float)
-    prior = np.array([*DEFAULT_WEIGHTS, DEFAULT_BIAS])
-    beta = prior.copy()
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        slope = x.T @ (n * (y - p)) - 0.5 * (beta - prior)
-        curve = (x * (n * p * (1 - p))[:, None]).T @ x + 0.5 * np.eye(len(beta))
-        move = np.linalg.solve(curve, slope)
-        beta += np.clip(move, -2, 2)
-        if np.abs(move).max() < 1e-6:
+    one = math.log(2)
+    x = np.column_stack([f[:, 0] - one, f[:, 1] - one, f[:, 2], f[:, 3], f[:, 2] / one - 1])
+    fixed = _LIMIT + f[:, 2] * 2 * MARGIN / one
+    prior = np.array(PRIOR)
+    free = prior.copy()
+    for _ in range(500):
+        start = free.copy()
+        for j in range(len(free)):
+            p = 1 / (1 + np.exp(-np.clip(fixed + x @ free, -30, 30)))
+            slope = (n * (y - p)) @ x[:, j] - 0.5 * (free[j] - prior[j])
+            curve = (n * p * (1 - p)) @ x[:, j] ** 2 + 0.5
+            free[j] = max(0.0, free[j] + min(1.0, max(-1.0, slope / curve)))
+        if np.abs(free - start).max() < 1e-7:
             break
-    return tuple(float(max(0.0, w)) for w in beta[:-1]), float(beta[-1])
+    return _weights(free)
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic") -> Model:
     """A model from labelled documents outside the held-out part. Without toxic labels the known words and weights remain.
 
-    The driver gets at most ``MOST_CANDIDATES`` terms, the candidates that each fit document holds, and one row for each
-    distinct combination of events.
+    Of the terms that stand in the same toxic fit documents only the ``COVER`` most telling are candidates: once these are chosen
+    the documents need no further term, so no choice is lost. The driver gets the candidates that each fit document holds,
+    bounded by the fit documents, and one row for each distinct combination of events.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -282,15 +398,16 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     if not n_toxic:
         return Model(frozenset(), frozenset())
     spread = rows.repartition(spark.sparkContext.defaultParallelism)
-    counted = spread.mapInArrow(_term_task, "term string, n_toxic long, n_clean long")
+    counted = spread.mapInArrow(_term_task, "term string, n_toxic long, n_clean long, low long, high long")
     share = (F.col("n_toxic") / n_toxic) / (F.col("n_toxic") / n_toxic + (F.col("n_clean") + 0.5) / (n_clean + 1))
+    same_texts = Window.partitionBy("n_toxic", "low", "high").orderBy(F.desc("share"), F.col("term").endswith("-").desc(), F.desc("term"))
     telling = (
         counted.groupBy("term")
-        .agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_clean").alias("n_clean"))
+        .agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_clean").alias("n_clean"), F.bit_xor("low").alias("low"), F.bit_xor("high").alias("high"))
         .withColumn("share", share)
         .where((F.col("n_toxic") >= LEAST_DOCUMENTS) & (F.col("share") >= LEAST_SHARE))
-        .orderBy(F.col("n_toxic").desc(), "term")
-        .limit(MOST_CANDIDATES)
+        .withColumn("place", F.row_number().over(same_texts))
+        .where(F.col("place") <= COVER)
     )
     shares = {r.term: r.share for r in telling.collect()}
 
