@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators import matching, ordering
+from quayside.operators import matching, ordering, ranges
 from quayside.plans.registry import check, table
 
 URL_PATH = r"^https?://[^?#]*"
@@ -132,3 +132,26 @@ def next_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
     error = F.when(F.col("event_type") == "error", F.col("event_id"))
     return ordering.with_next(events, ["ts", "event_id"], error, "next_error").select("event_id", "next_error")
+
+
+_RANGE_ROWS = 5000
+_SKEWED = "CASE WHEN l_orderkey % 3 = 0 THEN 7 ELSE l_suppkey END"
+
+
+@check(
+    "key_range_pages",
+    f"""
+    SELECT page_key, count(*) AS rows, CAST(sum(l_linenumber) AS BIGINT) AS line_sum, true AS even
+    FROM (SELECT {_SKEWED} AS page_key, l_linenumber FROM lineitem) GROUP BY page_key
+    """,
+)
+def key_range_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items in pages by ranges of a key of which one value holds a third of them: none lost, none twice, no page too large."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.expr(_SKEWED).cast("bigint").alias("page_key"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line"), "l_linenumber"
+    )
+    borders = ranges.key_borders(rows, "page_key", "line", _RANGE_ROWS)
+    paged = ranges.with_page(rows, borders, "page_key", "line")
+    cells = paged.groupBy("page_key", "page").agg(F.count(F.lit(1)).alias("n"), F.sum("l_linenumber").alias("lines"))
+    largest = cells.groupBy("page").agg(F.sum("n").alias("n")).agg(F.max("n") <= 2.1 * _RANGE_ROWS).scalar()
+    return cells.groupBy("page_key").agg(F.sum("n").alias("rows"), F.sum("lines").alias("line_sum")).withColumn("even", largest)

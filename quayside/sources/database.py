@@ -6,6 +6,8 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quayside.operators.ranges import key_borders, range_predicates
+from quayside.session import settle
 from quayside.sources.files import MissingConnector
 
 
@@ -57,3 +59,17 @@ def extract(
     url = options["url"]
     rest = {k: v for k, v in options.items() if k != "url"}
     return _read(lambda: spark.read.jdbc(url, numbered, predicates=predicates, properties=rest)).drop("rn")
+
+
+def extract_by_key(
+    spark: SparkSession, options: Mapping[str, str], query: str, key: str, second: str, page_rows: int
+) -> DataFrame:
+    """Rows of a query in pages by ranges of ``key``, each read by a condition that an index on the key can answer.
+
+    Only the two keys are read beforehand, for the borders; the database numbers nothing. See :func:`ranges.key_borders`.
+    """
+    keys = f"(SELECT q.{key}, q.{second} FROM ({query}) q) k"
+    known = settle(_read(lambda: spark.read.format("jdbc").options(**options).option("dbtable", keys).load()), "keys")
+    predicates = range_predicates(key_borders(known, key, second, page_rows), key, second)
+    rest = {k: v for k, v in options.items() if k != "url"}
+    return _read(lambda: spark.read.jdbc(options["url"], f"({query}) q", predicates=predicates, properties=rest))

@@ -1,5 +1,7 @@
 """Ordered operators against brute force, over many parts and hot keys."""
 
+import datetime
+import decimal
 import random
 
 import pytest
@@ -7,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quayside.operators import matching, ordering
+from quayside.operators import matching, ordering, ranges
 
 
 @pytest.fixture()
@@ -188,3 +190,49 @@ def test_retry_lookup(spark):
     retries = spark.createDataFrame([("1", "b", "h1"), ("2", "", "h2"), ("2", None, "h3")], "seq string, file string, hist string")
     got = {(r["seq"], r["nm"], r["hist"]) for r in matching.retry_lookup(files, retries, "seq", "nm", "file").collect()}
     assert got == {("1", "b", "h1"), ("2", "a", "h2"), ("2", "a", "h3")}
+
+
+def pages_by_conditions(rows, borders):
+    """Which pages' conditions each row meets, all of them."""
+    conditions = ranges.range_predicates(borders, "k", "s")
+    met = F.array_compact(F.array(*[F.when(F.expr(c), F.lit(i)) for i, c in enumerate(conditions)]))
+    return {r.id: r.met for r in rows.select("id", met.alias("met")).collect()}, len(conditions)
+
+
+@pytest.mark.parametrize("kind", ["number", "date", "timestamp", "decimal"])
+def test_key_ranges_hold_each_row_once_and_stay_even(many_parts, kind):
+    day, draw = datetime.date(2024, 1, 1), random.Random(6)
+    make = {
+        "number": lambda n: n,
+        "date": lambda n: day + datetime.timedelta(days=n),
+        "timestamp": lambda n: datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=n, microseconds=n),
+        "decimal": lambda n: decimal.Decimal(n) / 4,
+    }[kind]
+    drawn = [(i, draw.choice([None, 5, 5, 5, 30, 30, *range(40)]), None if i % 50 == 0 else i) for i in range(1200)]
+    values = [(i, None if k is None else make(k), s) for i, k, s in drawn]
+    sql = {"number": "long", "date": "date", "timestamp": "timestamp", "decimal": "decimal(10,2)"}[kind]
+    rows = many_parts.createDataFrame(values, f"id long, k {sql}, s long")
+    borders = ranges.key_borders(rows, "k", "s", 40)
+    met, pages = pages_by_conditions(rows, borders)
+    assert pages > 20 and len(met) == 1200 and all(len(m) == 1 for m in met.values())
+    placed = {r.id: r.page for r in ranges.with_page(rows, borders, "k", "s").collect()}
+    assert placed == {i: m[0] for i, m in met.items()}
+    sizes = [list(placed.values()).count(p) for p in range(pages)]
+    assert sum(sizes) == 1200 and max(sizes) <= 2.1 * 40 + 60, "null keys, about 30, lie in the first page"
+    assert max(sizes[1:]) <= 2.1 * 40
+
+
+def test_key_ranges_of_few_and_equal_rows(spark):
+    none = spark.createDataFrame([], "id long, k long, s long")
+    assert ranges.key_borders(none, "k", "s", 10) == [] and ranges.range_predicates([], "k", "s") == ["1 = 1"]
+    assert ranges.with_page(none, [], "k", "s").columns == ["id", "k", "s", "page"]
+    same = spark.createDataFrame([(i, 1, 1) for i in range(50)], "id long, k long, s long")
+    met, _ = pages_by_conditions(same, ranges.key_borders(same, "k", "s", 10))
+    assert all(len(m) == 1 for m in met.values()), "equal pairs cannot be cut, and are neither lost nor doubled"
+    no_second = spark.createDataFrame([(i, 1, None) for i in range(50)], "id long, k long, s long")
+    met, _ = pages_by_conditions(no_second, ranges.key_borders(no_second, "k", "s", 10))
+    assert all(len(m) == 1 for m in met.values())
+    with pytest.raises(ValueError):
+        ranges.key_borders(same, "k", "s", 0)
+    with pytest.raises(TypeError):
+        ranges.range_predicates([("text", None)], "k", "s")
