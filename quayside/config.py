@@ -57,7 +57,7 @@ class ReadSpec:
 
 @dataclass(frozen=True)
 class WriteSpec:
-    """How a result is written."""
+    """How a result is written; ``files`` sets the number of files, ``merge`` makes as few as hold it."""
 
     format: str = "parquet"
     compression: str | None = None
@@ -67,6 +67,7 @@ class WriteSpec:
     file_name: str | None = None
     partition_by: Sequence[str] = ()
     escape: str | None = None
+    files: int | None = None
 
     @property
     def spark_format(self) -> str:

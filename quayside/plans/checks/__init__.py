@@ -5,6 +5,7 @@ from quayside.plans.checks import (  # noqa: F401
     ciphers,
     discovery,
     exchange,
+    folders,
     handover,
     landing,
     matching,

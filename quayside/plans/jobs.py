@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.config import CipherKeys, CryptoRule, CryptoRules, ReadSpec, WriteSpec
+from quayside.config import CipherKeys, CryptoRule, CryptoRules, ReadSpec, WriteSpec, normalise_separator
 from quayside.functions import paths as P
 from quayside.functions import text as X
 from quayside.functions.crypto import apply_rules, apply_rules_to_lines
@@ -222,9 +222,13 @@ def _kept_apart(spark: SparkSession, incoming: DataFrame, turned: DataFrame, raw
 
 
 def redelimit(
-    spark: SparkSession, source: str, path: str, old: str, new: str, encoding: str = "UTF-8", target_encoding: str = "UTF-8"
+    spark: SparkSession, source: str, path: str, old: str, new: str | None = None, encoding: str = "UTF-8", target_encoding: str = "UTF-8"
 ) -> str:
-    """Text files with another separator and charset; values stay as they are."""
+    """Text files with another separator and charset; values stay as they are.
+
+    Without ``new`` a known separator of several characters becomes the record separator, and any other one stays.
+    """
+    new = normalise_separator(old) if new is None else new
     lines = files.read_lines(spark, source, encoding)
     changed = lines.select(X.replace_separator(F.col("value"), old, new).alias("value"))
     return writers.write_lines(changed, path, new, encoding=target_encoding)

@@ -59,6 +59,8 @@ def write_files(df: DataFrame, path: str, spec: WriteSpec = WriteSpec()) -> str:
     """Write ``df``, by default as zstd parquet; ``merge`` makes files of about ``MERGE_BYTES``, named and numbered."""
     if spec.merge and not spec.partition_by:
         return _write_merged(df, path, spec)
+    if spec.files is not None:
+        df = df.repartition(spec.files)  # coalescing would run the whole job in as few tasks
     try:
         _writer(df, spec).save(path)
     except Exception as error:
@@ -206,7 +208,8 @@ def write_text_pages(lines: DataFrame, path: str) -> str:
 
 def write_report(df: DataFrame, path: str) -> str:
     r"""Report with record separators and ``\`` as escape."""
-    df.write.mode("overwrite").option("sep", "\x1e").option("escape", "\\").option("header", True).csv(path)
+    writer = df.write.mode("overwrite").option("sep", "\x1e").option("escape", "\\").option("header", True)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
 
 
@@ -215,6 +218,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def move(spark: SparkSession, source: str, path: str) -> None:
+    """Rename one file or folder, making the folders above."""
+    fs, target, make_path = _hadoop(spark, path)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(make_path(source), target):
+        raise RuntimeError(f"could not move {source} to {path}")
+
+
 def replace_folder(spark: SparkSession, source: str, path: str) -> None:
     """Make ``source`` the folder ``path`` by a rename; what was there goes aside first and is deleted last. No source gives an empty folder."""
     fs, target, make_path = _hadoop(spark, path)
