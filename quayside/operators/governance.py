@@ -49,14 +49,16 @@ def sensitive_columns(
 
     ``comment``: the column has a wanted comment and is a string or a location.
     ``name``: in tables without any such column, string columns with a sensitive name.
+    All joins shuffle: the catalogue grows with its tables, and Spark's guess from the size of packed files would
+    have the driver broadcast millions of rows.
     """
     located = F.lit(False)
     for word in location_words:
         located = located | F.col("comment").contains(word)
-    by_comment = columns.join(comments, ["stem", "name"]).where(located | (F.col("type") == "string"))
+    by_comment = columns.join(comments.hint("merge"), ["stem", "name"]).where(located | (F.col("type") == "string"))
     covered = by_comment.select("stem").distinct()
     by_name = columns.where((F.col("type") == "string") & X.has_token(F.col("name"), tokens)).join(
-        covered, "stem", "left_anti"
+        covered.hint("merge"), "stem", "left_anti"
     )
     return by_comment.select("stem", "index", "name", "comment", F.lit("comment").alias("rule")).unionByName(
         by_name.select("stem", "index", "name", F.lit(None).cast("string").alias("comment"), F.lit("name").alias("rule"))
@@ -71,7 +73,7 @@ def discover_sensitive(
     location_words: Sequence[str] = LOCATION_WORDS,
 ) -> DataFrame:
     """Sensitive columns of all catalogued tables; definitions without a schema are left out."""
-    known = ddl.join(catalogue.select("stem").distinct(), "stem", "left_semi")
+    known = ddl.join(catalogue.select("stem").distinct().hint("merge"), "stem", "left_semi")
     found = sensitive_columns(
         schema_columns(catalogue), commented_columns(known, tokens, keywords), tokens, location_words
     )
