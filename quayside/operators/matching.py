@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 
 from quayside.functions import paths as P
 from quayside.functions.timepat import bind
-from quayside.operators.ordering import join_same, with_next
+from quayside.operators.ordering import MOST_PARTS, join_same, with_next
+from quayside.session import settle
 
 BROADCAST_BYTES = 8 * 1024 * 1024
 BROADCAST_ROWS = 100_000
 
+#: Rows of either side that meet in one cell of a join with repeated keys, and rows of its result that a task is meant to give.
+CELL_ROWS, TASK_ROWS = 2048, 2 * 1024**2
+
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Whether a lookup side may be broadcast: its rows are counted and their sizes added up.
@@ -85,9 +89,41 @@ def join_contained(paths: DataFrame, path: str, rules: DataFrame, directory: str
     return located.join(hits, "_folder").drop("_dir", "_folder")
 
 
+def join_in_cells(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on keys that many rows of both sides share, in tasks that give about as many rows each.
+
+    The result has the product of both sides' rows for each key, so tasks cut by keys or by bytes read would differ and grow.
+    The rows of a key are dealt into slices on both sides, and each slice of one side meets each of the other in a cell of its own.
+    Cells are spread over as many tasks as the result asks for; both sides of a task may spill. Null keys match nothing. The deal is stored with
+    the rows, so a task that runs again sees the same cells.
+    """
+
+    def dealt(side: DataFrame, label: str) -> DataFrame:
+        keyed = side.dropna(subset=list(keys))
+        return settle(keyed.withColumn("_deal", F.xxhash64(F.monotonically_increasing_id())), label)
+
+    def counted(side: DataFrame, name: str) -> DataFrame:
+        return side.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+    def sliced(side: DataFrame, own: str, other: str) -> DataFrame:
+        cut = side.join(small_side(sizes), list(keys)).withColumn(own, F.pmod("_deal", own))
+        cut = cut.withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1))).drop("_deal", "_rows")
+        return cut.repartition(parts, *cell) if total > TASK_ROWS else cut
+
+    lefts, rights = dealt(left, "lefts"), dealt(right, "rights")
+    sizes = counted(lefts, "_left").join(counted(rights, "_right"), list(keys)).withColumn("_rows", F.col("_left") * F.col("_right").cast("decimal(19,0)"))
+    slices = {name: F.ceil(F.col(name) / CELL_ROWS) for name in ("_left", "_right")}
+    sizes = settle(sizes.withColumns(slices), "cells")
+    total = int(sizes.agg(F.sum("_rows")).first()[0] or 0)
+    least = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # with fewer, Spark would shuffle again
+    parts = max(least, min(-(-total // TASK_ROWS), MOST_PARTS))
+    cell = [*keys, "_left", "_right"]
+    return sliced(lefts, "_left", "_right").join(sliced(rights, "_right", "_left").hint("merge"), cell).drop("_left", "_right")
+
+
 def delivery_interfaces(landed: DataFrame, interfaces: DataFrame, db: str = "db", tb: str = "tb", active: str = "use_yn") -> DataFrame:
     """Landed tables with each active delivery interface of the same database and table."""
-    return landed.join(interfaces.where(F.col(active) == "Y").drop(active), [db, tb])
+    return join_in_cells(landed, interfaces.where(F.col(active) == "Y").drop(active), [db, tb])
 
 
 def first_with_prefix(bases: DataFrame, base: str, paths: DataFrame, path: str) -> DataFrame:

@@ -1,6 +1,8 @@
 """Steps whose tasks, files and broadcasts must follow the size of what they are given."""
 
-from quayside.operators import governance
+from pyspark.sql import functions as F
+
+from quayside.operators import governance, matching
 
 
 def plan_of(df):
@@ -25,3 +27,23 @@ def test_discovery_broadcasts_no_catalogue(spark, tmp_path):
     assert sorted(map(repr, map(tuple, rows))) == sorted(
         map(repr, [("d.a", 0, "cdr_x", "one", "comment")] * 2 + [("d.a", 1, "lat", "위도", "comment"), ("d.b", 0, "x_cdr", None, "name"), (None, 0, "cdr", None, "name")])
     )
+
+
+def test_a_hot_key_is_joined_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(matching, "CELL_ROWS", 20, raising=False)
+    monkeypatch.setattr(matching, "TASK_ROWS", 1000, raising=False)
+    landed = [("d", "t", i) for i in range(200)] + [("d", "u", 7), ("d", "u", 7), (None, "t", 8), ("e", None, 9), ("f", "v", 10)]
+    active = [("d", "t", 1000 + i, "Y") for i in range(300)] + [("d", "u", 1, "Y"), ("d", "u", 1, "Y"), ("d", "u", 2, "N"), (None, "t", 3, "Y"), ("e", None, 4, "Y"), ("g", "v", 5, "Y")]
+    found = matching.delivery_interfaces(
+        spark.createDataFrame(landed, "db string, tb string, s long"), spark.createDataFrame(active, "db string, tb string, c long, use_yn string")
+    )
+    assert found.columns == ["db", "tb", "s", "c"]
+    wanted = [(d, t, s, c) for d, t, s in landed for e, u, c, y in active if (d, t) == (e, u) and d and t and y == "Y"]
+    assert len(wanted) == 60004 and sorted(map(tuple, found.collect())) == sorted(wanted)
+    most = found.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert most < 60000 / 5
+
+
+def test_cells_of_nothing(spark):
+    none = spark.createDataFrame([], "db string, tb string, s long")
+    assert matching.join_in_cells(none, none.withColumnRenamed("s", "c"), ["db", "tb"]).collect() == []
