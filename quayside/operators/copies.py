@@ -12,23 +12,32 @@ from quayside.operators.ordering import join_same
 from quayside.session import settle
 
 BUCKETS = 1024
-_SUMS = ("rows", "low", "high")
+#: Rows of a copy for each bucket of a partition beyond that, and the most buckets, as the unequal ones are looked up by each task.
+BUCKET_ROWS, MOST_BUCKETS = 512, 128 * 1024
+_SUMS = ("rows", "low_0", "low_1", "high_0", "high_1")
 
 
 def _row_sums(columns: Sequence[str], within: str = "") -> list[Column]:
-    """Commutative sums over rows: two halves of a digest that tells nulls from values and one value from the next."""
+    """Commutative sums over rows: two halves of a digest that tells nulls from values and one value from the next.
+
+    Each half of 60 bits is summed in two parts, so that sums of 2^33 rows are whole numbers of 64 bits.
+    """
 
     def tagged(name: str) -> Column:
         text = F.col(f"{within}`{name}`").cast("string")
         return F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
 
     digest = F.sha2(F.concat(*map(tagged, columns)), 256)
-    halves = [F.conv(F.substring(digest, at, 15), 16, 10).cast("decimal(20,0)") for at in (1, 16)]
-    return [halves[0].alias("low"), halves[1].alias("high")]
+    return [F.conv(F.substring(digest, at, 15), 16, 10).cast("bigint").alias(name) for name, at in (("low", 1), ("high", 16))]
 
 
 def _branches(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.sum("low").alias("low"), F.sum("high").alias("high"))
+    parts = [
+        F.sum(part).alias(f"{half}_{n}")
+        for half in ("low", "high")
+        for n, part in enumerate((F.col(half).bitwiseAND(2**30 - 1), F.shiftright(half, 30)))
+    ]
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *parts)
 
 
 def _unequal(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -36,7 +45,12 @@ def _unequal(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
     both = left.withColumn("side", F.lit(1)).unionByName(right.withColumn("side", F.lit(-1)))
     net = [F.sum(F.col(s) * F.col("side")).alias(f"net_{s}") for s in _SUMS]
     sides = [F.sum(F.when(F.col("side") == n, F.col("rows")).otherwise(0)).alias(name) for n, name in ((1, "left_rows"), (-1, "right_rows"))]
-    return both.groupBy(*by).agg(*net, *sides).where("net_rows <> 0 OR net_low <> 0 OR net_high <> 0").select(*by, "left_rows", "right_rows")
+    return both.groupBy(*by).agg(*net, *sides).where(" OR ".join(f"net_{s} <> 0" for s in _SUMS)).select(*by, "left_rows", "right_rows")
+
+
+def buckets_for(rows: int) -> int:
+    """Buckets of a partition for a copy of so many rows: with more rows a bucket, each would hold a difference and all be read again."""
+    return min(max(BUCKETS, rows // BUCKET_ROWS), MOST_BUCKETS)
 
 
 def unequal_buckets(left: DataFrame, right: DataFrame, partition: str, keys: Sequence[str], buckets: int = BUCKETS) -> DataFrame:

@@ -180,10 +180,12 @@ def copy_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     fresh = left.where("l_orderkey % 499 = 3 AND l_linenumber = 1").withColumn("l_orderkey", -F.col("l_orderkey"))
     right = settle(kept.withColumn("l_returnflag", mode).unionByName(fresh).repartition(5), "right")
     keys = ["l_orderkey", "l_linenumber"]
-    found = copies.unequal_buckets(left, right, "part", keys)
-    differing = settle(copies.differing_keys(left, right, "part", keys, found=found), "differing")
+    rows = left.count()
+    buckets = copies.buckets_for(rows)
+    found = copies.unequal_buckets(left, right, "part", keys, buckets)
+    differing = settle(copies.differing_keys(left, right, "part", keys, buckets, found=found), "differing")
     again = found.agg(F.coalesce(F.sum("left_rows"), F.lit(0)).alias("n")).scalar()
-    each = left.count() / (copies.BUCKETS * 7)  # rows of a bucket
+    each = rows / (copies.BUCKETS * 7)  # rows of a bucket
     least = differing.agg((F.count(F.lit(1)) * F.lit(8 * (each + 1))).alias("n")).scalar()
     return differing.select("part", *keys, "change", (again <= least).alias("narrow"))
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from quayside.operators import governance, matching
+from quayside.operators import copies, governance, matching
 
 
 def plan_of(df):
@@ -47,3 +47,18 @@ def test_a_hot_key_is_joined_in_many_tasks(spark, monkeypatch):
 def test_cells_of_nothing(spark):
     none = spark.createDataFrame([], "db string, tb string, s long")
     assert matching.join_in_cells(none, none.withColumnRenamed("s", "c"), ["db", "tb"]).collect() == []
+
+
+def test_a_large_copy_has_more_buckets(spark, monkeypatch):
+    """Differences a fixed way apart leave few rows to read again, however many rows there are."""
+    monkeypatch.setattr(copies, "BUCKETS", 4)
+    monkeypatch.setattr(copies, "BUCKET_ROWS", 8, raising=False)
+    left = spark.range(20_000).selectExpr("'p' AS part", "id", "cast(id AS string) AS v")
+    right = left.where("id % 500 <> 3").repartition(3)
+    buckets = copies.buckets_for(20_000)
+    found = copies.unequal_buckets(left, right, "part", ["id"], buckets)
+    assert found.agg(F.sum("left_rows")).first()[0] < 1000
+    gone = copies.differing_keys(left, right, "part", ["id"], buckets, found=found).collect()
+    assert sorted(map(tuple, gone)) == [("p", n, "removed") for n in range(3, 20_000, 500)]
+    summed = copies._branches(left.select("part", *copies._row_sums(["id", "v"])), ["part"])
+    assert set(dict(summed.dtypes).values()) == {"string", "bigint"} and min(summed.drop("part").first()) > 0
