@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from quayside.operators import copies, governance, matching
+from quayside.sinks import bins
 
 
 def plan_of(df):
@@ -62,3 +63,18 @@ def test_a_large_copy_has_more_buckets(spark, monkeypatch):
     assert sorted(map(tuple, gone)) == [("p", n, "removed") for n in range(3, 20_000, 500)]
     summed = copies._branches(left.select("part", *copies._row_sums(["id", "v"])), ["part"])
     assert set(dict(summed.dtypes).values()) == {"string", "bigint"} and min(summed.drop("part").first()) > 0
+
+
+def test_a_task_writes_many_small_bins(spark, tmp_path):
+    """Bytes stay as they are, and bins are many more than the tasks that write them."""
+    source, out = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    lines = [b"%d:" % i + b"\xff\r\xc3" * (i % 40) for i in range(4000)] + [b"", b"", b"y" * 5000, b"end"]
+    (source / "a.txt").write_bytes(b"\n".join(lines[:3000]) + b"\n")
+    (source / "b.txt").write_bytes(b"\n".join(lines[3000:]))
+    sizes = bins.bin_text(spark, [str(source)], str(out), 1000).collect()
+    files = sorted(out.glob("part-*"))
+    assert sorted(line for f in files for line in f.read_bytes().removesuffix(b"\n").split(b"\n")) == sorted(lines)
+    assert sum(r.lines for r in sizes) == len(lines) and sum(r.bytes for r in sizes) == sum(map(len, lines)) + len(lines)
+    assert sorted(r.bytes for r in sizes)[-2] <= 1000 and len(sizes) > 200
+    assert len({f.name.split("-")[1] for f in files}) == 1
